@@ -1,0 +1,5 @@
+"""Empty on purpose: every export is a batch read and a batch write.
+
+The work to match has no stream, no event-time window and no keyed state, so
+there is no streaming operator to build.
+"""
