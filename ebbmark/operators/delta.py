@@ -65,6 +65,9 @@ class Check:
 
     @cached_property
     def data_type(self) -> T.DataType:
+        for field in self.frame.schema:
+            if field.name == self.column:
+                return field.dataType
         return self.frame.select(F.col(self.column)).schema[0].dataType
 
     @property
@@ -78,22 +81,23 @@ class Check:
     def literal(self, offset: int) -> Column:
         """An offset as a constant of the check column's type."""
         if self.type_id == TIMESTAMP_CHECK:
-            return F.timestamp_micros(F.lit(offset).cast("bigint")).cast(self.data_type)
-        return F.lit(offset).cast(self.data_type)
+            return F.timestamp_micros(F.lit(offset)).cast(self.data_type)
+        return F.lit(offset)
 
-    def as_offset(self, value: Column) -> Column:
+    def offset_of(self, name: str) -> str:
+        """SQL for a check value of this table as an offset."""
         if self.type_id == TIMESTAMP_CHECK:
-            return F.unix_micros(value.cast("timestamp"))
-        return value.cast("bigint")
+            return f"unix_micros(CAST({name} AS TIMESTAMP))"
+        return f"CAST({name} AS BIGINT)"
 
-    def keeps(self, value: Column) -> Column:
-        """Whether a check value comes back unchanged from being an offset.
+    def exact(self, name: str) -> str:
+        """SQL for whether a check value comes back unchanged from being an offset.
 
         Only a local time the session zone skips over (a clock change) does not.
         """
         if isinstance(self.data_type, T.TimestampNTZType):
-            return value.cast("timestamp").cast("timestamp_ntz") == value
-        return F.lit(True)
+            return f"CAST(CAST({name} AS TIMESTAMP) AS TIMESTAMP_NTZ) <=> {name}"
+        return "true"
 
     @property
     def at_or_past(self) -> Column:
@@ -120,9 +124,9 @@ def _stats_of(check: Check, rows: DataFrame, count: Column) -> DataFrame:
     found = rows.agg(F.max(check.value).alias("top"), count.alias("delta_count"))
     return found.select(
         F.lit(check.table).alias("tablename"),
-        check.as_offset(F.col("top")).alias("max_offset"),
-        F.col("delta_count"),
-        F.coalesce(check.keeps(F.col("top")), F.lit(True)).alias("exact"),
+        F.expr(f"{check.offset_of('top')} AS max_offset"),
+        "delta_count",
+        F.expr(f"{check.exact('top')} AS exact"),
     )
 
 

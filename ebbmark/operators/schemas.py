@@ -50,7 +50,7 @@ def apply_schema(frame: DataFrame, schema: T.StructType) -> DataFrame:
 def rename_all(frame: DataFrame, convert: Callable[[Column], Column]) -> DataFrame:
     """Rename every column by a name function; two columns with one new name are refused."""
     one_row = frame.sparkSession.sql("VALUES (1)")
-    names = [*one_row.select(*(convert(F.lit(c)) for c in frame.columns)).first()]
+    names = one_row.select(F.transform(F.lit(frame.columns), convert)).first()[0]
     seen: dict[str, str] = {}
     for old, new in zip(frame.columns, names):
         if new.lower() in seen:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from itertools import batched
@@ -11,7 +11,7 @@ from typing import Any
 
 import pyarrow as pa
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ebbmark.functions.clock import CLOCK_SHIFT_HOURS, batch_clock
@@ -31,6 +31,7 @@ from ebbmark.sources.tables import TableStore
 
 # Tables whose stats share one job; bounds the size of its plan.
 STATS_CHUNK = 50
+OPEN_CONCURRENT = 8
 
 # A control row on its way through the driver: clocks as microseconds, offset
 # chosen, and what this batch found.
@@ -96,13 +97,14 @@ def driver_rows(control: DataFrame) -> DataFrame:
     ).drop("batchstart_ts", "batchend_ts")
 
 
-def advance(rows: DataFrame, shift_hours: int = CLOCK_SHIFT_HOURS) -> DataFrame:
-    """Control rows moved on to what a batch found.
+def advanced(shift_hours: int = CLOCK_SHIFT_HOURS) -> list[Column]:
+    """Columns of control rows moved on to what a batch found.
 
-    ``rows`` are :func:`driver_rows` with ``max_offset``, ``delta_count``,
-    ``started_millis`` and ``ended_millis``. The offset field of the row's
-    column type takes the watermark; an empty table keeps its offset. The
-    batch start is a clock, except for timestamp checks, whose offset it is.
+    To be selected from :func:`driver_rows` with ``max_offset``,
+    ``delta_count``, ``started_millis`` and ``ended_millis``. The offset field
+    of the row's column type takes the watermark; an empty table keeps its
+    offset. The batch start is a clock, except for timestamp checks, whose
+    offset it is.
     """
     kind = F.col("columntypeid")
     reached = F.coalesce("max_offset", "stored_offset")
@@ -119,7 +121,9 @@ def advance(rows: DataFrame, shift_hours: int = CLOCK_SHIFT_HOURS) -> DataFrame:
         "currentbatchcount": F.col("delta_count"),
         "seq": F.col("seq") + 1,
     }
-    return rows.select(*(moved.get(f.name, F.col(f.name)).alias(f.name) for f in LOG_SCHEMA))
+    return [
+        moved[name].alias(name) if name in moved else F.col(name) for name in LOG_SCHEMA.names
+    ]
 
 
 @dataclass(frozen=True)
@@ -148,26 +152,33 @@ class _Export:
         return TableResult(self.check.table, self.check.offset, self.max_offset, count, error)
 
 
-def batch_checks(
+def open_checks(
     spark: SparkSession,
     rows: Sequence[dict[str, Any]],
     tables: TableStore,
     from_start: bool,
-) -> Iterator[Check | Exception]:
-    """A check per control row, or what is wrong with the row or its table."""
-    for row in rows:
+) -> list[Check | Exception]:
+    """A check per control row, or what is wrong with the row or its table.
+
+    Opening a table lists its files and reads a schema, so several are opened
+    at a time.
+    """
+
+    def open_one(row: dict[str, Any]) -> Check | Exception:
         try:
-            frame = tables.read(spark, row["tablename"])
-            yield Check(
+            return Check(
                 row["tablename"],
-                frame,
+                tables.read(spark, row["tablename"]),
                 row["checkcolumn"],
                 row["columntypeid"],
                 row["stored_offset"],
                 from_start,
             )
         except Exception as error:
-            yield error
+            return error
+
+    with ThreadPoolExecutor(OPEN_CONCURRENT) as pool:
+        return [*pool.map(inheritable_thread_target(spark)(open_one), rows)]
 
 
 def export_stats(checks: Sequence[Check]) -> list[Row | Exception]:
@@ -186,7 +197,7 @@ def _prepare(
     tables: TableStore,
     from_start: bool,
 ) -> tuple[list[_Export], list[TableResult]]:
-    opened = list(zip(rows, batch_checks(spark, rows, tables, from_start)))
+    opened = list(zip(rows, open_checks(spark, rows, tables, from_start)))
     failed = [
         TableResult(row["tablename"], row["stored_offset"], error=check)
         for row, check in opened
@@ -233,12 +244,14 @@ def export_batch(
     for many small tables, but one failure then holds back the whole chunk.
     """
     # One row per table of the batch: what the driver needs to start the jobs.
-    rows = driver_rows(control.current(spark, batch_id)).orderBy("tablename").toArrow().to_pylist()
+    rows = driver_rows(control.current(spark, batch_id)).toArrow().to_pylist()
+    rows.sort(key=lambda row: row["tablename"] or "")
     results: list[TableResult] = []
+    moved = advanced(shift_hours)
 
     def save(done: list[dict[str, Any]]) -> None:
         found = spark.createDataFrame(pa.Table.from_pylist(done, DRIVER_ROW))
-        control.append(advance(found, shift_hours).coalesce(1))
+        control.append(found.select(*moved).coalesce(1))
 
     for chunk in batched(rows, STATS_CHUNK):
         started = clock()

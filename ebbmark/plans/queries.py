@@ -26,8 +26,9 @@ from ebbmark.operators.ranges import (
 from ebbmark.operators.records import to_records
 from ebbmark.operators.schedule import next_due_table
 from ebbmark.operators.schemas import apply_schema, camel_columns, declared_schema, snake_columns
-from ebbmark.plans.export import advance, driver_rows, export_batch
+from ebbmark.plans.export import advanced, driver_rows, export_batch
 from ebbmark.sources.control_log import LOG_SCHEMA, ControlTable, conform, latest, select_batch
+from ebbmark.sources.partitions import time_days
 from ebbmark.sources.scratch import scratch_folder
 from ebbmark.sources.sinks import file_sink
 from ebbmark.sources.tables import TableStore, register_view
@@ -41,10 +42,12 @@ EVENTS_FROM = "2024-01-15 00:00:00"
 BATCH_MILLIS = 1_706_700_000_000
 
 
-def registered(sql: str) -> Callable[[Query], Query]:
+def registered(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its function's name, or another, with its SQL."""
+
     def register(query: Query) -> Query:
-        QUERIES[query.__name__] = query
-        ORACLES[query.__name__] = sql
+        QUERIES[name or query.__name__] = query
+        ORACLES[name or query.__name__] = sql
         return query
 
     return register
@@ -417,7 +420,7 @@ def control_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = rows.join(stats, "tablename").withColumns(
         {"started_millis": clock, "ended_millis": clock}
     )
-    moved = advance(found)
+    moved = found.select(*advanced())
     return local_times(moved.select(*ADVANCED_FIELDS))
 
 
@@ -455,7 +458,7 @@ def source_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "events").select(day_number(F.col("ts")).alias("day"))
+    return time_days(read(spark, sf_dir, "events"), "ts")
 
 
 def as_of() -> Column:
@@ -512,7 +515,8 @@ WITH schedule AS (
   FROM events GROUP BY user_id)
 SELECT coalesce((SELECT tablename FROM schedule
                  WHERE last_batch IS NULL OR last_batch = DATE '2024-01-29'
-                 ORDER BY seq LIMIT 1), '') AS tablename"""
+                 ORDER BY seq LIMIT 1), '') AS tablename""",
+    "next_due_table",
 )
 def next_due(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A schedule of one table per user, last run on the day of the user's last event."""
@@ -533,13 +537,13 @@ def event_millis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").select("event_id", millis, "ts")
 
 
-@registered("SELECT event_id, date_trunc('second', ts) + INTERVAL 8 HOUR AS clock FROM events")
+@registered("SELECT event_id, date_trunc('second', ts) + INTERVAL 8 HOUR AS clock FROM events", "batch_clock")
 def batch_clocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = event_millis(spark, sf_dir)
     return local_times(rows.select("event_id", batch_clock(F.col("millis")).alias("clock")))
 
 
-@registered("SELECT event_id, date_trunc('second', ts) AS clock FROM events")
+@registered("SELECT event_id, date_trunc('second', ts) AS clock FROM events", "truncate_second")
 def truncated_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = event_millis(spark, sf_dir)
     return local_times(rows.select("event_id", truncate_second(F.col("millis")).alias("clock")))
@@ -550,7 +554,8 @@ def truncated_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT l_orderkey, l_linenumber, l_partkey,
        coalesce(strftime(CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_shipdate END, '%Y%m%d'), '0')
          AS day
-FROM lineitem"""
+FROM lineitem""",
+    "day_text",
 )
 def day_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ship days, with returned lines counting as not shipped."""
@@ -562,7 +567,8 @@ def day_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(
     """SELECT o_orderkey, strftime(o_orderdate - INTERVAL 1 DAY, '%Y-%m-%d') AS day_before,
-       strftime(o_orderdate - INTERVAL 1 DAY, '%Y%m%d') AS partition_before FROM orders"""
+       strftime(o_orderdate - INTERVAL 1 DAY, '%Y%m%d') AS partition_before FROM orders""",
+    "yesterday_text",
 )
 def yesterday_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered = F.col("o_orderdate").cast("date")
@@ -670,7 +676,8 @@ def qualified_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(
     """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS INTEGER) AS c_nationkey,
-       CAST(c_acctbal AS DOUBLE) AS c_acctbal, c_mktsegment FROM customer"""
+       CAST(c_acctbal AS DOUBLE) AS c_acctbal, c_mktsegment FROM customer""",
+    "declared_schema",
 )
 def declared_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers under declared types; the long key becomes a string."""

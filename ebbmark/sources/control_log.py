@@ -36,7 +36,9 @@ KEY = ["typeid", "tablename"]
 
 def conform(frame: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema``, taken by name and cast."""
-    return frame.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))
+    return frame.selectExpr(
+        *(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema)
+    )
 
 
 def batch_number(value: int | str) -> int:
@@ -61,9 +63,7 @@ def latest(log: DataFrame) -> DataFrame:
     """
     state = [c for c in log.columns if c not in KEY]
     newest = F.max_by(F.struct(*state), "seq").alias("state")
-    return log.groupBy(*KEY).agg(newest).select(
-        *(F.col(c) if c in KEY else F.col("state")[c].alias(c) for c in log.columns)
-    )
+    return log.groupBy(*KEY).agg(newest).select(*KEY, "state.*").select(*log.columns)
 
 
 @dataclass(frozen=True)
