@@ -22,14 +22,15 @@ def to_snake(name: Column) -> Column:
     ``a-b`` -> ``a_-b``. Letters go through upper case on the way to lower
     case, so ``ß`` becomes ``ss``.
     """
+    # Upper case is applied piece by piece: Spark drops it from lower(upper(x)).
     marked = F.transform(
         F.split(_tail(name), ""),
         lambda c: F.when(
             (c == F.upper(c)) & ~c.rlike(r"^[\p{Nd}_]?$"), F.concat(F.lit("_"), c)
-        ).otherwise(c),
+        ).otherwise(F.upper(c)),
     )
-    spread = F.concat(_head(name), F.array_join(marked, ""))
-    return F.coalesce(F.lower(F.upper(spread)), F.lit(""))
+    spread = F.concat(F.upper(_head(name)), F.array_join(marked, ""))
+    return F.coalesce(F.lower(spread), F.lit(""))
 
 
 def to_camel(name: Column, first_upper: bool = False) -> Column:

@@ -25,4 +25,4 @@ def time_days(frame: DataFrame, time_col: str) -> DataFrame:
     once per row.
     """
     bounds = frame.agg(F.array(F.min(time_col), F.max(time_col)).alias("bounds"))
-    return bounds.select(day_number(F.explode("bounds")).alias("day"))
+    return bounds.select(F.explode("bounds").alias("day")).select(day_number(F.col("day")).alias("day"))
