@@ -64,15 +64,14 @@ class Check:
             )
 
     @cached_property
-    def data_type(self) -> T.DataType:
-        for field in self.frame.schema:
-            if field.name == self.column:
-                return field.dataType
-        return self.frame.select(F.col(self.column)).schema[0].dataType
-
-    @property
     def value(self) -> Column:
-        return F.col(self.column)
+        """The check column; a name that is no column of the table may be a nested field."""
+        name = self.column
+        return F.col(f"`{name}`" if name in self.frame.columns else name)
+
+    @cached_property
+    def data_type(self) -> T.DataType:
+        return self.frame.select(self.value).schema[0].dataType
 
     @property
     def unbounded(self) -> bool:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from itertools import batched
@@ -32,6 +32,8 @@ from ebbmark.sources.tables import TableStore
 # Tables whose stats share one job; bounds the size of its plan.
 STATS_CHUNK = 50
 OPEN_CONCURRENT = 8
+# The name a sink gets for records of several tables.
+TOGETHER = "all"
 
 # A control row on its way through the driver: clocks as microseconds, offset
 # chosen, and what this batch found.
@@ -246,78 +248,47 @@ def export_batch(
     # One row per table of the batch: what the driver needs to start the jobs.
     rows = driver_rows(control.current(spark, batch_id)).toArrow().to_pylist()
     rows.sort(key=lambda row: row["tablename"] or "")
-    results: list[TableResult] = []
     moved = advanced(shift_hours)
+    results: list[TableResult] = []
+    running: dict[Future, list[_Export]] = {}
 
-    def save(done: list[dict[str, Any]]) -> None:
-        found = spark.createDataFrame(pa.Table.from_pylist(done, DRIVER_ROW))
-        control.append(found.select(*moved).coalesce(1))
-
-    for chunk in batched(rows, STATS_CHUNK):
-        started = clock()
-        chunk_rows = [{**row, "started_millis": started} for row in chunk]
-        exports, failed = _prepare(spark, chunk_rows, tables, from_start)
-        results += failed
-        if single_write:
-            results += _write_together(exports, sink, key_column, clock, save)
-        else:
-            results += _write_each(spark, exports, sink, key_column, clock, save)
-    if any(r.error is not None for r in results):
-        raise BatchFailed(results)
-    return results
-
-
-def _write_each(
-    spark: SparkSession,
-    exports: Sequence[_Export],
-    sink: RecordSink,
-    key_column: str | None,
-    clock: Callable[[], int],
-    save: Callable[[list[dict[str, Any]]], None],
-) -> list[TableResult]:
-    """One write per table, some at a time so that small ones do not idle the
-    cluster. Tables that end while control rows are being saved share the next
-    save; saves never overlap."""
-
-    def write(export: _Export) -> dict[str, Any]:
-        if export.delta_count:
-            sink.write(export.records(key_column), export.check.table)
-        return export.found(clock())
-
+    def write(unit: list[_Export]) -> list[dict[str, Any]]:
+        sending = [export for export in unit if export.delta_count]
+        if sending:
+            records = union(export.records(key_column) for export in sending)
+            sink.write(records, TOGETHER if single_write else sending[0].check.table)
+        ended = clock()
+        return [export.found(ended) for export in unit]
+
+    def settle(done: Iterable[Future]) -> None:
+        """Advance the control rows of finished writes, all in one append."""
+        found = [row for f in done if f.exception() is None for row in f.result()]
+        error = None
+        if found:
+            try:
+                arrived = spark.createDataFrame(pa.Table.from_pylist(found, DRIVER_ROW))
+                control.append(arrived.select(*moved).coalesce(1))
+            except Exception as not_saved:
+                error = not_saved
+        for future in done:
+            unit = running.pop(future)
+            results.extend(export.result(future.exception() or error) for export in unit)
+
+    # Several tables are written at a time so that small ones do not idle the
+    # cluster, and a large one does not hold up the tables after it. Control
+    # rows are saved by this thread alone: saves never overlap.
     inheritable = inheritable_thread_target(spark)
-    results = []
-    with ThreadPoolExecutor(max_workers=sink.concurrent) as pool:
-        running: dict[Future, _Export] = {
-            pool.submit(inheritable(write), export): export for export in exports
-        }
+    with ThreadPoolExecutor(1 if single_write else sink.concurrent) as pool:
+        for chunk in batched(rows, STATS_CHUNK):
+            started = clock()
+            chunk_rows = [{**row, "started_millis": started} for row in chunk]
+            exports, failed = _prepare(spark, chunk_rows, tables, from_start)
+            results += failed
+            units = [exports] if single_write else [[export] for export in exports]
+            running |= {pool.submit(inheritable(write), unit): unit for unit in units}
+            settle([future for future in running if future.done()])
         while running:
-            ended = wait(running, return_when=FIRST_COMPLETED).done
-            written = [f for f in ended if f.exception() is None]
-            error = None
-            if written:
-                try:
-                    save([f.result() for f in written])
-                except Exception as not_saved:
-                    error = not_saved
-            for future in ended:
-                results.append(running.pop(future).result(future.exception() or error))
+            settle(wait(running, return_when=FIRST_COMPLETED).done)
+    if any(r.error is not None for r in results):
+        raise BatchFailed(results)
     return results
-
-
-def _write_together(
-    exports: Sequence[_Export],
-    sink: RecordSink,
-    key_column: str | None,
-    clock: Callable[[], int],
-    save: Callable[[list[dict[str, Any]]], None],
-) -> list[TableResult]:
-    sending = [export for export in exports if export.delta_count]
-    try:
-        if sending:
-            sink.write(union(e.records(key_column) for e in sending), "all")
-        if exports:
-            ended = clock()
-            save([export.found(ended) for export in exports])
-    except Exception as error:
-        return [export.result(error) for export in exports]
-    return [export.result() for export in exports]

@@ -68,6 +68,9 @@ def test_null_offset_selects_nothing_unless_from_start(rows):
 def test_nested_check_column(rows):
     nested = rows.select(F.struct("big").alias("s"))
     assert delta(Check("t", nested, "s.big", 2, 20)).count() == 2
+    dotted = rows.select(F.col("big").alias("a.b"))
+    assert delta(Check("t", dotted, "a.b", 2, 20)).count() == 2
+    assert delta(Check("t", rows, "BIG", 2, 20)).count() == 2
 
 
 def test_upper_bound(rows):
