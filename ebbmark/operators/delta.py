@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
-from functools import cached_property, reduce
+from functools import cached_property
+from itertools import batched
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +47,9 @@ class Check:
 
     A null offset selects nothing unless ``from_start`` is set, which then
     takes every row that has a check value.
+
+    Conditions are SQL texts: a batch plans many tables, and a text costs the
+    driver one call where a column expression costs one per step.
     """
 
     table: str
@@ -64,102 +69,118 @@ class Check:
             )
 
     @cached_property
-    def value(self) -> Column:
-        """The check column; a name that is no column of the table may be a nested field."""
-        name = self.column
-        return F.col(f"`{name}`" if name in self.frame.columns else name)
+    def value(self) -> str:
+        """The check column, quoted; one that is no column of the table is a nested field."""
+        if self.column in self.frame.columns:
+            return "`" + self.column.replace("`", "``") + "`"
+        if "`" in self.column:
+            return self.column
+        return ".".join(f"`{part}`" for part in self.column.split("."))
 
     @cached_property
     def data_type(self) -> T.DataType:
-        return self.frame.select(self.value).schema[0].dataType
-
-    @property
-    def unbounded(self) -> bool:
-        return self.offset is None and self.from_start
+        for field in self.frame.schema:
+            if field.name == self.column:
+                return field.dataType
+        # Also where a name that is neither column nor field is refused.
+        return self.frame.select(F.col(self.value)).schema[0].dataType
 
-    def literal(self, offset: int) -> Column:
+    def literal(self, offset: int) -> str:
         """An offset as a constant of the check column's type."""
+        kind = self.data_type.simpleString()
         if self.type_id == TIMESTAMP_CHECK:
-            return F.timestamp_micros(F.lit(offset)).cast(self.data_type)
-        return F.lit(offset)
+            return f"CAST(timestamp_micros({int(offset)}) AS {kind})"
+        return f"CAST({int(offset)} AS {kind})"
 
-    def offset_of(self, name: str) -> str:
-        """SQL for a check value of this table as an offset."""
+    @property
+    def at_or_past(self) -> str:
+        """Condition for rows at or past the offset; never true for a null check value."""
+        if self.offset is not None:
+            return f"{self.value} >= {self.literal(self.offset)}"
+        return f"{self.value} IS NOT NULL" if self.from_start else "false"
+
+    def as_offset(self, value: str) -> str:
         if self.type_id == TIMESTAMP_CHECK:
-            return f"unix_micros(CAST({name} AS TIMESTAMP))"
-        return f"CAST({name} AS BIGINT)"
+            return f"unix_micros(CAST({value} AS TIMESTAMP))"
+        return f"CAST({value} AS BIGINT)"
 
-    def exact(self, name: str) -> str:
-        """SQL for whether a check value comes back unchanged from being an offset.
+    def exact(self, value: str) -> str:
+        """Whether a check value comes back unchanged from being an offset.
 
         Only a local time the session zone skips over (a clock change) does not.
         """
         if isinstance(self.data_type, T.TimestampNTZType):
-            return f"CAST(CAST({name} AS TIMESTAMP) AS TIMESTAMP_NTZ) <=> {name}"
+            return f"CAST(CAST({value} AS TIMESTAMP) AS TIMESTAMP_NTZ) <=> {value}"
         return "true"
 
-    @property
-    def at_or_past(self) -> Column:
-        """Rows at or past the offset; never true for a null check value."""
-        if self.unbounded:
-            return self.value.isNotNull()
-        if self.offset is None:
-            return F.lit(False)
-        return self.value >= self.literal(self.offset)
-
 
 def delta(check: Check, upper: int | None = None) -> DataFrame:
     """Rows at or past the stored offset, up to ``upper`` if it is given."""
     rows = check.frame.filter(check.at_or_past)
-    return rows if upper is None else rows.filter(check.value <= check.literal(upper))
+    return rows if upper is None else rows.filter(f"{check.value} <= {check.literal(upper)}")
 
 
 def union(frames: Iterable[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionAll, frames)
-
-
-def _stats_of(check: Check, rows: DataFrame, count: Column) -> DataFrame:
-    # The conversions come after the aggregate: once per table, not per row.
-    found = rows.agg(F.max(check.value).alias("top"), count.alias("delta_count"))
-    return found.select(
-        F.lit(check.table).alias("tablename"),
-        F.expr(f"{check.offset_of('top')} AS max_offset"),
-        "delta_count",
-        F.expr(f"{check.exact('top')} AS exact"),
+    """Union in order, by halves: Spark checks the plan again at every step."""
+    frames = [*frames]
+    while len(frames) > 1:
+        frames = [
+            pair[0].unionAll(pair[1]) if len(pair) == 2 else pair[0] for pair in batched(frames, 2)
+        ]
+    return frames[0]
+
+
+def _stats_of(check: Check, rows: DataFrame, count: str, label: str | None) -> DataFrame:
+    # The conversions come after the maximum: once per table, not per row.
+    top = f"max({check.value})"
+    return rows.select(
+        F.lit(check.table if label is None else label).alias("tablename"),
+        F.expr(f"{check.as_offset(top)} AS max_offset"),
+        F.expr(f"{count} AS delta_count"),
+        F.expr(f"{check.exact(top)} AS exact"),
     )
 
 
-def table_stats(check: Check) -> DataFrame:
+def table_stats(check: Check, label: str | None = None) -> DataFrame:
     """Largest check value and delta size of a whole table, in one pass.
 
     Reads one column; each task sends one row to the shuffle.
     """
-    return _stats_of(check, check.frame, F.count_if(check.at_or_past))
+    return _stats_of(check, check.frame, f"count_if({check.at_or_past})", label)
 
 
-def delta_stats(check: Check) -> DataFrame:
+def delta_stats(check: Check, label: str | None = None) -> DataFrame:
     """Like :func:`table_stats`, but reads only rows at or past the offset.
 
     The filter reaches the scan, so files and row groups below the offset are
     skipped. ``max_offset`` is null where the delta is empty.
     """
-    return _stats_of(check, check.frame.filter(check.at_or_past), F.count("*"))
+    return _stats_of(check, check.frame.filter(check.at_or_past), "count(*)", label)
+
+
+class Stats(NamedTuple):
+    table: str
+    max_offset: int | None
+    delta_count: int
+    exact: bool
 
 
-def collect_stats(checks: Sequence[Check]) -> list[Row]:
-    """One row of stats per check, in order; at most two jobs for all of them.
+def collect_stats(checks: Sequence[Check]) -> list[Stats]:
+    """Stats of every check, in order; at most two jobs for all of them.
 
     Where rows at or past the offset exist, their largest check value is the
     table's. The few tables without any (emptied, or cut back below the
     offset) are then read whole for their maximum.
     """
+    found: dict[int, Stats] = {}
 
-    def run(stats: Callable[[Check], DataFrame], places: Iterable[int]) -> dict[int, Row]:
-        numbered = (stats(checks[i]).withColumn("place", F.lit(i)) for i in places)
-        return {row.place: row for row in union(numbered).collect()}
+    def run(stats: Callable[[Check, str], DataFrame], places: Iterable[int]) -> None:
+        for row in union(stats(checks[i], str(i)) for i in places).collect():
+            place = int(row.tablename)
+            found[place] = Stats(checks[place].table, *row[1:])
 
-    found = run(delta_stats, range(len(checks)))
-    empty = [i for i, row in found.items() if row.delta_count == 0]
+    run(delta_stats, range(len(checks)))
+    empty = [i for i, stats in found.items() if stats.delta_count == 0]
     if empty:
-        found.update(run(table_stats, empty))
+        run(table_stats, empty)
     return [found[i] for i in range(len(checks))]

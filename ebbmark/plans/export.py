@@ -11,7 +11,7 @@ from typing import Any
 
 import pyarrow as pa
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbmark.functions.clock import CLOCK_SHIFT_HOURS, batch_clock
@@ -19,6 +19,7 @@ from ebbmark.operators.delta import (
     INT_CHECK,
     TIMESTAMP_CHECK,
     Check,
+    Stats,
     collect_stats,
     delta,
     stored_offset,
@@ -183,7 +184,7 @@ def open_checks(
         return [*pool.map(inheritable_thread_target(spark)(open_one), rows)]
 
 
-def export_stats(checks: Sequence[Check]) -> list[Row | Exception]:
+def export_stats(checks: Sequence[Check]) -> list[Stats | Exception]:
     """Stats of all checks in one job, or one by one if that job fails."""
     try:
         return [*collect_stats(checks)]
@@ -208,7 +209,7 @@ def _prepare(
     ready = [(row, check) for row, check in opened if isinstance(check, Check)]
     exports = []
     for (row, check), stats in zip(ready, export_stats([c for _, c in ready]) if ready else []):
-        if isinstance(stats, Row) and not stats.exact:
+        if isinstance(stats, Stats) and not stats.exact:
             stats = ValueError(
                 f"the largest {check.column} is a local time the session time zone "
                 "skips; use a zone without clock changes, such as UTC"

@@ -200,11 +200,7 @@ def watermark_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def watermark_stats_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same figures the way the export gets them: from the delta alone
     where there is one, here from the whole table for line numbers."""
-    checks = number_checks(spark, sf_dir)
-    found = [
-        {name: row[name] for name in ("tablename", "max_offset", "delta_count")}
-        for row in collect_stats(checks)
-    ]
+    found = [tuple(stats[:3]) for stats in collect_stats(number_checks(spark, sf_dir))]
     return spark.createDataFrame(found, "tablename string, max_offset bigint, delta_count bigint")
 
 

@@ -60,7 +60,7 @@ def test_null_offset_selects_nothing_unless_from_start(rows):
     assert delta(Check("t", rows, "big", 2, None)).count() == 0
     everything = Check("t", rows, "big", 2, None, from_start=True)
     assert delta(everything).count() == 3
-    assert collect_stats([everything])[0][1:4] == (30, 3, True)
+    assert collect_stats([everything])[0] == ("t", 30, 3, True)
     # A stored offset still counts when starting from scratch is allowed.
     assert delta(Check("t", rows, "big", 2, 20, from_start=True)).count() == 2
 
@@ -71,6 +71,12 @@ def test_nested_check_column(rows):
     dotted = rows.select(F.col("big").alias("a.b"))
     assert delta(Check("t", dotted, "a.b", 2, 20)).count() == 2
     assert delta(Check("t", rows, "BIG", 2, 20)).count() == 2
+    odd = rows.select(F.struct(F.col("big").alias("a b")).alias("s t"), F.col("big").alias("x) OR (1"))
+    assert delta(Check("t", odd, "s t.a b", 2, 20)).count() == 2
+    assert delta(Check("t", odd, "x) OR (1", 2, 20)).count() == 2
+    for name in ("1", "big) OR (true", "big + 1", "nothing"):
+        with pytest.raises(Exception, match="UNRESOLVED_COLUMN|INVALID_ATTRIBUTE"):
+            Check("t", rows, name, 2, 20)
 
 
 def test_upper_bound(rows):
@@ -85,7 +91,7 @@ def test_stats_of_edge_tables(spark, rows):
         Check("no offset", rows, "big", 2, None),
         Check("usual", rows, "big", 2, 20),
     ]
-    found = [(r.tablename, r.max_offset, r.delta_count) for r in collect_stats(checks)]
+    found = [(s.table, s.max_offset, s.delta_count) for s in collect_stats(checks)]
     assert found == [
         ("empty", None, 0),
         ("nulls", None, 0),

@@ -1,4 +1,5 @@
 import json
+import random
 import threading
 
 import pytest
@@ -302,3 +303,46 @@ def test_unknown_batch_is_empty_and_text_batch_refused(spark, setting):
     assert setting.run(batch=5) == []
     with pytest.raises(ValueError):
         setting.run(batch="0 or true")
+
+
+def test_zone_other_than_utc(spark, setting):
+    """Stored clocks are instants; local check values are compared in the session zone."""
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        instants = spark.range(10).selectExpr("TIMESTAMP '2024-01-01' + make_interval(0,0,0,int(id)) AS ts")
+        setting.put("instants", instants)
+        setting.register(
+            control_row("times", "ts", 0, "2024-01-08 00:00:00"),
+            control_row("instants", "ts", 0, "2024-01-08 00:00:00"),
+        )
+        assert [r.row_count for r in setting.run()] == [3, 3]
+        sent = setting.sent()
+        first = 1704643200000  # 2024-01-08 in Shanghai
+        for table in ("times", "instants"):
+            assert sorted(r["ts"] for r in sent[table]) == [first + d * 86_400_000 for d in range(3)]
+            shown = setting.control.current(spark).filter(F.col("tablename") == table)
+            assert shown.select(F.col("batchstart_ts").cast("string")).first()[0] == "2024-01-10 00:00:00"
+        assert [r.row_count for r in setting.run()] == [1, 1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_random_history_matches_brute_force(spark, setting):
+    source = random.Random(11)
+    held = {name: [] for name in ("p", "q")}
+    offset = {name: 0 for name in held}
+    setting.register(*(control_row(name, "v", 2, 0) for name in held))
+    for step in range(4):
+        for name, values in held.items():
+            top = max(values, default=0)
+            new = [source.choice([None, *range(max(0, top - 3), top + 6)]) for _ in range(20)]
+            values += [v for v in new if v is not None]
+            setting.put(name, spark.createDataFrame([(v,) for v in new], "v bigint"))
+        results = {r.table: r for r in setting.run(single_write=step % 2 == 1)}
+        for name, values in held.items():
+            expected = sorted(v for v in values if v >= offset[name])
+            assert ids(setting, name, "v") == expected
+            assert results[name].row_count == len(expected)
+            offset[name] = max(values)
+            assert setting.state(name).longoffset == offset[name]
+            assert setting.state(name).currentbatchcount == len(expected)
