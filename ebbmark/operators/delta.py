@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import cached_property
-from itertools import batched
+from itertools import zip_longest
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -124,9 +124,8 @@ def union(frames: Iterable[DataFrame]) -> DataFrame:
     """Union in order, by halves: Spark checks the plan again at every step."""
     frames = [*frames]
     while len(frames) > 1:
-        frames = [
-            pair[0].unionAll(pair[1]) if len(pair) == 2 else pair[0] for pair in batched(frames, 2)
-        ]
+        pairs = zip_longest(frames[::2], frames[1::2])
+        frames = [left.unionAll(right) if right is not None else left for left, right in pairs]
     return frames[0]
 
 

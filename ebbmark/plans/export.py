@@ -6,7 +6,6 @@ import time
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
-from itertools import batched
 from typing import Any
 
 import pyarrow as pa
@@ -80,8 +79,6 @@ class BatchFailed(RuntimeError):
         self.results = results
         failed = [r for r in results if r.error is not None]
         super().__init__("; ".join(f"{r.table}: {r.error}" for r in failed))
-        for result in failed:
-            self.add_note(f"{result.table}: {result.error!r}")
 
 
 def wall_millis() -> int:
@@ -280,8 +277,9 @@ def export_batch(
     # rows are saved by this thread alone: saves never overlap.
     inheritable = inheritable_thread_target(spark)
     with ThreadPoolExecutor(1 if single_write else sink.concurrent) as pool:
-        for chunk in batched(rows, STATS_CHUNK):
+        for first in range(0, len(rows), STATS_CHUNK):
             started = clock()
+            chunk = rows[first : first + STATS_CHUNK]
             chunk_rows = [{**row, "started_millis": started} for row in chunk]
             exports, failed = _prepare(spark, chunk_rows, tables, from_start)
             results += failed

@@ -325,10 +325,10 @@ CONTROL_ROWS = (
     "start string, intoffset int, longoffset bigint"
 )
 BATCH_ROWS = [
-    ("events", 0, "ts", 0, EVENTS_FROM, None, 0),
-    ("part", 0, "p_size", 1, None, 25, 0),
-    ("orders", 0, "o_orderkey", 2, None, 0, 700),
-    ("customer", 1, "c_custkey", 2, None, 0, 0),
+    ("events", 0, "ts", 0, EVENTS_FROM, 0, 0),
+    ("part", 0, "p_size", 1, "2024-01-01 00:00:00", 25, 0),
+    ("orders", 0, "o_orderkey", 2, "2024-01-01 00:00:00", 0, 700),
+    ("customer", 1, "c_custkey", 2, "2024-01-01 00:00:00", 0, 0),
 ]
 
 
@@ -337,7 +337,7 @@ def control_rows(spark: SparkSession) -> DataFrame:
     rows = spark.createDataFrame(BATCH_ROWS, CONTROL_ROWS).select(
         "*",
         F.col("start").cast("timestamp").alias("batchstart_ts"),
-        F.lit(None).cast("timestamp").alias("batchend_ts"),
+        F.lit("2024-01-01 01:00:00").cast("timestamp").alias("batchend_ts"),
         F.lit("hourly").alias("typename"),
         F.element_at(
             F.array(F.lit("timestamp"), F.lit("int"), F.lit("long")), F.col("columntypeid") + 1
@@ -392,7 +392,7 @@ def export_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The batch clock of the run, 2024-01-31 11:20:00, is eight hours on in the control rows.
 ADVANCED_SQL = """
 SELECT 'events' AS tablename, 0 AS typeid, max(ts) AS batchstart_ts,
-       TIMESTAMP '2024-01-31 19:20:00' AS batchend_ts, CAST(NULL AS INTEGER) AS intoffset,
+       TIMESTAMP '2024-01-31 19:20:00' AS batchend_ts, 0 AS intoffset,
        CAST(0 AS BIGINT) AS longoffset,
        count(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-15 00:00:00') AS currentbatchcount,
        CAST(1 AS BIGINT) AS seq FROM events
@@ -422,7 +422,8 @@ def control_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(
     ADVANCED_SQL
-    + "UNION ALL SELECT 'customer', 1, NULL, NULL, 0, 0, 0, 0 FROM customer HAVING count(*) > 0"
+    + "UNION ALL SELECT 'customer', 1, TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-01 01:00:00', "
+    "0, 0, 0, 0 FROM customer HAVING count(*) > 0"
 )
 def export_control(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Control state after a run: batch 0 has moved, batch 1 has not."""
