@@ -35,13 +35,11 @@ OPEN_CONCURRENT = 8
 # The name a sink gets for records of several tables.
 TOGETHER = "all"
 
-# A control row on its way through the driver: clocks as microseconds, offset
-# chosen, and what this batch found.
+# A control row on its way through the driver: its offset chosen, the clocks
+# left out as they are set anew, and what this batch found.
 DRIVER_ROW = pa.schema(
     [
         ("tablename", pa.string()),
-        ("start_micros", pa.int64()),
-        ("end_micros", pa.int64()),
         ("typeid", pa.int32()),
         ("typename", pa.string()),
         ("checkcolumn", pa.string()),
@@ -49,7 +47,6 @@ DRIVER_ROW = pa.schema(
         ("longoffset", pa.int64()),
         ("columntypeid", pa.int32()),
         ("cloumntypename", pa.string()),
-        ("currentbatchcount", pa.int64()),
         ("ordered", pa.bool_()),
         ("seq", pa.int64()),
         ("stored_offset", pa.int64()),
@@ -86,15 +83,11 @@ def wall_millis() -> int:
 
 
 def driver_rows(control: DataFrame) -> DataFrame:
-    """Control rows with the clocks as numbers and the stored offset chosen."""
-    seq = F.col("seq") if "seq" in control.columns else F.lit(0).cast("bigint").alias("seq")
-    return control.select(
-        "*",
-        F.unix_micros("batchstart_ts").alias("start_micros"),
-        F.unix_micros("batchend_ts").alias("end_micros"),
-        stored_offset().alias("stored_offset"),
-        *([] if "seq" in control.columns else [seq]),
-    ).drop("batchstart_ts", "batchend_ts")
+    """Control rows as the driver needs them: no clocks, the stored offset chosen."""
+    if "seq" not in control.columns:
+        control = control.withColumn("seq", F.lit(0).cast("bigint"))
+    chosen = control.withColumn("stored_offset", stored_offset())
+    return chosen.drop("batchstart_ts", "batchend_ts", "currentbatchcount")
 
 
 def advanced(shift_hours: int = CLOCK_SHIFT_HOURS) -> list[Column]:
@@ -119,7 +112,7 @@ def advanced(shift_hours: int = CLOCK_SHIFT_HOURS) -> list[Column]:
             kind.isin(TIMESTAMP_CHECK, INT_CHECK), F.col("longoffset")
         ).otherwise(reached),
         "currentbatchcount": F.col("delta_count"),
-        "seq": F.col("seq") + 1,
+        "seq": F.coalesce("seq", F.lit(-1)) + 1,
     }
     return [
         moved[name].alias(name) if name in moved else F.col(name) for name in LOG_SCHEMA.names

@@ -136,10 +136,10 @@ SELECT tablename, typeid, columntypeid,
        CASE columntypeid WHEN 0 THEN epoch_us(batchstart_ts)
                          WHEN 1 THEN CAST(intoffset AS BIGINT)
                          ELSE longoffset END AS stored_offset
-FROM latest WHERE typeid = 2"""
+FROM latest"""
 )
 def stored_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = latest(select_batch(order_log(spark, sf_dir), 2))
+    rows = latest(order_log(spark, sf_dir))
     return rows.select("tablename", "typeid", "columntypeid", stored_offset().alias("stored_offset"))
 
 

@@ -60,9 +60,10 @@ def latest(log: DataFrame) -> DataFrame:
 
     ``max_by`` is combined before the shuffle, so each task sends one row per
     key however many versions a key has. Filters on the key reach the scan.
+    ``seq`` is meant to be unique within a key; a row without one comes first.
     """
     state = [c for c in log.columns if c not in KEY]
-    newest = F.max_by(F.struct(*state), "seq").alias("state")
+    newest = F.max_by(F.struct(*state), F.coalesce("seq", F.lit(-1))).alias("state")
     return log.groupBy(*KEY).agg(newest).select(*KEY, "state.*").select(*log.columns)
 
 

@@ -39,6 +39,11 @@ def test_latest_is_per_table_and_batch(spark):
     }
 
 
+def test_latest_without_seq(spark):
+    rows = log(spark, [(0, "a", 5, None), (0, "b", 1, None), (0, "b", 2, 0)])
+    assert {r.tablename: r.longoffset for r in latest(rows).collect()} == {"a": 5, "b": 2}
+
+
 def test_latest_with_one_key_holding_a_third_of_the_log(spark):
     versions = spark.range(30_000).select(
         F.lit(0).alias("typeid"),

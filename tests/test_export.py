@@ -298,6 +298,14 @@ def test_store_that_replaces_rows_by_key(spark, setting):
     assert offsets == [6, 9]
 
 
+def test_control_rows_brought_in_without_seq(spark, setting):
+    setting.register({**control_row("longs", "id", 2, 6), "seq": None})
+    setting.run()
+    assert (setting.state("longs").seq, setting.state("longs").longoffset) == (0, 9)
+    setting.run()
+    assert ids(setting) == [9]
+
+
 def test_unknown_batch_is_empty_and_text_batch_refused(spark, setting):
     setting.register(control_row("longs", "id", 2, 6))
     assert setting.run(batch=5) == []
