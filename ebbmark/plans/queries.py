@@ -249,21 +249,35 @@ def delta_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- records and the batch --------------------------------------------------
 
-EVENT_RECORD = """CAST(to_json(struct_pack(event_id := event_id, ts := epoch_us(ts) // 1000,
-  user_id := user_id, event_type := event_type, value := value, props := props)) AS VARCHAR)"""
-ORDER_RECORD = """CAST(to_json(struct_pack(o_orderkey := o_orderkey, o_custkey := o_custkey,
-  o_orderstatus := o_orderstatus, o_totalprice := o_totalprice,
-  o_orderdate := epoch_us(o_orderdate) // 1000, o_orderpriority := o_orderpriority)) AS VARCHAR)"""
-PART_RECORD = """CAST(to_json(struct_pack(p_partkey := p_partkey, p_name := p_name,
-  p_brand := p_brand, p_type := p_type, p_size := p_size,
-  p_retailprice := p_retailprice)) AS VARCHAR)"""
-LINEITEM_RECORD = """CAST(to_json(struct_pack(l_orderkey := l_orderkey, l_partkey := l_partkey,
-  l_suppkey := l_suppkey, l_linenumber := l_linenumber, l_quantity := l_quantity,
-  l_extendedprice := l_extendedprice, l_discount := l_discount, l_tax := l_tax,
-  l_returnflag := l_returnflag, l_linestatus := l_linestatus,
-  l_shipdate := epoch_us(l_shipdate) // 1000)) AS VARCHAR)"""
-CUSTOMER_RECORD = """CAST(to_json(struct_pack(c_custkey := c_custkey, c_name := c_name,
-  c_nationkey := c_nationkey, c_acctbal := c_acctbal, c_mktsegment := c_mktsegment)) AS VARCHAR)"""
+# Columns of the given tables, times marked with a star.
+COLUMNS = {
+    "events": "event_id ts* user_id event_type value props",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate* o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice "
+    "l_discount l_tax l_returnflag l_linestatus l_shipdate*",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal",
+    "nation": "n_nationkey n_name n_regionkey",
+    "region": "r_regionkey r_name",
+    "documents": "doc_id text lang source n_chars",
+    "pages": "page_id url html",
+    "benchmark": "item_id text",
+    "labels": "doc_id quality toxic",
+    "conversations": "conv_id turn role text",
+}
+
+
+def record_sql(table: str) -> str:
+    """SQL for the JSON of a row."""
+    fields = (
+        f"{c[:-1]} := epoch_us({c[:-1]}) // 1000" if c.endswith("*") else f"{c} := {c}"
+        for c in COLUMNS[table].split()
+    )
+    return f"CAST(to_json(struct_pack({', '.join(fields)})) AS VARCHAR)"
+
+
+EVENT_RECORD, PART_RECORD, ORDER_RECORD = (record_sql(t) for t in ("events", "part", "orders"))
 
 
 @registered(f"SELECT 'events' AS key, {EVENT_RECORD} AS value FROM events WHERE event_id >= 500")
@@ -276,25 +290,27 @@ def records_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_records(delta(check(spark, sf_dir, "part", "p_size", 1, 25)), "part")
 
 
-@registered(f"SELECT 'lineitem' AS key, {LINEITEM_RECORD} AS value FROM lineitem")
+@registered(f"SELECT 'lineitem' AS key, {record_sql('lineitem')} AS value FROM lineitem")
 def records_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_records(read(spark, sf_dir, "lineitem"), "lineitem")
 
 
-@registered(f"SELECT CAST(c_nationkey AS VARCHAR) AS key, {CUSTOMER_RECORD} AS value FROM customer")
+@registered(f"SELECT CAST(c_nationkey AS VARCHAR) AS key, {record_sql('customer')} AS value FROM customer")
 def records_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyed by a column, which spreads a table over the partitions of a topic."""
     return to_records(read(spark, sf_dir, "customer"), "customer", key_column="c_nationkey")
 
 
-@registered(
-    """SELECT 'documents' AS key, CAST(to_json(struct_pack(doc_id := doc_id, text := text,
-  lang := lang, source := source, n_chars := n_chars)) AS VARCHAR) AS value FROM documents"""
-)
+@registered(f"SELECT 'documents' AS key, {record_sql('documents')} AS value FROM documents")
 def records_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_records(read(spark, sf_dir, "documents"), "documents")
 
 
+@registered(f"SELECT 'pages' AS key, {record_sql('pages')} AS value FROM pages")
+def records_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return to_records(read(spark, sf_dir, "pages"), "pages")
+
+
 BATCH_SQL = f"""
 SELECT 'events' AS key, {EVENT_RECORD} AS value FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'
 UNION ALL SELECT 'part', {PART_RECORD} FROM part WHERE p_size >= 25
@@ -375,6 +391,26 @@ def export_single_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(records).select("key", "value")
 
 
+@registered(
+    " UNION ALL ".join(f"SELECT '{t}' AS key, {record_sql(t)} AS value FROM {t}" for t in COLUMNS)
+)
+def export_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first batch over every table: without an offset yet, all rows are new."""
+    folder = scratch_folder(spark)
+    control = ControlTable(TableStore(name_value=folder + "/{table}"), "control")
+    # The first column of every table serves as its check column.
+    checked = {table: columns.split()[0] for table, columns in COLUMNS.items()}
+    kinds = {"nation": 1, "region": 1}
+    rows = [(table, 0, key, kinds.get(table, 2)) for table, key in checked.items()]
+    schema = "tablename string, typeid int, checkcolumn string, columntypeid int"
+    first = spark.createDataFrame(rows, schema)
+    missing = {f.name: F.lit(None) for f in LOG_SCHEMA if f.name not in first.columns}
+    control.append(conform(first.withColumns(missing), LOG_SCHEMA))
+    sink = file_sink(f"{folder}/records")
+    export_batch(spark, 0, control, tables_in(sf_dir), sink, from_start=True)
+    return spark.read.parquet(f"{folder}/records").select("key", "value")
+
+
 @registered(
     f"""
 SELECT 'events' AS key, {EVENT_RECORD} AS value FROM events WHERE ts = (SELECT max(ts) FROM events)
