@@ -26,7 +26,10 @@ class RecordSink:
 
     def write(self, records: DataFrame, table: str) -> None:
         place = quote(table, safe="")
-        options = {k: v.replace("{table}", place) for k, v in self.options.items()}
+        options = {
+            key: value.replace("{table}", place) if isinstance(value, str) else value
+            for key, value in self.options.items()
+        }
         records.write.format(self.format).options(**options).mode("append").save()
 
 

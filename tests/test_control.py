@@ -29,7 +29,8 @@ def test_batch_id_is_an_integer_only(spark):
 
 
 def test_latest_is_per_table_and_batch(spark):
-    rows = log(spark, [(0, "a", 5, 1), (0, "a", 9, 2), (0, "a", 7, 0), (1, "a", 3, 0), (0, "b", None, 4)])
+    versions = [(0, "a", 5, 1), (0, "a", 9, 2), (0, "a", 7, 0), (1, "a", 3, 0), (0, "b", None, 4)]
+    rows = log(spark, versions)
     state = latest(rows)
     assert state.schema == rows.schema
     assert {(r.typeid, r.tablename, r.longoffset) for r in state.collect()} == {

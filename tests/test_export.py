@@ -44,7 +44,8 @@ class Setting:
             "tablename string, typeid int, checkcolumn string, columntypeid int, intoffset int, "
             "longoffset bigint, batchstart_ts string, typename string, ordered boolean, seq bigint"
         )
-        frame = self.spark.createDataFrame([tuple(r[n.split()[0]] for n in schema.split(", ")) for r in rows], schema)
+        names = [field.split()[0] for field in schema.split(", ")]
+        frame = self.spark.createDataFrame([tuple(r[n] for n in names) for r in rows], schema)
         missing = [f for f in LOG_SCHEMA if f.name not in frame.columns]
         self.control.append(conform(frame.withColumns({f.name: F.lit(None) for f in missing}), LOG_SCHEMA))
 

@@ -121,7 +121,8 @@ def test_day_texts(spark):
     assert [r[0] for r in rows.select(day_text(F.col("d"))).collect()] == ["20240301", "0"]
     found = rows.select(yesterday_text(F.col("d")), yesterday_text(F.col("d"), "yyyyMMdd")).first()
     assert tuple(found) == ("2024-02-29", "20240229")
-    today = rows.select(yesterday_text(), F.date_format(F.date_sub(F.current_date(), 1), "yyyy-MM-dd")).first()
+    before_today = F.date_format(F.date_sub(F.current_date(), 1), "yyyy-MM-dd")
+    today = rows.select(yesterday_text(), before_today).first()
     assert today[0] == today[1]
 
 

@@ -8,9 +8,12 @@ from ebbmark.sources.control_log import LOG_SCHEMA, conform
 
 def test_command_line(spark, tmp_path, capsys):
     spark.range(10).write.parquet(f"{tmp_path}/t")
-    row = spark.sql("SELECT 't' AS tablename, 4 AS typeid, 'id' AS checkcolumn, 2 AS columntypeid, 7L AS longoffset, 0L AS seq")
-    missing = [f for f in LOG_SCHEMA if f.name not in row.columns]
-    conform(row.withColumns({f.name: F.lit(None) for f in missing}), LOG_SCHEMA).write.parquet(f"{tmp_path}/control")
+    row = spark.sql(
+        "SELECT 't' AS tablename, 4 AS typeid, 'id' AS checkcolumn, 2 AS columntypeid, "
+        "7L AS longoffset, 0L AS seq"
+    )
+    missing = {f.name: F.lit(None) for f in LOG_SCHEMA if f.name not in row.columns}
+    conform(row.withColumns(missing), LOG_SCHEMA).write.parquet(f"{tmp_path}/control")
     settings = {
         "control": {"name_value": f"{tmp_path}/{{table}}", "name": "control"},
         "tables": {"name_value": f"{tmp_path}/{{table}}"},

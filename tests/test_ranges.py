@@ -11,8 +11,10 @@ from ebbmark.operators.ranges import (
     in_days_by_time,
     pick_range,
 )
+from ebbmark.operators.records import to_records
 from ebbmark.operators.schedule import next_due_table
 from ebbmark.sources.partitions import catalog_days, time_days
+from ebbmark.sources.sinks import file_sink
 
 
 def as_of():
@@ -100,7 +102,8 @@ def test_catalog_partitions(spark):
     spark.sql("CREATE TABLE by_day (id BIGINT, day INT, hour INT) USING parquet PARTITIONED BY (day, hour)")
     try:
         for day in (20240103, 20240101):
-            spark.range(3).selectExpr("id", f"{day} AS day", "CAST(id AS int) AS hour").write.insertInto("by_day")
+            rows = spark.range(3).selectExpr("id", f"{day} AS day", "CAST(id AS int) AS hour")
+            rows.write.insertInto("by_day")
         listed = catalog_days(spark, "by_day")
         assert sorted({r.day for r in listed.collect()}) == [20240101, 20240103]
         found = pick_range(listed, 20240102, as_of())
@@ -147,3 +150,18 @@ def test_next_due_table_takes_timestamps(spark):
         [(1, "a", datetime(2024, 1, 29, 23, 59))], "seq int, tablename string, last_batch timestamp"
     )
     assert next_due_table(schedule, as_of()).first().tablename == "a"
+
+
+def test_day_export(spark, stored, tmp_path):
+    """The next due table, its range, its rows as records in a sink."""
+    schedule = spark.createDataFrame(
+        [(1, "old", date(2024, 1, 5)), (2, "t", None)], "seq int, tablename string, last_batch date"
+    )
+    name = next_due_table(schedule, as_of()).first().tablename
+    table = spark.read.parquet(stored)
+    rows = in_days(table, pick_range(table, 20240103, as_of()))
+    sink = file_sink(f"{tmp_path}/out")
+    sink.write(to_records(rows, name), name)
+    sent = spark.read.parquet(f"{tmp_path}/out")
+    assert {r.key for r in sent.collect()} == {"t"}
+    assert sent.count() == count_rows(rows).first().row_count == 20
