@@ -32,6 +32,8 @@ class TableStore:
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         name = self.name_value.format(table=table)
         if self.format == CATALOG:
+            # A session keeps the file lists of metastore tables; other jobs add files.
+            spark.catalog.refreshTable(name)
             return spark.read.options(**self.options).table(name)
         reader = spark.read.format(self.format).options(**self.options)
         return reader.option(self.name_option, name).load()

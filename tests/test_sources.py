@@ -1,3 +1,6 @@
+import shutil
+from pathlib import Path
+
 import pytest
 
 from ebbmark.sources.scratch import scratch_folder
@@ -28,6 +31,22 @@ def test_catalog_tables(spark):
         spark.sql("DROP TABLE store_rows")
 
 
+def test_catalog_tables_show_files_added_by_others(spark, tmp_path):
+    place = f"{tmp_path}/outside"
+    spark.range(3).write.parquet(place)
+    spark.sql(f"CREATE TABLE outside (id BIGINT) USING parquet LOCATION '{place}'")
+    try:
+        store = TableStore("table")
+        assert store.read(spark, "outside").count() == 3
+        more = f"{tmp_path}/more"
+        spark.range(3, 5).coalesce(1).write.parquet(more)
+        for part in Path(more).glob("*.parquet"):
+            shutil.copy(part, place)
+        assert store.read(spark, "outside").count() == 5
+    finally:
+        spark.sql("DROP TABLE outside")
+
+
 def test_view_names(spark):
     assert view_name("db.t") == "db_t"
     assert view_name("store::db.t-1") == "store__db_t_1"
