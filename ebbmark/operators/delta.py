@@ -14,6 +14,7 @@ from functools import cached_property
 from itertools import zip_longest
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,9 @@ from pyspark.sql import types as T
 TIMESTAMP_CHECK = 0
 INT_CHECK = 1
 
+# Most files a delta is looked up in by name.
+NAMED_FILES = 1000
+
 
 def check_types(type_id: int) -> tuple[type[T.DataType], ...]:
     """Column types a control row's ``columntypeid`` admits."""
@@ -120,6 +124,25 @@ def delta(check: Check, upper: int | None = None) -> DataFrame:
     return rows if upper is None else rows.filter(f"{check.value} <= {check.literal(upper)}")
 
 
+def from_own_files(rows: DataFrame) -> DataFrame:
+    """The same rows of a delta, read only from the files that hold them.
+
+    Within parquet files nothing is skipped by ``timestamp_ntz`` or INT96
+    values. So the files with matching rows are looked up first, which reads
+    the check column alone; then, when all columns are read, the other files
+    stay unopened. Where there are too many files to name, or none behind the
+    table, the rows come back as they are.
+    """
+    path = F.col("_metadata.file_path")
+    try:
+        found = rows.select(path).distinct().limit(NAMED_FILES + 1).collect()
+    except AnalysisException:
+        return rows
+    if len(found) > NAMED_FILES:
+        return rows
+    return rows.filter(path.isin([row.file_path for row in found]))
+
+
 def union(frames: Iterable[DataFrame]) -> DataFrame:
     """Union in order, by halves: Spark checks the plan again at every step."""
     frames = [*frames]

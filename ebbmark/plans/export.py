@@ -21,6 +21,7 @@ from ebbmark.operators.delta import (
     Stats,
     collect_stats,
     delta,
+    from_own_files,
     stored_offset,
     union,
 )
@@ -130,6 +131,8 @@ class _Export:
 
     def records(self, key_column: str | None) -> DataFrame:
         rows = delta(self.check, self.max_offset)
+        if self.check.type_id == TIMESTAMP_CHECK:
+            rows = from_own_files(rows)
         return to_records(rows, self.check.table, key_column)
 
     def found(self, ended_millis: int) -> dict[str, Any]:

@@ -4,7 +4,16 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from ebbmark.operators.delta import Check, collect_stats, delta, delta_stats, stored_offset, table_stats
+from ebbmark.operators import delta as delta_module
+from ebbmark.operators.delta import (
+    Check,
+    collect_stats,
+    delta,
+    delta_stats,
+    from_own_files,
+    stored_offset,
+    table_stats,
+)
 
 
 def micros(year, month, day, hour=0, minute=0):
@@ -142,6 +151,42 @@ def test_stored_offset_follows_the_column_type(spark):
     assert [r[0] for r in rows.select(stored_offset()).collect()] == [1_000_000, 2, 3, 3]
 
 
+def scan_metric(frame, name):
+    rows = frame.collect()
+    node = frame._jdf.queryExecution().executedPlan()
+    while node.children().size():
+        node = node.children().head()
+    return len(rows), node.metrics().get(name).get().value()
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_time_deltas_open_only_their_files(spark, tmp_path, monkeypatch, kind):
+    place = f"{tmp_path}/a b%20c"  # a path that needs escaping
+    rows = spark.range(0, 800, 1, 8).selectExpr("id", f"CAST(timestamp_seconds(id) AS {kind}) AS ts")
+    rows.write.parquet(place)
+    rows.write.mode("append").parquet(place)
+    check = Check("t", spark.read.parquet(place), "ts", 0, 650_000_000)
+    found = delta(check, 720_000_000)
+    assert scan_metric(found, "numFiles") == (142, 16)
+    narrow = from_own_files(found)
+    assert scan_metric(narrow, "numFiles") == (142, 4)
+    assert sorted(narrow.collect()) == sorted(found.collect())
+    # Partition columns, nothing found, too many files to name.
+    by_day = f"{tmp_path}/days"
+    rows.withColumn("day", F.col("id") % 2).write.partitionBy("day").parquet(by_day)
+    days = delta(Check("t", spark.read.parquet(by_day), "ts", 0, 795_000_000))
+    assert sorted(from_own_files(days).collect()) == sorted(days.collect()) and days.count() == 5
+    assert from_own_files(delta(Check("t", check.frame, "ts", 0, 10**12))).count() == 0
+    monkeypatch.setattr(delta_module, "NAMED_FILES", 3)
+    assert from_own_files(found) is found
+
+
+def test_tables_without_files_are_read_as_they_are(spark):
+    frame = spark.range(5).selectExpr("timestamp_seconds(id) AS ts").repartition(2)
+    found = delta(Check("t", frame, "ts", 0, 3_000_000))
+    assert from_own_files(found) is found
+
+
 def plan(frame):
     return frame._jdf.queryExecution().explainString(
         frame._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
@@ -165,8 +210,5 @@ def test_row_groups_below_the_offset_are_skipped(spark, tmp_path):
     sorted_rows = spark.range(0, 200_000, 1, 1).selectExpr("id AS k")
     sorted_rows.write.option("parquet.block.size", 65536).parquet(place)
     frame = delta(Check("t", spark.read.parquet(place), "k", 2, 199_000))
-    assert len(frame.collect()) == 1000
-    node = frame._jdf.queryExecution().executedPlan()
-    while node.children().size():
-        node = node.children().head()
-    assert node.metrics().get("numOutputRows").get().value() < 100_000
+    rows, read = scan_metric(frame, "numOutputRows")
+    assert rows == 1000 and read < 100_000
