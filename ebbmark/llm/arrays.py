@@ -132,8 +132,8 @@ def _space_table() -> np.ndarray:
     return table
 
 
-def shingles(words: Words, hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of runs of ``size`` words, and their rows; a shorter text is one run."""
+def shingles(words: Words, hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of runs of ``size`` words, their rows and first words; a shorter text is one run."""
     n = len(hashes)
     whole = np.zeros(n, np.uint64)
     for k in range(size):
@@ -141,7 +141,8 @@ def shingles(words: Words, hashes: np.ndarray, size: int) -> tuple[np.ndarray, n
     full = np.zeros(n, bool)
     if n >= size:
         full[: n - size + 1] = words.rows[: n - size + 1] == words.rows[size - 1 :]
-    keys, rows = [mix(whole[full])], [words.rows[full]]
+    at = np.flatnonzero(full)
+    keys, rows, places = [mix(whole[at])], [words.rows[at]], [at - words.bounds[words.rows[at]]]
     for length in range(1, min(size, n + 1)):
         short = np.flatnonzero(words.counts == length)
         if len(short):
@@ -151,7 +152,8 @@ def shingles(words: Words, hashes: np.ndarray, size: int) -> tuple[np.ndarray, n
                 total += mix(hashes[first + k], k + 1)
             keys.append(mix(total, 99))
             rows.append(short)
-    return np.concatenate(keys), np.concatenate(rows)
+            places.append(np.zeros(len(short), np.int64))
+    return np.concatenate(keys), np.concatenate(rows), np.concatenate(places)
 
 
 def distinct_pairs(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -8,13 +8,43 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbmark.llm import near_dedup, packing, quality_classifier, quality_rules, secret_scan
+from ebbmark.llm import (
+    fingerprints,
+    html_text,
+    language_id,
+    license_scan,
+    near_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    sentencepiece_scan,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of all documents, encoded chunk by chunk."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = sentencepiece_scan.encode(docs, path)
+    return encoded.select(
+        "doc_id",
+        "n_chunks",
+        F.expr("octet_length(ids) div 4").cast("bigint").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in all documents, one row per document and licence."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return license_scan.scan(docs)
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents, learned from the labels that are not held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -36,12 +66,22 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_text.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents."""
     docs = _table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprints.compare(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of all documents; a source owns its documents."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -55,14 +95,27 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(docs, spark, shingle=4, percent=80)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from those that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.train(docs.filter(f"NOT {language_id.held_out()}"))
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.expr(f"NOT NOT {language_id.held_out()}").alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_sentencepiece,
+        op2_license_scan,
         op3_quality_classifier,
         op4_quality_rules,
+        op5_html_text,
         op6_packing,
+        op7_fingerprints,
         op8_secret_scan,
         op9_near_dedup,
+        op10_language_id,
     )
 }
 ORACLES: dict[str, str] = {}
