@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ebbmark.sources.scratch import scratch_folder
 
@@ -136,7 +137,7 @@ def shingles(words: Words, hashes: np.ndarray, size: int) -> tuple[np.ndarray, n
     """Hashes of runs of ``size`` words, their rows and first words; a shorter text is one run."""
     n = len(hashes)
     whole = np.zeros(n, np.uint64)
-    for k in range(size):
+    for k in range(min(size, n)):
         whole[: n - k] += mix(hashes[k:], k + 1)
     full = np.zeros(n, bool)
     if n >= size:
@@ -174,6 +175,26 @@ def code_points(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     return points, heads[offsets]
 
 
+# Bits of a membership filter: a million words of 64, whatever the input.
+FILTER_BITS = 1 << 26
+
+
+def membership(ids: DataFrame, column: str) -> np.ndarray:
+    """A bitmap in which the hash of every value of a column is set.
+
+    Of a size that does not grow with the data: a value not met before may be
+    let through, one that is there never stays out.
+    """
+    bit = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+    words = ids.groupBy(F.shiftright(bit, 6).cast("int").alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(xxhash64({column}), 64) AS INT))")).alias("bits")
+    )
+    found = words.toArrow()
+    bitmap = np.zeros(FILTER_BITS // 64, np.int64)
+    bitmap[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return bitmap
+
+
 def sums_by_row(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of the values of each row, rows being given by where they begin."""
     totals = np.zeros(len(values) + 1, values.dtype if values.dtype.kind in "fu" else np.int64)

@@ -61,8 +61,8 @@ def _place(digest: str, group: int, size: int) -> str:
 def sketch(array: str, size: int) -> str:
     """SQL for the cells of an array of digests: the XOR of what falls in each."""
     by_group = [
-        f"transform(sequence(0, {size - 1}), v -> aggregate({array}, 0L, (x, d) -> "
-        f"IF(pmod(xxhash64(d, {group}), {size}) = v, x ^ d, x)))"
+        f"transform(sequence(0, {size - 1}), v -> aggregate({array}, 0L, (_x, _d) -> "
+        f"IF(pmod(xxhash64(_d, {group}), {size}) = v, _x ^ _d, _x)))"
         for group in range(GROUPS)
     ]
     return f"concat({', '.join(by_group)})"
@@ -90,7 +90,7 @@ def differing(array: str) -> str:
     Where even the largest is stuck (digests that share all their cells), they are counted one by one.
     """
     tries = [peeled(sketch(array, size), size) for size in TRIES]
-    plain = f"size(filter(array_distinct({array}), d -> size(filter({array}, e -> e = d)) % 2 = 1))"
+    plain = f"size(filter(array_distinct({array}), _d -> size(filter({array}, _e -> _e = _d)) % 2 = 1))"
     return f"coalesce({', '.join(tries)}, {plain})"
 
 
@@ -197,7 +197,7 @@ def _likeness(rows: DataFrame) -> DataFrame:
             )
         ).alias("p"),
     )
-    shards = f"CAST(ceil(p.n / {float(SHARD_LOAD)}) AS INT)"
+    shards = f"greatest(1, CAST(ceil(p.n / {float(SHARD_LOAD)}) AS INT))"
     dealt = pairs.select("range", "place", "p.pair", "p.n", F.expr(shards).alias("shards"), F.expr("explode_outer(p.both)").alias("d"))
     dealt = dealt.withColumn("shard", F.expr("coalesce(pmod(xxhash64(d, 99), shards), 0)"))
     # A shard holds about SHARD_LOAD digests, whatever the length of the text.

@@ -203,7 +203,7 @@ class LanguageModel:
             value, known = self._look_up(self.gram_hashes, self.gram_logs, _hash(tail, salts[todo], order))
             logs[todo[known]] += value[known]
             todo, tail = todo[~known], tail[~known]
-            if order > 1 and len(todo):
+            if len(todo):
                 keys = _hash(tail >> SYMBOL_BITS, salts[todo], order)
                 weight, seen = self._look_up(self.context_hashes, self.context_logs, keys)
                 logs[todo[seen]] += weight[seen]
@@ -263,7 +263,7 @@ def _levels(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
         grams.append(lower.withColumn("level", F.lit(order)))
         lower = lower.withColumnRenamed("p", "below")
         contexts.append(weights.selectExpr("lang", "context AS gram", f"{order} AS level", "held / total AS g"))
-    return reduce(DataFrame.unionAll, grams), reduce(DataFrame.unionAll, contexts[1:])
+    return reduce(DataFrame.unionAll, grams), reduce(DataFrame.unionAll, contexts)
 
 
 def _hashed(rows: DataFrame, value: str) -> tuple[np.ndarray, np.ndarray]:

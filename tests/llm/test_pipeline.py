@@ -1,0 +1,64 @@
+"""The pipeline stage by stage against the operators' own verdicts."""
+
+import re
+
+import corpus_pipeline
+from ebbmark.llm import near_dedup, packing, quality_classifier, quality_rules, secret_scan
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_stages_and_run(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality_classifier",
+        "quality_rules",
+        "near_dedup",
+        "secret_scan",
+        "packing",
+    ]
+    model = quality_classifier.model_from(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    good = {r.doc_id for r in quality_classifier.score(docs, model).collect() if r.score >= 0.5}
+    results = []
+    now = docs
+    for _, stage in corpus_pipeline.STAGES:
+        now = stage(spark, now, SF).cache()
+        results.append(now)
+    scored, ruled, single, cleaned, pieces = results
+    assert all(r.columns == docs.columns for r in results[:-1])
+    assert {r.doc_id for r in scored.collect()} == good and 0 < len(good) < docs.count()
+    kept = {r.doc_id for r in quality_rules.judge(scored).collect() if r.kept}
+    assert {r.doc_id for r in ruled.collect()} == kept and len(kept) < len(good)
+    heads = {r.doc_id for r in near_dedup.near_duplicates(ruled, spark).collect() if r.kept}
+    assert {r.doc_id for r in single.collect()} == heads and len(heads) < len(kept)
+    before = {r.doc_id: r for r in single.collect()}
+    changed = 0
+    for r in cleaned.collect():
+        old = before.pop(r.doc_id)
+        assert not re.search(r"token = \"?[0-9a-f]{24}", r.text) and (r.lang, r.source) == (old.lang, old.source)
+        assert r.n_chars == len(r.text) if r.text != old.text else r == old
+        changed += r.text != old.text
+    assert not before and changed
+    by_doc = {r.doc_id: r.doc_tokens for r in pieces.collect()}
+    texts = {r.doc_id: r.text for r in cleaned.collect()}
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert by_doc == {k: len(packing.token_ids(t, path)) // 4 + 1 for k, t in texts.items()}
+    run = corpus_pipeline.run(spark, SF)
+    assert sorted(map(tuple, run.drop("sequence_id").collect())) == sorted(map(tuple, pieces.drop("sequence_id").collect()))
+
+
+def test_redaction_leaves_no_base_secret(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    again = secret_scan.scan(corpus_pipeline.redact_secrets(spark, docs, SF))
+    assert again.filter("n_assign + n_access + n_hex > 0").count() == 0
+
+
+def test_rows_without_a_text_pass_the_stages(spark):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    docs = spark.createDataFrame([(1, None, None, None, None), (2, "", "en", "a", 0)], schema)
+    for _, stage in corpus_pipeline.STAGES[1:]:
+        assert stage(spark, docs.limit(0), SF).count() == 0
+    assert corpus_pipeline.keep_one_of_each_group(spark, docs, SF).count() == 2
+    assert {r.text for r in corpus_pipeline.redact_secrets(spark, docs, SF).collect()} == {None, ""}

@@ -1,0 +1,90 @@
+"""Piece ids against the library's encoder."""
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from ebbmark.llm import sentencepiece_scan as scan
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+LIBRARY = sentencepiece.SentencePieceProcessor(model_file=PATH)
+PIECES = scan.Pieces(PATH)
+
+
+def numbers(ids):
+    return np.frombuffer(ids, "<u4").tolist()
+
+
+def in_chunks(text, size):
+    n, reach = -(-len(text) // size), PIECES.longest
+    chunks = [
+        scan.Chunk(
+            PIECES,
+            scan._as_pieces(text[max(0, k * size - reach) : k * size]),
+            ("" if k else scan.SPACE) + scan._as_pieces(text[k * size : (k + 1) * size]),
+            scan._as_pieces(text[(k + 1) * size : (k + 1) * size + reach]),
+            k == 0,
+            k == n - 1,
+        )
+        for k in range(n)
+    ]
+    states = scan.cut_states([c.transfer() for c in chunks])
+    return b"".join(c.backtrace(a, b) for c, a, b in zip(chunks, states, states[1:]))
+
+
+PARTS = ["a", "b", "th", "er", "ion", "tion", "x", " ", "  ", "é", "中", "0", "\n", ".", "==", "ing", "s", "\U0001f600", "▁"]
+
+
+@given(st.lists(st.sampled_from(PARTS), min_size=1, max_size=400).map("".join))
+@settings(max_examples=150, deadline=None)
+def test_any_text(text):
+    expected = LIBRARY.encode(text)
+    assert numbers(PIECES.text(scan.SPACE + scan._as_pieces(text))) == expected
+    if len(text) > 70:
+        assert numbers(in_chunks(text, 70)) == expected
+
+
+def test_text_without_a_space_in_sight():
+    rng = random.Random(2)
+    text = "".join(rng.choice("abcdefilmnorstu") for _ in range(3000))
+    assert numbers(in_chunks(text, 100)) == LIBRARY.encode(text)
+
+
+def test_tree_of_products_finds_the_best_path():
+    rng = np.random.default_rng(0)
+    for n in (1, 2, 3, 5, 8):
+        sizes = [1, *rng.integers(2, 5, n - 1), 1]
+        matrices = [rng.random((a, b)).astype(np.float32) for a, b in zip(sizes, sizes[1:])]
+        states = scan.cut_states(matrices)
+        value = sum(m[a, b] for m, a, b in zip(matrices, states, states[1:]))
+        best = matrices[0]
+        for m in matrices[1:]:
+            best = scan.max_plus(best, m)
+        assert states[0] == states[-1] == 0 and value == pytest.approx(best[0, 0])
+
+
+def test_documents_in_short_chunks_and_back(spark, documents):
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    encoded = scan.encode(documents, PATH, chunk=500)
+    rows = encoded.collect()
+    assert len(rows) == len(texts) and max(r.n_chunks for r in rows) > 5
+    for r in rows:
+        assert numbers(r.ids) == LIBRARY.encode(texts[r.doc_id])
+        assert r.n_chunks == max(1, -(-len(texts[r.doc_id]) // 500))
+    decoded = {r.doc_id: r.text for r in scan.decode(encoded, PATH).collect()}
+    assert decoded == texts
+
+
+def test_odd_rows(odd, nothing):
+    rows = scan.encode(odd.selectExpr("*", "1 AS row", "2 AS chunk", "3 AS ids"), PATH).collect()
+    texts = [r.text or "" for r in odd.collect()]
+    assert sorted(map(numbers, (r.ids for r in rows))) == sorted(LIBRARY.encode(texts))
+    assert max(r.n_chunks for r in rows) == 8
+    assert scan.encode(nothing, PATH).count() == 0
+    with pytest.raises(ValueError):
+        scan.encode(nothing, PATH, chunk=10)
