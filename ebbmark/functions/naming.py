@@ -30,7 +30,10 @@ def to_snake(name: Column) -> Column:
         ).otherwise(F.upper(c)),
     )
     spread = F.concat(F.upper(_head(name)), F.array_join(marked, ""))
-    return F.coalesce(F.lower(spread), F.lit(""))
+    # In ASCII only small letters have another upper case: one pattern does it all.
+    ascii_only = F.concat(_head(name), F.regexp_replace(_tail(name), "([^a-z0-9_])", "_$1"))
+    short = name.rlike(r"^\p{ASCII}*$")
+    return F.coalesce(F.lower(F.when(short, ascii_only).otherwise(spread)), F.lit(""))
 
 
 def to_camel(name: Column, first_upper: bool = False) -> Column:

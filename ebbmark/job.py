@@ -10,7 +10,7 @@ The settings file names the control table, the source tables and the sink::
                 "name_option": "kudu.table"},
      "sink": {"format": "kafka", "concurrent": 8,
               "options": {"kafka.bootstrap.servers": "b:9092", "topic": "export"}},
-     "export": {"key_column": null, "shift_hours": 8}}
+     "export": {"key_columns": {"db.orders": "customer_id"}, "spread": null, "shift_hours": 8}}
 
 The master and everything else about the cluster is left to ``spark-submit``.
 """

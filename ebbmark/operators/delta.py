@@ -23,9 +23,6 @@ from pyspark.sql import types as T
 TIMESTAMP_CHECK = 0
 INT_CHECK = 1
 
-# Most files a delta is looked up in by name.
-NAMED_FILES = 1000
-
 
 def check_types(type_id: int) -> tuple[type[T.DataType], ...]:
     """Column types a control row's ``columntypeid`` admits."""
@@ -124,23 +121,27 @@ def delta(check: Check, upper: int | None = None) -> DataFrame:
     return rows if upper is None else rows.filter(f"{check.value} <= {check.literal(upper)}")
 
 
-def from_own_files(rows: DataFrame) -> DataFrame:
+def has_files(frame: DataFrame) -> bool:
+    """Whether rows know the file they come from; settled by analysis, nothing runs."""
+    try:
+        return frame.select("_metadata.file_path").columns == ["file_path"]
+    except AnalysisException:
+        return False
+
+
+def in_files(rows: DataFrame, paths: Iterable[str] | None) -> DataFrame:
     """The same rows of a delta, read only from the files that hold them.
 
     Within parquet files nothing is skipped by ``timestamp_ntz`` or INT96
-    values. So the files with matching rows are looked up first, which reads
-    the check column alone; then, when all columns are read, the other files
-    stay unopened. Where there are too many files to name, or none behind the
-    table, the rows come back as they are.
+    values; with the files named, the others stay unopened when all columns are
+    read. Any number of files can be named: the driver holds the file list of
+    the table already, so the paths are bounded by what it keeps anyway.
+    ``None`` means that the files are not known.
     """
-    path = F.col("_metadata.file_path")
-    try:
-        found = rows.select(path).distinct().limit(NAMED_FILES + 1).collect()
-    except AnalysisException:
-        return rows
-    if len(found) > NAMED_FILES:
+    if paths is None:
         return rows
-    return rows.filter(path.isin([row.file_path for row in found]))
+    named = ", ".join("'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'" for path in sorted(paths))
+    return rows.filter(f"_metadata.file_path IN ({named})") if named else rows.filter("false")
 
 
 def union(frames: Iterable[DataFrame]) -> DataFrame:
@@ -152,14 +153,16 @@ def union(frames: Iterable[DataFrame]) -> DataFrame:
     return frames[0]
 
 
-def _stats_of(check: Check, rows: DataFrame, count: str, label: str | None) -> DataFrame:
+def _stats_of(check: Check, rows: DataFrame, count: str, label: str | None, files: str | None = None) -> DataFrame:
     # The conversions come after the maximum: once per table, not per row.
     top = f"max({check.value})"
+    paths = [] if files is None else [F.expr(f"{files} AS files")]
     return rows.select(
         F.lit(check.table if label is None else label).alias("tablename"),
         F.expr(f"{check.as_offset(top)} AS max_offset"),
         F.expr(f"{count} AS delta_count"),
         F.expr(f"{check.exact(top)} AS exact"),
+        *paths,
     )
 
 
@@ -180,11 +183,25 @@ def delta_stats(check: Check, label: str | None = None) -> DataFrame:
     return _stats_of(check, check.frame.filter(check.at_or_past), "count(*)", label)
 
 
+def file_stats(check: Check, label: str | None = None) -> DataFrame:
+    """Like :func:`delta_stats`, with ``files``, the files that hold rows of a timestamp delta.
+
+    Null for other checks, whose comparison skips files by itself, and for
+    sources without files. Combined per task: a path for each file it read.
+    """
+    files = "CAST(NULL AS ARRAY<STRING>)"
+    if check.type_id == TIMESTAMP_CHECK and has_files(check.frame):
+        files = "collect_set(_metadata.file_path)"
+    return _stats_of(check, check.frame.filter(check.at_or_past), "count(*)", label, files)
+
+
 class Stats(NamedTuple):
     table: str
     max_offset: int | None
     delta_count: int
     exact: bool
+    # Files that hold rows of the delta, where they are worth naming.
+    files: list[str] | None = None
 
 
 def collect_stats(checks: Sequence[Check]) -> list[Stats]:
@@ -201,7 +218,7 @@ def collect_stats(checks: Sequence[Check]) -> list[Stats]:
             place = int(row.tablename)
             found[place] = Stats(checks[place].table, *row[1:])
 
-    run(delta_stats, range(len(checks)))
+    run(file_stats, range(len(checks)))
     empty = [i for i, stats in found.items() if stats.delta_count == 0]
     if empty:
         run(table_stats, empty)

@@ -7,26 +7,60 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _json_field(field: T.StructField) -> str:
-    name = "`" + field.name.replace("`", "``") + "`"
-    if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return f"unix_millis(CAST({name} AS TIMESTAMP)) AS {name}"
-    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _json_value(value: str, kind: T.DataType, depth: int = 0) -> str:
+    """SQL for a value as it goes into JSON; the value itself where its type needs no change."""
+    inner = f"x{depth}"
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return f"unix_millis(CAST({value} AS TIMESTAMP))"
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
         # JSON has no NaN and no infinities; they leave as missing values.
         # Only a finite x gives x - x = 0.
-        return f"CASE WHEN {name} - {name} = 0 THEN {name} END AS {name}"
-    return name
+        return f"CASE WHEN {value} - {value} = 0 THEN {value} END"
+    if isinstance(kind, T.ArrayType):
+        changed = _json_value(inner, kind.elementType, depth + 1)
+        return value if changed == inner else f"transform({value}, {inner} -> {changed})"
+    if isinstance(kind, T.MapType):
+        # Keys are written as text either way.
+        changed = _json_value(inner, kind.valueType, depth + 1)
+        return value if changed == inner else f"transform_values({value}, (k{depth}, {inner}) -> {changed})"
+    if isinstance(kind, T.StructType):
+        fields = [(f.name, f"{value}.{_quoted(f.name)}", f.dataType) for f in kind]
+        changed = [_json_value(field, data_type, depth) for _, field, data_type in fields]
+        if all(new == field for new, (_, field, _) in zip(changed, fields)):
+            return value
+        parts = ", ".join(f"{new} AS {_quoted(name)}" for new, (name, _, _) in zip(changed, fields))
+        return f"CASE WHEN {value} IS NOT NULL THEN struct({parts}) END"
+    return value
+
+
+def _json_field(field: T.StructField) -> str:
+    name = _quoted(field.name)
+    value = _json_value(name, field.dataType)
+    return name if value == name else f"{value} AS {name}"
 
 
-def to_records(rows: DataFrame, table: str, key_column: str | None = None) -> DataFrame:
+def to_records(
+    rows: DataFrame, table: str, key_column: str | None = None, spread: int | None = None
+) -> DataFrame:
     """``(key, value)`` strings. The key is the table name, the same for all
-    rows, unless a key column is named.
+    rows, unless a key column is named. ``spread`` adds ``partition``, an int
+    below it by a hash of the value, which a Kafka sink takes as the topic
+    partition: so the key can stay the table's name on many partitions.
 
     In the value, null fields are left out, timestamps and dates are epoch
-    milliseconds and binary is base64. Fields keep the order of the schema.
+    milliseconds, NaN and infinities are missing (in an array: null) and binary
+    is base64, also within structs, arrays and maps. Fields keep the order of
+    the schema.
     """
     key = F.lit(table) if key_column is None else F.col(key_column).cast("string")
     # One SQL text for all fields: a batch plans thousands of columns on the driver.
     fields = ", ".join(_json_field(f) for f in rows.schema)
     value = F.expr(f"to_json(struct({fields}), map('ignoreNullFields', 'true'))")
-    return rows.select(key.alias("key"), value.alias("value"))
+    records = rows.select(key.alias("key"), value.alias("value"))
+    if spread is None:
+        return records
+    return records.withColumn("partition", F.pmod(F.xxhash64("value"), F.lit(spread)).cast("int"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from typing import Any
@@ -21,7 +21,7 @@ from ebbmark.operators.delta import (
     Stats,
     collect_stats,
     delta,
-    from_own_files,
+    in_files,
     stored_offset,
     union,
 )
@@ -128,12 +128,12 @@ class _Export:
     check: Check
     max_offset: int | None
     delta_count: int
+    files: list[str] | None
 
-    def records(self, key_column: str | None) -> DataFrame:
-        rows = delta(self.check, self.max_offset)
-        if self.check.type_id == TIMESTAMP_CHECK:
-            rows = from_own_files(rows)
-        return to_records(rows, self.check.table, key_column)
+    def records(self, key_columns: Mapping[str, str], spread: int | None) -> DataFrame:
+        # The watermark only narrows the rows further: their files hold them all.
+        rows = in_files(delta(self.check, self.max_offset), self.files)
+        return to_records(rows, self.check.table, key_columns.get(self.check.table), spread)
 
     def found(self, ended_millis: int) -> dict[str, Any]:
         return {
@@ -177,14 +177,22 @@ def open_checks(
         return [*pool.map(inheritable_thread_target(spark)(open_one), rows)]
 
 
-def export_stats(checks: Sequence[Check]) -> list[Stats | Exception]:
-    """Stats of all checks in one job, or one by one if that job fails."""
+def export_stats(spark: SparkSession, checks: Sequence[Check]) -> list[Stats | Exception]:
+    """Stats of all checks in one job; if that job fails, of each on its own, several at a time."""
+
+    def alone(check: Check) -> Stats | Exception:
+        try:
+            return collect_stats([check])[0]
+        except Exception as error:
+            return error
+
     try:
         return [*collect_stats(checks)]
     except Exception as error:
         if len(checks) == 1:
             return [error]
-    return [found for check in checks for found in export_stats([check])]
+    with ThreadPoolExecutor(OPEN_CONCURRENT) as pool:
+        return [*pool.map(inheritable_thread_target(spark)(alone), checks)]
 
 
 def _prepare(
@@ -199,9 +207,16 @@ def _prepare(
         for row, check in opened
         if isinstance(check, Exception)
     ]
-    ready = [(row, check) for row, check in opened if isinstance(check, Check)]
+    ready = []
+    for row, check in opened:
+        if isinstance(check, Check) and check.offset is None and not from_start:
+            # Nothing could be sent, and advancing would lose every row so far.
+            missing = ValueError("no offset: store one (0 for a new table) or pass from_start")
+            failed.append(TableResult(check.table, None, error=missing))
+        elif isinstance(check, Check):
+            ready.append((row, check))
     exports = []
-    for (row, check), stats in zip(ready, export_stats([c for _, c in ready]) if ready else []):
+    for (row, check), stats in zip(ready, export_stats(spark, [c for _, c in ready]) if ready else []):
         if isinstance(stats, Stats) and not stats.exact:
             stats = ValueError(
                 f"the largest {check.column} is a local time the session time zone "
@@ -210,7 +225,7 @@ def _prepare(
         if isinstance(stats, Exception):
             failed.append(TableResult(check.table, check.offset, error=stats))
         else:
-            exports.append(_Export(row, check, stats.max_offset, stats.delta_count))
+            exports.append(_Export(row, check, stats.max_offset, stats.delta_count, stats.files))
     return exports, failed
 
 
@@ -222,9 +237,11 @@ def export_batch(
     sink: RecordSink,
     *,
     from_start: bool = False,
-    key_column: str | None = None,
+    key_columns: Mapping[str, str] | None = None,
+    spread: int | None = None,
     shift_hours: int = CLOCK_SHIFT_HOURS,
     single_write: bool = False,
+    write_group: int = STATS_CHUNK,
     clock: Callable[[], int] = wall_millis,
 ) -> list[TableResult]:
     """Export the new rows of every table of a batch, then advance its control rows.
@@ -235,10 +252,16 @@ def export_batch(
     at-least-once. A table that fails keeps its control row, the others go on,
     and :class:`BatchFailed` is raised at the end.
 
-    ``from_start`` makes a null offset mean "everything" rather than nothing.
-    ``single_write`` sends all tables of a chunk in one job, which is quicker
-    for many small tables, but one failure then holds back the whole chunk.
+    A table without an offset fails, unless ``from_start`` makes a null offset
+    mean "everything". ``key_columns`` names the column whose value keys the
+    records of a table; tables not named there have their name as key.
+    ``spread`` deals the records of every table over that many topic partitions
+    by a hash of the row, whatever their key. ``single_write`` sends up to
+    ``write_group`` tables in one job, which is quicker for many small tables,
+    but one failure then holds back the whole group.
     """
+    if write_group < 1:
+        raise ValueError("a write group has one table at least")
     # One row per table of the batch: what the driver needs to start the jobs.
     rows = driver_rows(control.current(spark, batch_id)).toArrow().to_pylist()
     rows.sort(key=lambda row: row["tablename"] or "")
@@ -249,7 +272,7 @@ def export_batch(
     def write(unit: list[_Export]) -> list[dict[str, Any]]:
         sending = [export for export in unit if export.delta_count]
         if sending:
-            records = union(export.records(key_column) for export in sending)
+            records = union(export.records(key_columns or {}, spread) for export in sending)
             sink.write(records, TOGETHER if single_write else sending[0].check.table)
         ended = clock()
         return [export.found(ended) for export in unit]
@@ -273,13 +296,16 @@ def export_batch(
     # rows are saved by this thread alone: saves never overlap.
     inheritable = inheritable_thread_target(spark)
     with ThreadPoolExecutor(1 if single_write else sink.concurrent) as pool:
-        for first in range(0, len(rows), STATS_CHUNK):
+        # A group that is written together is prepared together.
+        step = max(STATS_CHUNK // write_group, 1) * write_group if single_write else STATS_CHUNK
+        for first in range(0, len(rows), step):
             started = clock()
-            chunk = rows[first : first + STATS_CHUNK]
+            chunk = rows[first : first + step]
             chunk_rows = [{**row, "started_millis": started} for row in chunk]
             exports, failed = _prepare(spark, chunk_rows, tables, from_start)
             results += failed
-            units = [exports] if single_write else [[export] for export in exports]
+            size = write_group if single_write else 1
+            units = [exports[i : i + size] for i in range(0, len(exports), size)]
             running |= {pool.submit(inheritable(write), unit): unit for unit in units}
             settle([future for future in running if future.done()])
         while running:

@@ -6,6 +6,7 @@ are derived from them, so their size follows the data.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -28,7 +29,7 @@ from ebbmark.operators.schedule import next_due_table
 from ebbmark.operators.schemas import apply_schema, camel_columns, declared_schema, snake_columns
 from ebbmark.plans.export import advanced, driver_rows, export_batch
 from ebbmark.sources.control_log import LOG_SCHEMA, ControlTable, conform, latest, select_batch
-from ebbmark.sources.partitions import time_days
+from ebbmark.sources.partitions import catalog_days, time_days
 from ebbmark.sources.scratch import scratch_folder
 from ebbmark.sources.sinks import file_sink
 from ebbmark.sources.tables import TableStore, register_view
@@ -249,7 +250,7 @@ def delta_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- records and the batch --------------------------------------------------
 
-# Columns of the given tables, times marked with a star.
+# Columns of the given tables, times marked with a star, arrays of floats with two.
 COLUMNS = {
     "events": "event_id ts* user_id event_type value props",
     "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate* o_orderpriority",
@@ -265,16 +266,41 @@ COLUMNS = {
     "benchmark": "item_id text",
     "labels": "doc_id quality toxic",
     "conversations": "conv_id turn role text",
+    "embeddings": "vec_id embedding** label",
 }
 
+# A float as JSON has it here: shortest digits, below a thousandth with an
+# exponent. DuckDB's own JSON widens floats to doubles, so the text is built
+# from its shortest form, plain (0.00012) or with an exponent (1.2e-05).
+_SHORT = "CAST(x AS VARCHAR)"
+_DIGITS = f"ltrim(replace(replace({_SHORT}, '-', ''), '.', ''), '0')"
+_ZEROS = f"length(regexp_extract({_SHORT}, '^-?0[.](0*)', 1))"
+FLOAT_SQL = f"""CASE WHEN x = 0 OR abs(x) >= 1e-3 THEN {_SHORT}
+  WHEN {_SHORT} LIKE '%e-%' THEN
+    split_part({_SHORT}, 'e-', 1) || CASE WHEN {_SHORT} LIKE '%.%' THEN '' ELSE '.0' END
+      || 'E-' || CAST(CAST(split_part({_SHORT}, 'e-', 2) AS INTEGER) AS VARCHAR)
+  ELSE CASE WHEN x < 0 THEN '-' ELSE '' END || left({_DIGITS}, 1) || '.'
+      || CASE WHEN length({_DIGITS}) > 1 THEN substr({_DIGITS}, 2) ELSE '0' END
+      || 'E-' || CAST({_ZEROS} + 1 AS VARCHAR) END"""
+
 
 def record_sql(table: str) -> str:
     """SQL for the JSON of a row."""
-    fields = (
-        f"{c[:-1]} := epoch_us({c[:-1]}) // 1000" if c.endswith("*") else f"{c} := {c}"
-        for c in COLUMNS[table].split()
-    )
-    return f"CAST(to_json(struct_pack({', '.join(fields)})) AS VARCHAR)"
+    fields, lists = [], []
+    for c in COLUMNS[table].split():
+        name = c.rstrip("*")
+        if c.endswith("**"):
+            # Put in as text at the end: a number inside JSON would be spelled anew.
+            fields.append(f"{name} := '@{name}@'")
+            lists.append((name, f"'[' || array_to_string(list_transform({name}, lambda x: {FLOAT_SQL}), ',') || ']'"))
+        elif c.endswith("*"):
+            fields.append(f"{name} := epoch_us({name}) // 1000")
+        else:
+            fields.append(f"{name} := {name}")
+    text = f"CAST(to_json(struct_pack({', '.join(fields)})) AS VARCHAR)"
+    for name, value in lists:
+        text = f"""replace({text}, '"@{name}@"', {value})"""
+    return text
 
 
 EVENT_RECORD, PART_RECORD, ORDER_RECORD = (record_sql(t) for t in ("events", "part", "orders"))
@@ -301,6 +327,12 @@ def records_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_records(read(spark, sf_dir, "customer"), "customer", key_column="c_nationkey")
 
 
+@registered(f"SELECT 'embeddings' AS key, {record_sql('embeddings')} AS value FROM embeddings")
+def records_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays of floats, each in its shortest digits."""
+    return to_records(read(spark, sf_dir, "embeddings"), "embeddings")
+
+
 @registered(f"SELECT 'documents' AS key, {record_sql('documents')} AS value FROM documents")
 def records_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_records(read(spark, sf_dir, "documents"), "documents")
@@ -396,19 +428,43 @@ def export_single_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def export_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first batch over every table: without an offset yet, all rows are new."""
-    folder = scratch_folder(spark)
-    control = ControlTable(TableStore(name_value=folder + "/{table}"), "control")
     # The first column of every table serves as its check column.
     checked = {table: columns.split()[0] for table, columns in COLUMNS.items()}
     kinds = {"nation": 1, "region": 1}
-    rows = [(table, 0, key, kinds.get(table, 2)) for table, key in checked.items()]
+    return first_batch(spark, sf_dir, [(table, 0, key, kinds.get(table, 2)) for table, key in checked.items()])
+
+
+def first_batch(spark: SparkSession, sf_dir: str, rows: list[tuple], **options) -> DataFrame:
+    """Records of a batch of tables ``(tablename, typeid, checkcolumn, columntypeid)`` without offsets."""
+    folder = scratch_folder(spark)
+    control = ControlTable(TableStore(name_value=folder + "/{table}"), "control")
     schema = "tablename string, typeid int, checkcolumn string, columntypeid int"
     first = spark.createDataFrame(rows, schema)
     missing = {f.name: F.lit(None) for f in LOG_SCHEMA if f.name not in first.columns}
     control.append(conform(first.withColumns(missing), LOG_SCHEMA))
     sink = file_sink(f"{folder}/records")
-    export_batch(spark, 0, control, tables_in(sf_dir), sink, from_start=True)
-    return spark.read.parquet(f"{folder}/records").select("key", "value")
+    export_batch(spark, 0, control, tables_in(sf_dir), sink, from_start=True, **options)
+    return spark.read.parquet(f"{folder}/records").drop("source")
+
+
+TIMED = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
+
+
+@registered(" UNION ALL ".join(f"SELECT '{t}' AS key, {record_sql(t)} AS value FROM {t}" for t in TIMED))
+def export_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables checked by a time, whose stats name the files to read."""
+    return first_batch(spark, sf_dir, [(table, 0, column, 0) for table, column in TIMED.items()])
+
+
+@registered(
+    f"SELECT c_mktsegment AS key, {record_sql('customer')} AS value, true AS placed FROM customer "
+    f"UNION ALL SELECT 'part', {PART_RECORD}, true FROM part"
+)
+def export_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unlike tables in one batch, one keyed by a column, both dealt over eight topic partitions."""
+    rows = [("customer", 0, "c_custkey", 2), ("part", 0, "p_partkey", 2)]
+    sent = first_batch(spark, sf_dir, rows, key_columns={"customer": "c_mktsegment"}, spread=8)
+    return sent.select("key", "value", F.col("partition").between(0, 7).alias("placed"))
 
 
 @registered(
@@ -459,7 +515,7 @@ def control_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(
     ADVANCED_SQL
     + "UNION ALL SELECT 'customer', 1, TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-01 01:00:00', "
-    "0, 0, 0, 0 FROM customer HAVING count(*) > 0"
+    "0, 0, 0, 0"
 )
 def export_control(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Control state after a run: batch 0 has moved, batch 1 has not."""
@@ -533,12 +589,17 @@ def partition_range_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     "WHERE strftime(ts, '%Y%m%d') = '20240129'"
 )
 def partition_range_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last day of a table stored by day; a start after the end reads that day alone."""
-    folder = scratch_folder(spark)
-    events = read(spark, sf_dir, "events").withColumn("day", day_number(F.col("ts")))
-    events.write.partitionBy("day").parquet(folder)
-    stored = spark.read.parquet(folder)
-    return in_days(stored, pick_range(stored, 20240305, as_of()))
+    """The last day of a table stored by day; a start after the end reads that day alone.
+
+    A day goes to few tasks and a task to few days, large days being split, so
+    that files are neither many nor huge. The days come from the metastore.
+    """
+    table = f"by_day_{uuid.uuid4().hex}"
+    events = read(spark, sf_dir, "events").withColumn("day", day_number(F.col("ts"))).hint("rebalance", F.col("day"))
+    # A table at a path of its own: dropping it later leaves the files to this query's frame.
+    events.write.partitionBy("day").option("path", scratch_folder(spark)).saveAsTable(table)
+    days = pick_range(catalog_days(spark, table), 20240305, as_of())
+    return in_days(spark.read.table(table), days)
 
 
 @registered(

@@ -55,13 +55,15 @@ class TableStore:
 
 
 def view_name(table: str) -> str:
-    """A temp view name for a table name such as ``db.t`` or ``store::db.t``.
+    """A temp view name for a table name such as ``db.t`` or ``store::db.t``, another for every table.
 
-    Non-word characters become ``_``, so ``a.b`` and ``a_b`` share a view and
-    the one registered last is the one SQL sees.
+    Lower-case ASCII letters, and digits after the first character, stand for
+    themselves, ``_`` is doubled and anything else becomes its code point
+    between underscores: ``a.b`` is ``a_2e_b``. Upper case counts as anything
+    else, as view names ignore case.
     """
-    name = re.sub(r"\W", "_", table, flags=re.ASCII)
-    return f"t_{name}" if name.isdigit() else name
+    escape = lambda m: "__" if m[0] == "_" else f"_{ord(m[0]):x}_"
+    return re.sub(r"^[0-9]|[^a-z0-9]", escape, table) or "_"
 
 
 def register_view(frame: DataFrame, table: str) -> str:

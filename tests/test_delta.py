@@ -4,13 +4,12 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from ebbmark.operators import delta as delta_module
 from ebbmark.operators.delta import (
     Check,
     collect_stats,
     delta,
     delta_stats,
-    from_own_files,
+    in_files,
     stored_offset,
     table_stats,
 )
@@ -69,7 +68,7 @@ def test_null_offset_selects_nothing_unless_from_start(rows):
     assert delta(Check("t", rows, "big", 2, None)).count() == 0
     everything = Check("t", rows, "big", 2, None, from_start=True)
     assert delta(everything).count() == 3
-    assert collect_stats([everything])[0] == ("t", 30, 3, True)
+    assert collect_stats([everything])[0][:4] == ("t", 30, 3, True)
     # A stored offset still counts when starting from scratch is allowed.
     assert delta(Check("t", rows, "big", 2, 20, from_start=True)).count() == 2
 
@@ -160,7 +159,7 @@ def scan_metric(frame, name):
 
 
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
-def test_time_deltas_open_only_their_files(spark, tmp_path, monkeypatch, kind):
+def test_time_deltas_open_only_their_files(spark, tmp_path, kind):
     place = f"{tmp_path}/a b%20c"  # a path that needs escaping
     rows = spark.range(0, 800, 1, 8).selectExpr("id", f"CAST(timestamp_seconds(id) AS {kind}) AS ts")
     rows.write.parquet(place)
@@ -168,23 +167,35 @@ def test_time_deltas_open_only_their_files(spark, tmp_path, monkeypatch, kind):
     check = Check("t", spark.read.parquet(place), "ts", 0, 650_000_000)
     found = delta(check, 720_000_000)
     assert scan_metric(found, "numFiles") == (142, 16)
-    narrow = from_own_files(found)
+    (stats,) = collect_stats([check])
+    narrow = in_files(found, stats.files)
     assert scan_metric(narrow, "numFiles") == (142, 4)
     assert sorted(narrow.collect()) == sorted(found.collect())
-    # Partition columns, nothing found, too many files to name.
+    # Partition columns, nothing found.
     by_day = f"{tmp_path}/days"
     rows.withColumn("day", F.col("id") % 2).write.partitionBy("day").parquet(by_day)
-    days = delta(Check("t", spark.read.parquet(by_day), "ts", 0, 795_000_000))
-    assert sorted(from_own_files(days).collect()) == sorted(days.collect()) and days.count() == 5
-    assert from_own_files(delta(Check("t", check.frame, "ts", 0, 10**12))).count() == 0
-    monkeypatch.setattr(delta_module, "NAMED_FILES", 3)
-    assert from_own_files(found) is found
+    checked = Check("t", spark.read.parquet(by_day), "ts", 0, 795_000_000)
+    days, (stats,) = delta(checked), collect_stats([checked])
+    assert sorted(in_files(days, stats.files).collect()) == sorted(days.collect()) and days.count() == 5
+    (empty,) = collect_stats([Check("t", check.frame, "ts", 0, 10**12)])
+    assert in_files(check.frame, empty.files or []).count() == 0
+
+
+def test_any_number_of_files_is_named(spark, tmp_path):
+    place = f"{tmp_path}/it's"
+    rows = spark.range(0, 1200, 1, 1200).selectExpr("id", "CAST(timestamp_seconds(id) AS timestamp_ntz) AS ts")
+    rows.write.parquet(place)
+    check = Check("t", spark.read.parquet(place), "ts", 0, 150_000_000)
+    (stats,) = collect_stats([check])
+    assert (stats.delta_count, len(stats.files)) == (1050, 1050)
+    assert scan_metric(in_files(delta(check, stats.max_offset), stats.files), "numFiles") == (1050, 1050)
 
 
 def test_tables_without_files_are_read_as_they_are(spark):
     frame = spark.range(5).selectExpr("timestamp_seconds(id) AS ts").repartition(2)
-    found = delta(Check("t", frame, "ts", 0, 3_000_000))
-    assert from_own_files(found) is found
+    check = Check("t", frame, "ts", 0, 3_000_000)
+    (stats,) = collect_stats([check])
+    assert stats.files is None and in_files(delta(check), stats.files).count() == 2
 
 
 def plan(frame):

@@ -141,9 +141,12 @@ def test_empty_and_cut_back_tables(spark, setting):
 
 
 def test_null_offset(spark, setting):
-    setting.register(control_row("longs", "id", 2, None), control_row("times", "ts", 0, None, batch=1))
-    setting.run()
-    assert setting.sent() == {} and setting.state("longs").longoffset == 9
+    setting.register(
+        control_row("longs", "id", 2, None), control_row("ints", "size", 1, 3), control_row("times", "ts", 0, None, batch=1)
+    )
+    with pytest.raises(BatchFailed, match="longs: no offset"):
+        setting.run()
+    assert set(setting.sent()) == {"ints"} and setting.state("longs").longoffset is None and setting.state("longs").seq == 0
     setting.run(batch=1, from_start=True)
     assert len(setting.sent()["times"]) == 10
 
@@ -259,7 +262,7 @@ def test_more_tables_than_one_chunk(spark, setting, monkeypatch, single_write):
     for i, name in enumerate(names):
         setting.put(name, spark.range(i + 1))
     setting.register(*(control_row(name, "id", 2, 0) for name in names))
-    results = setting.run(single_write=single_write)
+    results = setting.run(single_write=single_write, write_group=2)
     assert {r.table: r.row_count for r in results} == {f"t{i}": i + 1 for i in range(8)}
     assert {k: len(v) for k, v in setting.sent().items()} == {f"t{i}": i + 1 for i in range(8)}
     assert {setting.state(n).seq for n in names} == {1}
@@ -284,10 +287,62 @@ def test_one_folder_sink_is_written_one_table_at_a_time(spark, setting):
 def test_key_column_and_odd_table_names(spark, setting):
     setting.put("a b%c", spark.range(3))
     setting.register(control_row("a b%c", "id", 2, 1))
-    setting.run(key_column="id")
+    setting.run(key_columns={"a b%c": "id"})
     assert set(setting.sent()) == {"1", "2"}
 
 
+def test_unlike_tables_with_a_key_each(spark, setting):
+    setting.put("x", spark.range(3).toDF("a"))
+    setting.put("y", spark.range(3).toDF("b"))
+    setting.register(control_row("x", "a", 2, 0), control_row("y", "b", 2, 0))
+    setting.run(key_columns={"x": "a"}, spread=4)
+    assert set(setting.sent()) == {"0", "1", "2", "y"}
+    placed = spark.read.parquet(setting.out).select("partition").distinct().collect()
+    assert {r.partition for r in placed} <= set(range(4))
+
+
+def test_a_broken_table_holds_back_no_other_of_its_chunk(spark, setting):
+    names = [f"t{i}" for i in range(6)]
+    for name in names:
+        setting.put(name, spark.range(4))
+    setting.register(control_row("broken", "id", 2, 0), *(control_row(name, "id", 2, 2) for name in names))
+    real = TableStore.read
+
+    class Broken(TableStore):
+        def read(self, session, table):
+            if table == "broken":
+                return session.range(5).selectExpr("CAST(raise_error('bad block') AS bigint) AS id")
+            return real(self, session, table)
+
+    setting.tables = Broken(name_value=setting.tables.name_value)
+    with pytest.raises(BatchFailed) as failure:
+        setting.run(single_write=True, write_group=4)
+    assert [r.table for r in failure.value.results if r.error] == ["broken"]
+    assert all(setting.state(name).seq == 1 for name in names)
+
+
+def jobs_of(spark, action):
+    group = f"counted-{random.random()}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        action()
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_times_take_as_many_jobs_as_longs(spark, setting):
+    counts = {}
+    for batch, (kind, column) in enumerate([(2, "id"), (0, "ts")]):
+        names = [f"{column}{i}" for i in range(12)]
+        for name in names:
+            setting.put(name, spark.range(3).selectExpr("id", "TIMESTAMP_NTZ '2024-01-01' + make_interval(0,0,0,int(id)) AS ts"))
+        offset = 0 if kind else "2024-01-01 00:00:00"
+        setting.register(*(control_row(name, column, kind, offset, batch) for name in names))
+        counts[column] = jobs_of(spark, lambda: setting.run(batch=batch, single_write=True))
+    assert abs(counts["ts"] - counts["id"]) <= 2, counts
+
+
 def test_store_that_replaces_rows_by_key(spark, setting):
     """With such a store the control table has no versions; here each run reads its own copy."""
     setting.register(control_row("longs", "id", 2, 6))

@@ -68,3 +68,35 @@ def test_key_is_the_table_name_or_a_column(spark):
 
 def test_all_null_row_is_an_empty_object(spark):
     assert values(spark.sql("SELECT CAST(NULL AS int) AS a")) == [{}]
+
+
+def test_nested_values_follow_the_same_rules(spark):
+    frame = spark.sql(
+        """SELECT 1 AS id, array(double('NaN'), 1.5D, null) AS numbers,
+           named_struct('at', TIMESTAMP '2024-01-01', 'd', DATE '2024-01-02', 'f', float('Infinity')) AS s,
+           map('k', TIMESTAMP_NTZ '2024-01-01 00:00:01', 'n', null) AS m,
+           array(named_struct('a`b', array(DATE '1970-01-02')), null) AS deep,
+           CAST(null AS struct<at: timestamp>) AS none, array(1, 2) AS plain"""
+    )
+    value = json.loads(to_records(frame, "t").first().value)
+    assert value == {
+        "id": 1,
+        "numbers": [None, 1.5, None],
+        "s": {"at": 1704067200000, "d": 1704153600000},
+        "m": {"k": 1704067201000, "n": None},
+        "deep": [{"a`b": [86400000]}, None],
+        "plain": [1, 2],
+    }
+
+
+def test_flat_tables_and_plain_arrays_keep_a_plain_projection(spark):
+    frame = spark.range(1).selectExpr("id", "array(id) AS a", "named_struct('x', id) AS s")
+    plan = to_records(frame, "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform" not in plan
+
+
+def test_spread_adds_no_exchange(spark):
+    records = to_records(spark.range(100), "t", spread=8)
+    assert "Exchange" not in records._jdf.queryExecution().executedPlan().toString()
+    assert records.select("partition").distinct().count() == 8
+    assert records.select("key").distinct().collect()[0][0] == "t"

@@ -48,10 +48,13 @@ def test_catalog_tables_show_files_added_by_others(spark, tmp_path):
 
 
 def test_view_names(spark):
-    assert view_name("db.t") == "db_t"
-    assert view_name("store::db.t-1") == "store__db_t_1"
-    assert view_name("中a") == "_a"
-    assert view_name("2024") == "t_2024"
+    tables = ["db.t", "db_t", "db__t", "store::db.t-1", "中a", "2024", "T", "t", "", "a_2e_b", "a.b", "1a", "_1a", "t\u2024", "x\x1a"]
+    assert len({view_name(t).lower() for t in tables}) == len(tables)
+    assert view_name("db.t") == "db_2e_t" and view_name("plain1") == "plain1"
+    register_view(spark.range(1), "a.b")
+    register_view(spark.range(5), "a_b")
+    both = spark.sql(f"SELECT (SELECT count(*) FROM {view_name('a.b')}), (SELECT count(*) FROM {view_name('a_b')})")
+    assert tuple(both.first()) == (1, 5)
     view = register_view(spark.range(4), "store::db.t-1")
     assert spark.sql(f"SELECT max(id) FROM {view}").first()[0] == 3
 
