@@ -14,7 +14,6 @@ from __future__ import annotations
 import json
 import os
 import statistics
-import tempfile
 import time
 from pathlib import Path
 
@@ -27,6 +26,7 @@ from ebbmark.operators.records import to_records
 from ebbmark.plans.export import DRIVER_ROW, advanced, driver_rows, wall_millis
 from ebbmark.plans.queries import QUERIES, tables_in
 from ebbmark.sources.control_log import LOG_SCHEMA, conform
+from ebbmark.sources.scratch import scratch_folder
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -40,6 +40,8 @@ SOURCES = {
     "lineitem": "l_orderkey",
     "events": "event_id",
 }
+# The same for tables checked by a time, from the middle of each.
+TIME_SOURCES = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
 TIMED = [
     "batch_export",
     "watermark_stats",
@@ -82,32 +84,37 @@ def consume(frame: DataFrame) -> None:
 
 
 def middle_offsets(spark: SparkSession) -> DataFrame:
-    """Control rows whose offsets are half of each table's largest key."""
+    """Control rows whose offsets are half of each table's largest key; batch 1 by times."""
     tops = [
         tables_in(SF_DIR).read(spark, table).agg(F.max(column)).first()[0]
         for table, column in SOURCES.items()
     ]
-    rows = [(t, 0, c, 2, top // 2) for (t, c), top in zip(SOURCES.items(), tops)]
-    schema = "tablename string, typeid int, checkcolumn string, columntypeid int, longoffset bigint"
+    rows = [(t, 0, c, 2, top // 2, None) for (t, c), top in zip(SOURCES.items(), tops)]
+    for table, column in TIME_SOURCES.items():
+        ends = tables_in(SF_DIR).read(spark, table).agg(F.min(column).alias("low"), F.max(column).alias("top")).first()
+        rows.append((table, 1, column, 0, None, ends.low + (ends.top - ends.low) / 2))
+    schema = (
+        "tablename string, typeid int, checkcolumn string, columntypeid int, longoffset bigint, batchstart_ts timestamp"
+    )
     frame = spark.createDataFrame(rows, schema).withColumn("seq", F.lit(0))
     missing = [f for f in LOG_SCHEMA if f.name not in frame.columns]
     return conform(frame.withColumns({f.name: F.lit(None) for f in missing}), LOG_SCHEMA)
 
 
 def new_control(start: DataFrame) -> tuple[ControlTable, str]:
-    folder = tempfile.mkdtemp(prefix="bench-", dir=os.environ.get("BENCH_TMP"))
+    folder = scratch_folder(start.sparkSession)
     control = ControlTable(TableStore(name_value=folder + "/{table}"), "control")
     control.append(start)
     return control, folder
 
 
-def three_jobs_per_table(spark: SparkSession, control: ControlTable, folder: str) -> None:
+def three_jobs_per_table(spark: SparkSession, control: ControlTable, folder: str, batch: int = 0) -> None:
     """Maximum, count and write as jobs of their own, then the control row, table by table."""
     tables = tables_in(SF_DIR)
-    for row in driver_rows(control.current(spark, 0)).toArrow().to_pylist():
+    for row in driver_rows(control.current(spark, batch)).toArrow().to_pylist():
         frame, started = tables.read(spark, row["tablename"]), wall_millis()
-        check = Check(row["tablename"], frame, row["checkcolumn"], 2, row["stored_offset"])
-        top = frame.agg(F.max(check.column)).first()[0]
+        check = Check(row["tablename"], frame, row["checkcolumn"], row["columntypeid"], row["stored_offset"])
+        top = frame.agg(F.expr(check.as_offset(f"max({check.value})"))).first()[0]
         count = delta(check).count()
         records = to_records(delta(check), check.table)
         records.write.mode("append").parquet(f"{folder}/records")
@@ -136,23 +143,27 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     start = middle_offsets(spark)
 
-    def export(**options) -> float:
+    def export(batch: int = 0, **options) -> float:
         # Control tables are made beforehand: setting one up is not the export.
         fresh = iter([new_control(start) for _ in range(REPEATS + 1)])
 
         def run() -> None:
             control, folder = next(fresh)
             sink = file_sink(f"{folder}/records")
-            export_batch(spark, 0, control, tables_in(SF_DIR), sink, **options)
+            export_batch(spark, batch, control, tables_in(SF_DIR), sink, **options)
 
         return median_seconds(run)
 
-    def old_shape() -> float:
+    def old_shape(batch: int = 0) -> float:
         fresh = iter([new_control(start) for _ in range(REPEATS + 1)])
-        return median_seconds(lambda: three_jobs_per_table(spark, *next(fresh)))
-
-    seconds = {"export_each": export(), "export_together": export(single_write=True)}
-    comparison = {"three_jobs_per_table": old_shape()}
+        return median_seconds(lambda: three_jobs_per_table(spark, *next(fresh), batch))
+
+    seconds = {
+        "export_each": export(),
+        "export_together": export(single_write=True),
+        "export_times": export(1, single_write=True),
+    }
+    comparison = {"three_jobs_per_table": old_shape(), "three_jobs_per_timed_table": old_shape(1)}
     for name in TIMED:
         seconds[name] = median_seconds(lambda: consume(QUERIES[name](spark, SF_DIR)))
     spark.stop()
