@@ -31,8 +31,8 @@ SYMBOL_BITS = 12
 HASH_BITS = 23
 # A band reaches this many interquartile ranges beyond the quartiles, and
 # further for short texts, whose perplexity varies more.
-BAND_REACH = 3.0
-BAND_SHORT = 60.0
+BAND_REACH = 5.0
+BAND_SHORT = 12.0
 
 # Limits of the base rules.
 LEAST_WORDS = 10
@@ -352,7 +352,7 @@ def judge(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
 
     ``kept`` needs the base rules to hold and the text's log perplexity to lie
     in its language's band: ``BAND_REACH`` interquartile ranges beyond the
-    quartiles, times 1 + ``BAND_SHORT`` / n for n code points. Null and empty
+    quartiles, times 1 + ``BAND_SHORT`` / sqrt(n) for n code points. Null and empty
     texts have no words and fail; a null or odd ``lang`` is judged as ``und``;
     equal rows get equal verdicts; columns named like a result are replaced; an
     empty table gives no rows.
@@ -370,7 +370,7 @@ def judge(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
     ) + ")"
     inside = "true"
     if limits:
-        wide = f"_band.reach * (1 + {BAND_SHORT} / greatest(n_scored, 1))"
+        wide = f"_band.reach * (1 + {BAND_SHORT} / sqrt(greatest(n_scored, 1)))"
         inside = f"coalesce(log_perplexity BETWEEN _band.low - {wide} AND _band.high + {wide}, true)"
         measured = measured.withColumn("_band", F.expr(f"{lookup}[_judged_by]"))
     judged = measured.withColumn("base_failed", F.expr(base_failed()))
