@@ -41,7 +41,8 @@ REGIONS = set("article body center div main section table td".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 # Names (class, id, role) of parts that are not the article.
 BOILERPLATE = set(
-    "ad ads adsense advert adverts advertisement banner breadcrumb breadcrumbs comment comments complementary consent "
+    "ad ads adsense advert adverts advertisement alert banner breadcrumb breadcrumbs comment commentlist comments "
+    "complementary consent "
     "contentinfo cookie cookies dialog disqus footer gdpr login masthead menu modal nav navbar navigation newsletter "
     "notice notices pager pagination popup promo promoted promotion recommended related replies reply respond share "
     "sharing sidebar signup social sponsor sponsored subscribe toolbar widget widgets".split()
@@ -92,9 +93,11 @@ class _Lines(HTMLParser):
                 return True
             if name in ("class", "id", "role"):
                 for word in value.split():
+                    parts = word.replace("_", "-").split("-")
                     if word in HEADER_NAMES and tag != "article":
                         return True
-                    if not BOILERPLATE.isdisjoint(word.replace("_", "-").split("-")):
+                    # "no-sidebar" is said of the part beside which there is none.
+                    if parts[0] not in ("no", "has", "with", "without") and not BOILERPLATE.isdisjoint(parts):
                         return True
         return False
 
