@@ -15,7 +15,8 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -191,10 +192,11 @@ def train(labelled: DataFrame) -> LanguageModel | None:
     """
     fitting = labelled.filter(f"text IS NOT NULL AND lang IS NOT NULL AND octet_length(text) <= {TRAINING_BYTES}")
     fitting = fitting.select(F.col("text").cast("string"), F.col("lang").cast("string"), F.xxhash64("text").alias("place"))
-    texts: dict[str, pa.StringArray] = {}
-    for row in fitting.select("lang").distinct().collect():
-        own = fitting.filter(F.col("lang") == row.lang).orderBy("place", "text").limit(TRAINING_ROWS)
-        texts[row.lang] = texts_of(own.select("text").toArrow().column("text"))
+    # Every task keeps its own first rows of a language before the shuffle.
+    order = Window.partitionBy("lang").orderBy("place", "text")
+    sample = fitting.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= TRAINING_ROWS)
+    found = sample.orderBy("lang", "rank").select("lang", "text").toArrow()
+    texts = {lang: texts_of(found.filter(pc.equal(found["lang"], lang))["text"]) for lang in pc.unique(found["lang"]).to_pylist()}
     features: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
     for lang, own in texts.items():
         hashes, (places, *_), letters = grams(own)
