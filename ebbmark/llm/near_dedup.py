@@ -3,7 +3,8 @@
 A document is the set of its distinct word shingles. Sets are hashed into
 ``BUCKETS`` buckets; a bucket keeps the smallest hash it saw as a compressed
 register, the count of leading zeros and ``MANTISSA`` bits after the first
-one. ``BANDS`` bands of consecutive registers, hashed, bring documents together;
+one. Empty buckets borrow a register for banding; ``BANDS`` bands of consecutive
+registers, hashed, bring documents together;
 the Jaccard estimate of two register arrays, corrected for registers that are
 equal by chance, screens the pairs, and the full sets decide.
 
@@ -12,15 +13,17 @@ At a similarity of 0.8 a band of six registers agrees with probability 0.26, so
 standard deviations of the threshold.
 
 No group is expanded into its pairs. Equal sets are one class. A band's members
-are held against its smallest one, the three most alike per member are verified
-and their components found; then only members of one band that lie in different
-components are paired. So a group of n copies costs about n pairs, and no link
-between components is lost.
+are held against the one that meets most others, the three most alike per member
+are verified and their components found; then only members of one band that lie
+in different components are paired, after a look at a few bits of their
+registers. So a group of n copies costs about n pairs, and no link between
+components is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +31,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbmark.llm.arrays import Words, distinct_pairs, mix, shingles, slices, stored, texts_of
+from ebbmark.llm.arrays import FILTER_BITS, Words, distinct_pairs, membership, mix, shingles, slices, stored, texts_of
 from ebbmark.llm.components import components
 
 BANDS = 64
 BAND_WIDTH = 6
 BUCKETS = BANDS * BAND_WIDTH
 MANTISSA = 9
+# Words of 64 register bits that travel with band members for a first look.
+LANES = 4
 # Best-looking partners of a document that are verified before its component is known.
 FIRST_TRIES = 3
 
@@ -47,7 +52,14 @@ _SIGNED = T.StructType(
         T.StructField("registers", T.BinaryType()),
     ]
 )
-_BANDED = T.StructType([T.StructField("band", T.LongType()), T.StructField("id", T.LongType())])
+_BANDED = T.StructType(
+    [
+        T.StructField("id", T.LongType()),
+        T.StructField("n_shingles", T.LongType()),
+        T.StructField("lanes", T.ArrayType(T.LongType())),
+        T.StructField("bands", T.ArrayType(T.LongType())),
+    ]
+)
 _SETS = T.StructType([T.StructField("id", T.LongType()), T.StructField("members", T.BinaryType())])
 _LIKE = T.StructType(
     [
@@ -62,7 +74,8 @@ _EDGE = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.Lon
 def shingle_sets(texts: pa.StringArray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, ordered by row and hash."""
     words = Words(texts)
-    return distinct_pairs(*shingles(words, words.hashes(lower=True), size))
+    keys, rows, _ = shingles(words, words.hashes(lower=True), size)
+    return distinct_pairs(keys, rows)
 
 
 def registers_of(keys: np.ndarray, rows: np.ndarray, n_rows: int) -> np.ndarray:
@@ -136,18 +149,60 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(sign, _SIGNED)
 
 
+@cache
+def _priorities() -> np.ndarray:
+    """For every bucket a random order of all buckets, the same in every task."""
+    places = np.arange(BUCKETS * BUCKETS, dtype=np.uint64)
+    return mix(places, 3).reshape(BUCKETS, BUCKETS).astype(np.float32)
+
+
+def filled(lines: np.ndarray) -> np.ndarray:
+    """Registers whose empty buckets borrow from the first filled one in their own order.
+
+    Small sets leave most buckets empty; bands of those would agree on a single
+    common shingle. Borrowed registers of two sets agree as often as their own.
+    """
+    lines = lines.copy()
+    order = _priorities()
+    for i in np.flatnonzero((lines == 0).any(1)):
+        held = np.flatnonzero(lines[i])
+        if len(held):
+            empty = np.flatnonzero(lines[i] == 0)
+            lines[i, empty] = lines[i, held[order[np.ix_(empty, held)].argmin(1)]]
+    return lines
+
+
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashed bands, and lanes: the lowest bits of the first registers, 64 to a lane."""
     for batch in batches:
         for first in range(0, batch.num_rows, 1000):
             part = batch.slice(first, 1000)
-            lines = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint16).reshape(-1, BANDS, BAND_WIDTH)
-            keys = np.zeros(lines.shape[:2], np.uint64)
+            lines = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint16).reshape(-1, BUCKETS)
+            lines = filled(lines)
+            bits = np.packbits((lines[:, : 64 * LANES] & 1).astype(bool), axis=1).view(np.int64)
+            by_band = lines.reshape(-1, BANDS, BAND_WIDTH).astype(np.uint64)
+            keys = np.zeros(by_band.shape[:2], np.uint64)
             for k in range(BAND_WIDTH):
-                keys += mix(lines[:, :, k].astype(np.uint64), k)
-            keys = mix(mix(keys) + np.arange(BANDS, dtype=np.uint64)[None, :])
-            some = (lines > 0).any(2)
-            ids = np.repeat(part.column(0).to_numpy(), some.sum(1))
-            yield pa.RecordBatch.from_arrays([pa.array(keys[some].view(np.int64)), pa.array(ids)], names=_BANDED.names)
+                keys += mix(by_band[:, :, k], k)
+            keys = mix(mix(keys) + np.arange(BANDS, dtype=np.uint64)[None, :]).view(np.int64)
+            arrays = [
+                pa.FixedSizeListArray.from_arrays(pa.array(v.ravel()), v.shape[1]).cast(pa.list_(pa.int64())) for v in (bits, keys)
+            ]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *arrays], names=_BANDED.names)
+
+
+def _lanes_allow(a: str, b: str, threshold: float) -> str:
+    """SQL for whether sizes and lanes of two sets allow the threshold, six standard deviations off.
+
+    Low bits of equal registers agree, those of others every other time. A set
+    smaller than the lanes has only as many independent ones.
+    """
+    bits = 64 * LANES
+    unlike = " + ".join(f"bit_count({a}.lanes[{k}] ^ {b}.lanes[{k}])" for k in range(LANES))
+    share = (1 - threshold) / 2
+    spread = f"sqrt({share * (1 - share)} / least({bits}, {a}.n_shingles, {b}.n_shingles))"
+    sizes = f"least({a}.n_shingles, {b}.n_shingles) >= {threshold} * greatest({a}.n_shingles, {b}.n_shingles) - 1e-9"
+    return f"({sizes} AND {unlike} <= {bits} * ({share} + 6 * {spread}))"
 
 
 def _screen(threshold: float):
@@ -180,9 +235,20 @@ def _screened(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFra
     return joined.select("a", "b", "n_a", "n_b", "registers_a", "registers_b").mapInArrow(_screen(threshold), _LIKE)
 
 
-def _member_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+def _member_sets(docs: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
+    """``(id, members)``, the full shingle sets of all documents in ``pairs``, and of few others.
+
+    A membership filter keeps the texts of the others from being cut up and shuffled.
+    """
+    bitmap = membership(pairs.select(F.explode(F.array("a", "b")).alias("id")), "id")
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
         for batch in batches:
+            hashes = batch.column(2).to_numpy()
+            held = words[(hashes % FILTER_BITS) >> 6] >> (hashes & 63)
+            batch = batch.filter(pa.array((held & 1).astype(bool)))
             texts = texts_of(batch.column(1))
             for first, last in slices(texts):
                 keys, rows = shingle_sets(texts.slice(first, last - first), size)
@@ -193,7 +259,7 @@ def _member_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
                 )
 
     wanted = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
-    return wanted.join(ids, "id", "left_semi").mapInArrow(members, _SETS)
+    return wanted.filter("id IS NOT NULL").withColumn("hash", F.xxhash64("id")).mapInArrow(members, _SETS)
 
 
 def _verify(percent: int):
@@ -212,8 +278,7 @@ def _verify(percent: int):
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets reach the threshold."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = _member_sets(docs, ids, size)
+    sets = _member_sets(docs, pairs, size)
     a = sets.select(F.col("id").alias("a"), F.col("members").alias("members_a"))
     b = sets.select(F.col("id").alias("b"), F.col("members").alias("members_b"))
     both = pairs.select("a", "b").join(a, "a").join(b, "b")
@@ -245,30 +310,37 @@ def near_duplicates(docs: DataFrame, spark: SparkSession, shingle: int = 5, perc
         "classes",
     )
     nodes = classes.filter("n_shingles > 0 AND rep IS NOT NULL")
-    banded = nodes.select(F.col("rep").alias("id"), "registers").mapInArrow(_banded, _BANDED)
-    shared = banded.groupBy("band").agg(F.min("id").alias("leader"), F.max("id").alias("last")).filter("leader < last")
-    members = stored(banded.join(shared.select("band", "leader"), "band"), spark, "bands")
-
-    led = members.filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    tried = (
-        _screened(led, nodes, percent / 100)
-        .groupBy("b")
-        .agg(F.slice(F.sort_array(F.collect_list(F.struct("likeness", "a")), asc=False), 1, FIRST_TRIES).alias("best"))
-        .select(F.explode("best").alias("pair"), "b")
-        .select("pair.a", "b")
-    )
+    banded = nodes.select(F.col("rep").alias("id"), "n_shingles", "registers").mapInArrow(_banded, _BANDED)
+    banded = stored(banded, spark, "banded")
+    rows = banded.select("id", F.explode("bands").alias("band"))
+    shared = rows.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    members = stored(rows.join(shared, "band"), spark, "members")
+
+    # The member that meets most others leads its band: a text and its edited copies gather at the text.
+    weights = members.groupBy("id").agg(F.sum("n").alias("met"))
+    sides = banded.select("id", "n_shingles", "lanes").join(weights, "id")
+    weighed = members.select("band", "id").join(weights, "id")
+    leaders = weighed.groupBy("band").agg(F.max(F.struct("met", (-F.col("id")).alias("id"))).alias("top"))
+    led = members.select("band", "id").join(leaders.select("band", (-F.col("top.id")).alias("leader")), "band")
+    led = led.filter("id <> leader").select("leader", "id").distinct()
+    a, b = (sides.select(F.struct("id", "n_shingles", "lanes").alias(x), F.col("id").alias(k)) for x, k in (("x", "leader"), ("y", "id")))
+    looked = led.join(a, "leader").join(b, "id").filter(_lanes_allow("x", "y", percent / 100))
+    unlike = F.expr(" + ".join(f"bit_count(x.lanes[{k}] ^ y.lanes[{k}])" for k in range(LANES)))
+    # At most one leader per band and document.
+    best = looked.groupBy("id").agg(F.sort_array(F.collect_list(F.struct(unlike.alias("unlike"), "leader"))).alias("best"))
+    tried = best.select(F.explode(F.slice("best", 1, FIRST_TRIES)).alias("pair"), F.col("id").alias("b"))
+    tried = _screened(tried.select(F.col("pair.leader").alias("a"), "b"), nodes, percent / 100)
     edges = stored(_confirmed(stored(tried, spark, "tried"), docs, shingle, percent), spark, "edges")
     found = stored(components(edges, spark), spark, "found")
 
     # Links between different components: both ends share a band.
-    placed = members.select("band", "id").join(found, "id", "left")
-    placed = stored(placed.withColumn("component", F.coalesce("component", "id")), spark, "placed")
+    placed = members.select("band", "id").join(sides.drop("met"), "id").join(found, "id", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    open_bands = placed.join(mixed.select("band"), "band", "left_semi")
-    left = open_bands.select("band", F.col("id").alias("a"), F.col("component").alias("from"))
-    right = open_bands.select("band", F.col("id").alias("b"), F.col("component").alias("to"))
-    across = left.join(right, "band").filter("from < to")
-    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    open_bands = stored(placed.join(mixed.select("band"), "band", "left_semi"), spark, "open")
+    one, other = (open_bands.select("band", F.struct("id", "component", "n_shingles", "lanes").alias(x)) for x in ("x", "y"))
+    across = one.join(other, "band").filter(f"x.component < y.component AND {_lanes_allow('x', 'y', percent / 100)}")
+    across = across.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     across = stored(_screened(across, nodes, percent / 100), spark, "across")
     more = stored(_confirmed(across, docs, shingle, percent), spark, "more")
     if not more.isEmpty():
