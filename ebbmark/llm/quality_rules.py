@@ -3,32 +3,38 @@
 The language model is a modified Kneser-Ney model of character ``ORDER``-grams
 per language. Tasks count the n-grams of whole texts, Spark sums the counts and
 works out discounts, continuation counts and backed-off probabilities with
-groupings and joins. The finished model is kept as sorted arrays of n-gram
-hashes with their log probabilities and backoff weights, looked up by binary
-search. Perplexities of all documents give each language a band; documents
+groupings and joins. The finished model is kept as sorted arrays of 64-bit
+n-gram keys with their log probabilities and backoff weights, split into shards
+by the first bits of the key and looked up shard by shard. Perplexities of all documents give each language a band; documents
 outside it are rejected.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbmark.llm.arrays import Words, code_points, mix, slices, stored, sums_by_row, texts_of
+from ebbmark.llm.arrays import SLICE_BYTES, Words, code_points, mix, slices, stored, sums_by_row, texts_of
+from ebbmark.sources.scratch import scratch_folder
 
 ORDER = 4
 # A code point takes 12 bits of an n-gram; those from 2048 on share 2048 values.
 SYMBOL_BITS = 12
-# Hashes of the finished model have 23 bits: two arrays of at most 8.4 million
-# entries of 8 bytes, whatever the input. N-grams that meet in a hash share their mean.
-HASH_BITS = 23
+# Entries a shard of the finished model holds, about: 12 bytes each. There are as
+# many shards as the model needs; a task holds one at a time.
+SHARD_ROWS = 1 << 22
+# Text is looked up in units of a slice, with several shards of up to so many
+# slices, as every unit may read every shard.
+UNIT_SLICES = 4
 # A band reaches this many interquartile ranges beyond the quartiles, and
 # further for short texts, whose perplexity varies more.
 BAND_REACH = 5.0
@@ -179,41 +185,64 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 @dataclass(frozen=True)
-class LanguageModel:
-    """Log probabilities of n-grams and log backoff weights of contexts, by sorted hash."""
+class Shards:
+    """Logs by 64-bit key: sorted arrays, a power of two of them, by the first bits of the key."""
+
+    parts: list[Broadcast]
+
+    def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The log of each key (0 where there is none), and whether there is one."""
+        distinct, places = np.unique(keys, return_inverse=True)
+        logs, known = np.zeros(len(distinct)), np.zeros(len(distinct), bool)
+        ends = np.searchsorted(_shard_of(distinct, len(self.parts)), np.arange(len(self.parts) + 1))
+        for part, first, last in zip(self.parts, ends[:-1], ends[1:]):
+            if first == last:
+                continue
+            held, values = part.value
+            if len(held):
+                at = np.minimum(np.searchsorted(held, distinct[first:last]), len(held) - 1)
+                known[first:last] = held[at] == distinct[first:last]
+                logs[first:last] = np.where(known[first:last], values[at], 0)
+            if len(self.parts) > 1:
+                # A broadcast remembers its value: without this a task would gather all shards.
+                del held, values
+                vars(part).pop("_value", None)
+        return logs[places], known[places]
 
-    gram_hashes: np.ndarray
-    gram_logs: np.ndarray
-    context_hashes: np.ndarray
-    context_logs: np.ndarray
 
-    @staticmethod
-    def _look_up(hashes: np.ndarray, logs: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(hashes):
-            return np.zeros(len(keys)), np.zeros(len(keys), bool)
-        at = np.minimum(np.searchsorted(hashes, keys), len(hashes) - 1)
-        return logs[at], hashes[at] == keys
+@dataclass(frozen=True)
+class LanguageModel:
+    """Log probabilities of n-grams and log backoff weights of contexts."""
+
+    grams: Shards
+    contexts: Shards
 
     def log_probabilities(self, grams: np.ndarray, salts: np.ndarray) -> np.ndarray:
         """Natural logs of the probability of each n-gram's last symbol after the others."""
         logs = np.zeros(len(grams))
         todo = np.arange(len(grams))
         for order in range(ORDER, 0, -1):
+            if not len(todo):
+                break
             tail = grams[todo] & ((1 << (SYMBOL_BITS * order)) - 1)
-            value, known = self._look_up(self.gram_hashes, self.gram_logs, _hash(tail, salts[todo], order))
+            value, known = self.grams.look_up(_key(tail, salts[todo], order))
             logs[todo[known]] += value[known]
             todo, tail = todo[~known], tail[~known]
             if len(todo):
-                keys = _hash(tail >> SYMBOL_BITS, salts[todo], order)
-                weight, seen = self._look_up(self.context_hashes, self.context_logs, keys)
+                weight, seen = self.contexts.look_up(_key(tail >> SYMBOL_BITS, salts[todo], order))
                 logs[todo[seen]] += weight[seen]
         logs[todo] += -SYMBOL_BITS * np.log(2)  # never seen: any symbol
         return logs
 
 
-def _hash(grams: np.ndarray, salts: np.ndarray, order: int) -> np.ndarray:
-    wide = mix(mix(grams.astype(np.uint64), order) ^ salts)
-    return (wide >> np.uint64(64 - HASH_BITS)).astype(np.uint32)
+def _key(grams: np.ndarray, salts: np.ndarray, order: int) -> np.ndarray:
+    """64-bit keys; n-grams of one order and language never share one."""
+    return mix(mix(grams.astype(np.uint64), order) ^ salts)
+
+
+def _shard_of(keys: np.ndarray, n: int) -> np.ndarray:
+    bits = n.bit_length() - 1
+    return (keys >> np.uint64(64 - bits)).astype(np.int32) if bits else np.zeros(len(keys), np.int32)
 
 
 def _salt(lang: str) -> np.uint64:
@@ -266,14 +295,14 @@ def _levels(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
     return reduce(DataFrame.unionAll, grams), reduce(DataFrame.unionAll, contexts)
 
 
-def _hashed(rows: DataFrame, value: str) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of a model as sorted hashes and logs; equal hashes share their mean.
-
-    At most two to the power of ``HASH_BITS`` rows reach the driver.
-    """
-    kind = T.StructType([T.StructField("hash", T.LongType()), T.StructField("log", T.DoubleType())])
+def _sharded(rows: DataFrame, value: str, n: int) -> Shards:
+    """Rows of a model as ``n`` shards. The driver holds one shard at a time."""
+    spark = rows.sparkSession
+    kind = T.StructType(
+        [T.StructField("key", T.LongType()), T.StructField("log", T.FloatType()), T.StructField("shard", T.IntegerType())]
+    )
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salts: dict[str, np.uint64] = {}
         for batch in batches:
             langs = batch.column(0).to_pylist()
@@ -281,24 +310,32 @@ def _hashed(rows: DataFrame, value: str) -> tuple[np.ndarray, np.ndarray]:
                 salts[lang] = _salt(lang)
             own = np.array([salts[lang] for lang in langs], np.uint64)
             grams, levels, values = (batch.column(k).to_numpy() for k in (1, 2, 3))
-            keys = np.zeros(len(grams), np.int64)
+            keys = np.zeros(len(grams), np.uint64)
             for order in np.unique(levels):
                 at = levels == order
-                keys[at] = _hash(grams[at], own[at], int(order))
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.log(values))], names=kind.names)
-
-    found = rows.select("lang", "gram", "level", value).mapInArrow(hashed, kind)
-    table = found.groupBy(F.col("hash").cast("int").alias("hash")).agg(F.avg("log").cast("float").alias("log")).toArrow()
-    hashes, logs = table.column("hash").to_numpy().astype(np.uint32), table.column("log").to_numpy()
-    order = np.argsort(hashes)
-    return hashes[order], logs[order]
+                keys[at] = _key(grams[at], own[at], int(order))
+            columns = [keys.view(np.int64), np.log(values).astype(np.float32), _shard_of(keys, n)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=kind.names)
+
+    path = f"{scratch_folder(spark)}-shards-{uuid.uuid4().hex[:8]}"
+    rows.select("lang", "gram", "level", value).mapInArrow(keyed, kind).write.partitionBy("shard").parquet(path)
+    written = spark.read.schema(kind).parquet(path)
+    parts = []
+    for k in range(n):
+        table = written.filter(F.col("shard") == k).select("key", "log").toArrow()
+        keys, logs = table.column("key").to_numpy().view(np.uint64), table.column("log").to_numpy()
+        order = np.argsort(keys)
+        parts.append(spark.sparkContext.broadcast((keys[order], logs[order])))
+    return Shards(parts)
 
 
 def train(docs: DataFrame, lang: str = "lang") -> LanguageModel:
-    """Counts every n-gram of every text of ``docs``; nothing is sampled or pruned."""
+    """Counts every n-gram of every text of ``docs``; nothing is sampled, pruned or merged."""
     texts = docs.select(F.col("text").cast("string"), F.expr(language_code(lang)))
     grams, contexts = _levels(texts.mapInArrow(_count, _COUNTED))
-    return LanguageModel(*_hashed(grams, "p"), *_hashed(contexts, "g"))
+    # Contexts are fewer than n-grams.
+    n = 1 << max(0, -(-grams.count() // SHARD_ROWS) - 1).bit_length()
+    return LanguageModel(_sharded(grams, "p", n), _sharded(contexts, "g", n))
 
 
 # --- verdicts ---
@@ -310,21 +347,20 @@ def measure(docs: DataFrame, model: LanguageModel) -> DataFrame:
     rows = docs.select(*(F.col(f"`{c}`") for c in names), F.expr(language_code()).alias("_judged_by"))
     out = T.StructType([*rows.schema.fields, *MEASURES.fields])
     place = names.index("text")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    unit = SLICE_BYTES * min(len(model.grams.parts), UNIT_SLICES)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
         salts: dict[str, np.uint64] = {}
         for batch in batches:
             texts, langs = texts_of(batch.column(place)), batch.column(len(names)).to_pylist()
-            for first, last in slices(texts):
+            for first, last in slices(texts, unit):
                 part = texts.slice(first, last - first)
                 own = langs[first:last]
                 for lang in set(own) - salts.keys():
                     salts[lang] = _salt(lang)
                 grams, rows_of, offsets = _grams(part)
                 salt = np.array([salts[lang] for lang in own], np.uint64)[rows_of]
-                logs = sums_by_row(known.log_probabilities(grams, salt), offsets)
+                logs = sums_by_row(model.log_probabilities(grams, salt), offsets)
                 n = np.diff(offsets)
                 values = [*(pa.array(c.astype(np.int64)) for c in base_counts(part)), pa.array(-logs / np.maximum(n, 1)), pa.array(n)]
                 kept = batch.slice(first, last - first)

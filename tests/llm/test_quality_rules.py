@@ -68,6 +68,26 @@ def test_probabilities_after_a_context_sum_to_one(spark):
         assert abs(np.exp(logs).sum() - 1) < 0.02
 
 
+def test_large_models_mix_up_no_ngrams(spark, monkeypatch):
+    rng = np.random.default_rng(0)
+    letters = np.array([*map(chr, range(0x61, 0x61 + 200))])
+    rows = [(k, "".join(letters[rng.integers(0, 200, 150_000)]), lang) for k, lang in enumerate(("aa", "bb"))]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    one = rules.train(docs)
+    monkeypatch.setattr(rules, "SHARD_ROWS", 70_000)
+    many = rules.train(docs)
+    assert len(one.grams.parts) == 1 and len(many.grams.parts) >= 8
+    grams, _, _ = rules._grams(pa.array([rows[0][1]]))
+    salt = {lang: np.full(len(grams), rules._salt(lang), np.uint64) for lang in ("aa", "bb", "zz")}
+    # A language never learned from knows no n-gram, however full the model is.
+    assert (one.log_probabilities(grams, salt["zz"]) == -rules.SYMBOL_BITS * np.log(2)).all()
+    for lang in ("aa", "bb", "zz"):
+        assert (one.log_probabilities(grams, salt[lang]) == many.log_probabilities(grams, salt[lang])).all()
+    assert not one.grams.look_up(rules._key(np.setdiff1d(grams, rules._grams(pa.array([rows[1][1]]))[0]), salt["bb"][0], 4))[1].any()
+    scores = [{r.doc_id: r.log_perplexity for r in rules.judge(docs, m).collect()} for m in (one, many)]
+    assert scores[0] == scores[1]
+
+
 def test_text_unlike_the_rest_is_rejected(spark, documents):
     rng = np.random.default_rng(0)
     noise = [
