@@ -3,9 +3,11 @@
 A streaming parser turns a page into lines, one per block, each with its text,
 its tags and the regions (article, section, div, ...) it lies in. The ratio of
 text to tags per line is smoothed with a Gaussian; lines above a threshold taken
-from the spread of the ratios are the core. The smallest region that holds
-nearly all of the core is the article, and its lines are the text, except parts
-that are menus, adverts, forms and the like by their element or their name.
+from the spread of the ratios are the core, and the smallest region that holds
+nearly all of it says where to look. The outermost article or main element
+around that region is the article; without one it is the smallest region that
+holds all of the core. All lines of the article are the text, except parts that
+are menus, adverts, forms and the like by their element, their name or their links.
 """
 
 from __future__ import annotations
@@ -22,8 +24,11 @@ from pyspark.sql import types as T
 from ebbmark.llm.arrays import texts_of
 
 SMOOTHING = 1.0
-# Share of the core that the article's region holds.
+# Share of the core that the region holds from which the article is looked for.
 CORE_SHARE = 0.9
+# A part of the article with so many links, and so much of its text in them, is a menu.
+MENU_LINKS = 3
+MENU_SHARE = 2 / 3
 
 # Fixed values of the HTML standard: elements without an end, elements that
 # begin a block, elements whose content is not text of the page.
@@ -38,6 +43,8 @@ UNSEEN = set(
     "noscript object option script search select style svg template textarea title video".split()
 )
 REGIONS = set("article body center div main section table td".split())
+# Regions that can be menus. A table of linked names is content.
+MENUS = set("center div section td".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 # Names (class, id, role) of parts that are not the article.
 BOILERPLATE = set(
@@ -51,29 +58,35 @@ HEADER_NAMES = {"header", "banner", "site-header", "page-header", "topbar", "top
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: ``text``, ``tags``, ``path`` (regions, outermost first) and ``shown``."""
+    """Lines of a page: ``text``, ``tags``, ``path`` (regions, outermost first), ``shown``, characters in links and links.
+
+    ``region_tags`` has the element of each region.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         # Open elements: tag, whether its content is left out, its region number or None.
         self.open: list[tuple[str, bool, int | None]] = []
         self.hidden = 0
-        self.regions = 0
+        self.region_tags = [""]
         self.path: tuple[int, ...] = ()
-        self.found: list[tuple[str, int, tuple[int, ...], bool]] = []
+        self.found: list[tuple[str, int, tuple[int, ...], bool, int, int]] = []
         self.parts: list[str] = []
         self.tags = 0
+        self.in_links = self.link_chars = self.links = 0
 
     def _end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.found.append((text, self.tags, self.path, self.hidden == 0))
+            self.found.append((text, self.tags, self.path, self.hidden == 0, self.link_chars, self.links))
             self.tags = 0
         self.parts = []
+        self.link_chars = self.links = 0
 
     def _pop_to(self, place: int) -> None:
-        for _, left_out, region in self.open[place:]:
+        for tag, left_out, region in self.open[place:]:
             self.hidden -= left_out
+            self.in_links -= tag == "a"
             if region is not None:
                 self.path = self.path[:-1]
         del self.open[place:]
@@ -124,10 +137,13 @@ class _Lines(HTMLParser):
             self.parts.append(" ")
         region = None
         if tag in REGIONS:
-            self.regions += 1
-            region = self.regions
+            region = len(self.region_tags)
+            self.region_tags.append(tag)
             self.path += (region,)
         self.hidden += left_out
+        if tag == "a":
+            self.in_links += 1
+            self.links += 1
         self.open.append((tag, left_out, region))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -154,6 +170,8 @@ class _Lines(HTMLParser):
             if any(t in BLOCKS and out for t, out, _ in self.open):
                 self.parts.append(data)
             return
+        if self.in_links:
+            self.link_chars += len(" ".join(data.split()))
         self.parts.append(data)
 
 
@@ -185,12 +203,27 @@ def main_text(html: str) -> str:
             weight[region] = weight.get(region, 0) + lengths[i]
     enough = CORE_SHARE * lengths[core].sum()
     # Numbers grow inwards and onwards: the last region with enough of the core is the smallest.
-    article = max((region for region, held in weight.items() if held >= enough), default=0)
-    own = {lines[i][2][-1:] for i in np.flatnonzero(core)}
+    dense = max((region for region, held in weight.items() if held >= enough), default=0)
+    around = next((path[: path.index(dense) + 1] for _, _, path, *_ in lines if dense in path), ())
+    article = next((region for region in around if parser.region_tags[region] in ("article", "main")), 0)
+    if not article:
+        whole = [region for region in around if weight[region] == lengths[core].sum()]
+        article = max(whole, default=0)
+    # Parts by their links; what holds the dense region is none.
+    sums: dict[int, list[int]] = {}
+    for text, _, path, seen, link_chars, links in lines:
+        if seen and (not article or article in path):
+            for region in path:
+                if region > article and region not in around and parser.region_tags[region] in MENUS:
+                    total = sums.setdefault(region, [0, 0, 0])
+                    total[0] += len(text)
+                    total[1] += link_chars
+                    total[2] += links
+    menus = {region for region, (n, linked, links) in sums.items() if links >= MENU_LINKS and linked > MENU_SHARE * n}
     kept = [
         text
-        for (text, _, path, seen), central in zip(lines, core)
-        if seen and (not article or article in path) and (central or path[-1:] == (article,) or path[-1:] in own)
+        for text, _, path, seen, *_ in lines
+        if seen and (not article or article in path) and menus.isdisjoint(path)
     ]
     return "\n\n".join(kept)
 

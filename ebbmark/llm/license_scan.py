@@ -2,11 +2,12 @@
 
 Every template is a set of word shingles. A text is cut into windows of a few
 fixed sizes, each half overlapping the next, so that a notice of up to half a
-window's words lies whole in one. ``BANDS`` MinHash values are kept per window
+window's places lies whole in one. ``BANDS`` MinHash values are kept per window
 and template, each a band of its own; a window and a template that agree in any
-band are a candidate. A notice that fills a quarter of its window (a template
-is looked for in windows at most four times its length) is so retrieved with
-probability 1 - 0.75 ** 64, about 1 - 1e-8. Exact containment of the template's
+band are a candidate. Every template is looked for in windows of at most four
+times its shingles, and where these are short also in wider ones, with room for
+words put in. A whole notice so fills a quarter of a window and is retrieved
+with probability 1 - 0.75 ** 64, about 1 - 1e-8. Exact containment of the template's
 shingles in the window decides.
 """
 
@@ -27,8 +28,9 @@ from ebbmark.llm.arrays import Words, mix, shingles, slices, texts_of
 SHINGLE = 5
 CONTAINMENT = 0.8
 BANDS = 64
-# Smallest window in words; each size doubles the one before.
-LEAST_WINDOW = 16
+# Smallest window in shingle places, and the smallest of the wider ones; each size doubles the one before.
+LEAST_WINDOW = 4
+LEAST_WIDE = 16
 
 # Notices of public licences.
 TEMPLATES: dict[str, str] = {
@@ -122,15 +124,18 @@ class Templates:
         return cls(names, sets, words.counts.tolist(), bands.ravel()[order], owners[order])
 
     def window_sizes(self) -> list[int]:
-        """Window sizes: the smallest power of two times ``LEAST_WINDOW`` with room for twice each template."""
-        return sorted({self.size_for(n) for n in self.lengths if n})
+        """Window sizes of all templates."""
+        return sorted({size for n in self.lengths if n for size in self.sizes_for(n)})
 
     @staticmethod
-    def size_for(n: int) -> int:
-        size = LEAST_WINDOW
-        while size < 2 * n:
-            size *= 2
-        return size
+    def sizes_for(n: int) -> set[int]:
+        """Powers of two for a template of ``n`` words: at most four times its shingles, and twice its words or more."""
+        wide, near, places = LEAST_WIDE, LEAST_WINDOW, max(n - SHINGLE + 1, 1)
+        while wide < 2 * n:
+            wide *= 2
+        while 2 * near <= min(4 * places, wide):
+            near *= 2
+        return {near, wide}
 
 
 class _Windows:
@@ -170,7 +175,7 @@ def find(texts: list[str], templates: Templates) -> list[list[tuple[str, int, in
             for window, place in zip(hits.tolist(), at[hits].tolist()):
                 while place < len(templates.bands) and templates.bands[place] == values[window]:
                     owner = int(templates.owners[place])
-                    if templates.size_for(templates.lengths[owner]) == cut.size:
+                    if cut.size in templates.sizes_for(templates.lengths[owner]):
                         candidates.add((k, window, owner))
                     place += 1
     for k, window, owner in sorted(candidates):
@@ -189,7 +194,7 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES) -> DataFrame
     """One row per document and licence found, with the columns of ``docs`` but its text.
 
     ``first_word`` is where the first matching shingle begins, among the words
-    of the text; ``n_windows`` the windows that hold the notice; ``containment``
+    of the text; ``n_windows`` the windows of its sizes that hold the notice; ``containment``
     the largest share of the template's shingles in a window. A template of
     fewer than five words is one shingle and found in texts of just those words.
 

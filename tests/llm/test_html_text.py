@@ -47,6 +47,27 @@ def test_link_lists_without_a_name_go():
     assert html_text.main_text(page) == "\n\n".join(["Head", text, text])
 
 
+def test_lead_and_headline_beside_a_long_body_stay():
+    lead, long = "A lead that says what this is about. " * 8, "<p>" + LONG * 10 + "</p>"
+    for tag in ("article", "main", "div"):
+        page = f"<body><{tag}><h1>Head</h1><p>{lead}</p><div class=body>{long * 7}</div><div><p>{lead}</p></div></{tag}></body>"
+        found = html_text.main_text(page).split("\n\n")
+        assert found[-1] == lead.strip() and len(found) == (10 if tag != "div" else len(found))
+        assert found[:2] == ["Head", lead.strip()]
+
+
+def test_tables_and_short_sections_of_the_article_stay():
+    cells = "".join(f"<tr><td>k{i}<td><a href={i}>{i}</a></tr>" for i in range(9))
+    menu = "".join(f"<li><a href={k}>Link {k}</a></li>" for k in range(9))
+    paragraphs = f"<p>{LONG}</p>" * 6
+    page = (
+        f"<article>{paragraphs}<table>{cells}</table><section><h2>Short</h2><p>a</p><ul><li>b</li></ul></section>"
+        f"<div><ul>{menu}</ul></div><div><p>c</p></div></article>"
+    )
+    rest = [x for i in range(9) for x in (f"k{i}", f"{i}")]
+    assert html_text.main_text(page).split("\n\n")[6:] == [*rest, "Short", "a", "b", "c"]
+
+
 def test_broken_pages_do_not_fail():
     for page in ("", "<", "<p", "text &am", "</div></p>", "<p>a<p>b", "<article><p>a", "<script>x", "<!-- a", "<div class><p>a</div>", "a\0b"):
         html_text.main_text(page)

@@ -20,6 +20,17 @@ def test_every_template_is_found_wherever_it_stands():
             assert name in names(around), (name, before)
 
 
+def test_short_templates_are_found_in_any_context():
+    rng = random.Random(1)
+    for name in ("MIT", "CC-BY-NC-4.0"):
+        texts = []
+        for _ in range(2000):
+            filler = ["".join(rng.choices("abcdefghij", k=8)) for _ in range(40)]
+            before = rng.randrange(12)
+            texts.append(" ".join([*filler[:before], scan.TEMPLATES[name], *filler[before:]]))
+        assert all([hit[0] for hit in hits] == [name] for hits in scan.find(texts, KNOWN))
+
+
 def test_containment_decides():
     words = scan.TEMPLATES["MIT-text"].split()
     few = [*words]
