@@ -10,16 +10,19 @@ from pyspark.sql import functions as F
 
 from ebbmark.llm import (
     fingerprints,
+    hard_negatives,
     html_text,
     language_id,
     license_scan,
     near_dedup,
     packing,
+    pii,
     quality_classifier,
     quality_rules,
     secret_scan,
     sentencepiece_scan,
 )
+from ebbmark.llm.oracles import ORACLES as ORACLES
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,6 +106,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.expr(f"NOT NOT {language_id.held_out()}").alias("held_out"), "lang_pred", "score")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the rows whose id is divisible by 50, out of all rows."""
+    relabel = F.expr("CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END")
+    rows = hard_negatives.prepare(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label", relabel)
+    return hard_negatives.mine(rows, "id % 50 = 0")
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of all documents."""
+    found = pii.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "span_scores")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -116,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secret_scan,
         op9_near_dedup,
         op10_language_id,
+        op12_hard_negatives,
+        op13_pii,
     )
 }
-ORACLES: dict[str, str] = {}
