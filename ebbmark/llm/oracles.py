@@ -51,6 +51,38 @@ SELECT t.doc_id,
 FROM texts t LEFT JOIN kept k USING (doc_id) GROUP BY t.doc_id
 """
 
+_PREFIX_TRIE = """
+WITH ordered AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+    FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY place) AS turns FROM ordered GROUP BY conv_id),
+numbered AS (
+    -- The crc32 of the decimal text, a bit at a time.
+    SELECT *, xor(list_reduce(
+        list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+            lambda v, ignored: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) % 9 AS h
+    FROM own),
+rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(o.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+    FROM numbered c LEFT JOIN own o ON o.conv_id = c.conv_id - (c.conv_id % 5 + 5) % 5),
+prefixes AS (
+    SELECT conv_id, d AS depth, turns[1:d] AS prefix, len(turns) = d AS ends, coalesce(strlen(turns[d].text), 0) AS bytes
+    FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)),
+nodes AS (
+    SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM prefixes GROUP BY depth, prefix),
+children AS (SELECT depth - 1 AS depth, prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+whole AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (depth, prefix)),
+below AS (
+    SELECT over AS depth, prefix[1:over] AS prefix, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * bytes) AS saved_tokens
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS over FROM whole) GROUP BY ALL)
+SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, b.n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, w.ends_sha256
+FROM whole w JOIN below b USING (depth, prefix) LEFT JOIN nodes p ON p.depth = w.depth - 1 AND p.prefix = w.prefix[1:w.depth - 1]
+"""
+
 _HARD_NEGATIVES = """
 WITH taking_part AS (
     SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -73,6 +105,7 @@ QUALIFY rank <= 3
 """
 
 ORACLES: dict[str, str] = {
+    "op11_prefix_trie": _PREFIX_TRIE,
     "op12_hard_negatives": _HARD_NEGATIVES,
     "op13_pii": _PRIVATE,
 }

@@ -17,6 +17,7 @@ from ebbmark.llm import (
     near_dedup,
     packing,
     pii,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     secret_scan,
@@ -106,6 +107,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.expr(f"NOT NOT {language_id.held_out()}").alias("held_out"), "lang_pred", "score")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of the rows whose id is divisible by 50, out of all rows."""
     relabel = F.expr("CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END")
@@ -132,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secret_scan,
         op9_near_dedup,
         op10_language_id,
+        op11_prefix_trie,
         op12_hard_negatives,
         op13_pii,
     )
