@@ -121,6 +121,35 @@ def delta(check: Check, upper: int | None = None) -> DataFrame:
     return rows if upper is None else rows.filter(f"{check.value} <= {check.literal(upper)}")
 
 
+def split_bounds(check: Check, upper: int | None) -> tuple[str, str] | None:
+    """First and last value of a delta as texts a split read takes; None where there is nothing to split.
+
+    Timestamps are local times of the session's zone. The last bound is one past
+    the largest value, for strides of equal width.
+    """
+    if upper is None or check.offset is None or upper <= check.offset:
+        return None
+    if check.type_id != TIMESTAMP_CHECK:
+        return str(check.offset), str(upper + 1)
+    spark = check.frame.sparkSession
+    texts = (f"CAST(CAST(timestamp_micros({int(v)}) AS TIMESTAMP) AS STRING)" for v in (check.offset, upper + 1))
+    return tuple(spark.range(1).selectExpr(*texts).first())
+
+
+def stride_counts(check: Check, upper: int, parts: int) -> DataFrame:
+    """Rows of a delta in each of the ``parts`` strides a split read deals it into: ``part, row_count``.
+
+    Shows, before a large read, whether the check column spreads its rows. The
+    strides are of equal width from the offset to ``upper``; parts without rows
+    are not listed.
+    """
+    if check.offset is None:
+        raise ValueError("a split needs an offset")
+    width = max(1, -(-(upper + 1 - check.offset) // parts))
+    part = F.expr(f"({check.as_offset(check.value)} - {int(check.offset)}) div {width}").cast("int")
+    return delta(check, upper).groupBy(part.alias("part")).agg(F.count("*").alias("row_count"))
+
+
 def has_files(frame: DataFrame) -> bool:
     """Whether rows know the file they come from; settled by analysis, nothing runs."""
     try:

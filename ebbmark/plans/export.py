@@ -5,12 +5,13 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
-from dataclasses import dataclass
+from contextlib import nullcontext
+from dataclasses import dataclass, replace
 from typing import Any
 
 import pyarrow as pa
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ebbmark.functions.clock import CLOCK_SHIFT_HOURS, batch_clock
@@ -21,14 +22,18 @@ from ebbmark.operators.delta import (
     Stats,
     collect_stats,
     delta,
+    has_files,
     in_files,
+    split_bounds,
     stored_offset,
     union,
 )
 from ebbmark.operators.records import to_records
-from ebbmark.sources.control_log import LOG_SCHEMA, ControlTable
+from ebbmark.sources.claims import Claim, Claims
+from ebbmark.sources.control_log import LOG_SCHEMA, ControlTable, batch_number
 from ebbmark.sources.sinks import RecordSink
 from ebbmark.sources.tables import TableStore
+from ebbmark.sources.zone_map import ZoneMap
 
 # Tables whose stats share one job; bounds the size of its plan.
 STATS_CHUNK = 50
@@ -120,9 +125,9 @@ def advanced(shift_hours: int = CLOCK_SHIFT_HOURS) -> list[Column]:
     ]
 
 
-@dataclass(frozen=True)
+@dataclass
 class _Export:
-    """One table on its way through a batch."""
+    """One table on its way through a batch; ``delta_count`` is what was counted, then what was sent."""
 
     row: dict[str, Any]
     check: Check
@@ -130,10 +135,15 @@ class _Export:
     delta_count: int
     files: list[str] | None
 
-    def records(self, key_columns: Mapping[str, str], spread: int | None) -> DataFrame:
+    def records(self, key_columns: Mapping[str, str], spread: int | None, tables: TableStore) -> DataFrame:
+        check = self.check
+        bounds = split_bounds(check, self.max_offset) if tables.split else None
+        if bounds:
+            split = tables.read_split(check.frame.sparkSession, check.table, check.column, *bounds)
+            check = replace(check, frame=split)
         # The watermark only narrows the rows further: their files hold them all.
-        rows = in_files(delta(self.check, self.max_offset), self.files)
-        return to_records(rows, self.check.table, key_columns.get(self.check.table), spread)
+        rows = in_files(delta(check, self.max_offset), self.files)
+        return to_records(rows, check.table, key_columns.get(check.table), spread)
 
     def found(self, ended_millis: int) -> dict[str, Any]:
         return {
@@ -177,8 +187,14 @@ def open_checks(
         return [*pool.map(inheritable_thread_target(spark)(open_one), rows)]
 
 
-def export_stats(spark: SparkSession, checks: Sequence[Check]) -> list[Stats | Exception]:
-    """Stats of all checks in one job; if that job fails, of each on its own, several at a time."""
+def export_stats(
+    spark: SparkSession, checks: Sequence[Check], zones: ZoneMap | None = None
+) -> list[Stats | Exception]:
+    """Stats of all checks in one job; if that job fails, of each on its own, several at a time.
+
+    With ``zones`` the stats of tables in files come from the zone map, table by
+    table, as each appends what it has read.
+    """
 
     def alone(check: Check) -> Stats | Exception:
         try:
@@ -186,6 +202,17 @@ def export_stats(spark: SparkSession, checks: Sequence[Check]) -> list[Stats | E
         except Exception as error:
             return error
 
+    def zoned(check: Check) -> Stats | Exception:
+        try:
+            return zones.stats(spark, check)
+        except Exception as error:
+            return error
+
+    if zones is not None:
+        mapped = {i: zoned(check) for i, check in enumerate(checks) if has_files(check.frame)}
+        rest = [check for i, check in enumerate(checks) if i not in mapped]
+        others = iter(export_stats(spark, rest) if rest else [])
+        return [mapped[i] if i in mapped else next(others) for i in range(len(checks))]
     try:
         return [*collect_stats(checks)]
     except Exception as error:
@@ -200,6 +227,7 @@ def _prepare(
     rows: Sequence[dict[str, Any]],
     tables: TableStore,
     from_start: bool,
+    zones: ZoneMap | None,
 ) -> tuple[list[_Export], list[TableResult]]:
     opened = list(zip(rows, open_checks(spark, rows, tables, from_start)))
     failed = [
@@ -216,7 +244,7 @@ def _prepare(
         elif isinstance(check, Check):
             ready.append((row, check))
     exports = []
-    for (row, check), stats in zip(ready, export_stats(spark, [c for _, c in ready]) if ready else []):
+    for (row, check), stats in zip(ready, export_stats(spark, [c for _, c in ready], zones) if ready else []):
         if isinstance(stats, Stats) and not stats.exact:
             stats = ValueError(
                 f"the largest {check.column} is a local time the session time zone "
@@ -242,6 +270,8 @@ def export_batch(
     shift_hours: int = CLOCK_SHIFT_HOURS,
     single_write: bool = False,
     write_group: int = STATS_CHUNK,
+    zones: ZoneMap | None = None,
+    claims: Claims | None = None,
     clock: Callable[[], int] = wall_millis,
 ) -> list[TableResult]:
     """Export the new rows of every table of a batch, then advance its control rows.
@@ -258,10 +288,38 @@ def export_batch(
     ``spread`` deals the records of every table over that many topic partitions
     by a hash of the row, whatever their key. ``single_write`` sends up to
     ``write_group`` tables in one job, which is quicker for many small tables,
-    but one failure then holds back the whole group.
+    but one failure then holds back the whole group. ``zones`` takes the stats of
+    tables in files from a zone map, so that only files not seen before are read
+    for them. ``claims`` holds the batch for the time of the run: a second run of
+    it stops with ``BatchClaimed``, and none advances a control row after its
+    lease. The count of a control row is that of the records handed to the sink.
     """
     if write_group < 1:
         raise ValueError("a write group has one table at least")
+    holding = nullcontext() if claims is None else claims.hold(spark, batch_number(batch_id))
+    with holding as claim:
+        return _export(
+            spark, batch_id, control, tables, sink, from_start, key_columns or {}, spread,
+            shift_hours, single_write, write_group, zones, claim, clock,
+        )
+
+
+def _export(
+    spark: SparkSession,
+    batch_id: int | str,
+    control: ControlTable,
+    tables: TableStore,
+    sink: RecordSink,
+    from_start: bool,
+    key_columns: Mapping[str, str],
+    spread: int | None,
+    shift_hours: int,
+    single_write: bool,
+    write_group: int,
+    zones: ZoneMap | None,
+    claim: Claim | None,
+    clock: Callable[[], int],
+) -> list[TableResult]:
     # One row per table of the batch: what the driver needs to start the jobs.
     rows = driver_rows(control.current(spark, batch_id)).toArrow().to_pylist()
     rows.sort(key=lambda row: row["tablename"] or "")
@@ -270,11 +328,18 @@ def export_batch(
     running: dict[Future, list[_Export]] = {}
 
     def write(unit: list[_Export]) -> list[dict[str, Any]]:
-        sending = [export for export in unit if export.delta_count]
+        counts = {id(export): Observation() for export in unit if export.delta_count}
+        sending = [export for export in unit if id(export) in counts]
         if sending:
-            records = union(export.records(key_columns or {}, spread) for export in sending)
+            count = F.count(F.lit(1)).alias("sent")
+            records = union(
+                export.records(key_columns, spread, tables).observe(counts[id(export)], count)
+                for export in sending
+            )
             sink.write(records, TOGETHER if single_write else sending[0].check.table)
         ended = clock()
+        for export in sending:
+            export.delta_count = counts[id(export)].get["sent"]
         return [export.found(ended) for export in unit]
 
     def settle(done: Iterable[Future]) -> None:
@@ -283,6 +348,8 @@ def export_batch(
         error = None
         if found:
             try:
+                if claim is not None:
+                    claim.confirm()
                 arrived = spark.createDataFrame(pa.Table.from_pylist(found, DRIVER_ROW))
                 control.append(arrived.select(*moved).coalesce(1))
             except Exception as not_saved:
@@ -302,7 +369,7 @@ def export_batch(
             started = clock()
             chunk = rows[first : first + step]
             chunk_rows = [{**row, "started_millis": started} for row in chunk]
-            exports, failed = _prepare(spark, chunk_rows, tables, from_start)
+            exports, failed = _prepare(spark, chunk_rows, tables, from_start, zones)
             results += failed
             size = write_group if single_write else 1
             units = [exports[i : i + size] for i in range(0, len(exports), size)]

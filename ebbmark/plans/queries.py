@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,15 @@ from pyspark.sql import types as T
 
 from ebbmark.functions.clock import batch_clock, day_number, day_text, truncate_second, yesterday_text
 from ebbmark.functions.naming import qualified_name, to_camel, to_snake
-from ebbmark.operators.delta import Check, collect_stats, delta, stored_offset, table_stats, union
+from ebbmark.operators.delta import (
+    Check,
+    collect_stats,
+    delta,
+    stored_offset,
+    stride_counts,
+    table_stats,
+    union,
+)
 from ebbmark.operators.ranges import (
     count_rows,
     day_horizon,
@@ -28,11 +37,13 @@ from ebbmark.operators.records import to_records
 from ebbmark.operators.schedule import next_due_table
 from ebbmark.operators.schemas import apply_schema, camel_columns, declared_schema, snake_columns
 from ebbmark.plans.export import advanced, driver_rows, export_batch
+from ebbmark.sources.claims import Claims
 from ebbmark.sources.control_log import LOG_SCHEMA, ControlTable, conform, latest, select_batch
 from ebbmark.sources.partitions import catalog_days, time_days
 from ebbmark.sources.scratch import scratch_folder
 from ebbmark.sources.sinks import file_sink
 from ebbmark.sources.tables import TableStore, register_view
+from ebbmark.sources.zone_map import ZoneMap
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -343,6 +354,35 @@ def records_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_records(read(spark, sf_dir, "pages"), "pages")
 
 
+@registered(
+    NUMBER_STATS_SQL
+    + """
+UNION ALL SELECT 'events_ts', epoch_us(max(ts)), count(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-15 00:00:00') FROM events
+"""
+)
+def watermark_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stats of whole tables out of a zone map's second run, which reads no row of files that lie on one side of the offset."""
+    zones = ZoneMap(TableStore(name_value=scratch_folder(spark) + "/{table}"))
+    timed = check(spark, sf_dir, "events", "ts", 0, micros(EVENTS_FROM))
+    checks = [*number_checks(spark, sf_dir), replace(timed, table="events_ts")]
+    for c in checks:
+        zones.zones(spark, c)
+    found = [zones.stats(spark, c) for c in checks]
+    rows = [(s.table, s.max_offset, s.delta_count) for s in found]
+    return spark.createDataFrame(rows, "tablename string, max_offset bigint, delta_count bigint")
+
+
+@registered(
+    """
+SELECT CAST((l_orderkey - 700) // greatest(1, CAST(ceil((max_key + 1 - 700) / 16.0) AS BIGINT)) AS INTEGER) AS part, count(*) AS row_count
+FROM lineitem, (SELECT max(l_orderkey) AS max_key FROM lineitem) WHERE l_orderkey >= 700 GROUP BY 1"""
+)
+def delta_strides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a delta in each of the strides that a split read deals to its tasks."""
+    c = check(spark, sf_dir, "lineitem", "l_orderkey", 2, 700)
+    return stride_counts(c, collect_stats([c])[0].max_offset, 16)
+
+
 BATCH_SQL = f"""
 SELECT 'events' AS key, {EVENT_RECORD} AS value FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'
 UNION ALL SELECT 'part', {PART_RECORD} FROM part WHERE p_size >= 25
@@ -417,6 +457,14 @@ def export_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(records).select("key", "value")
 
 
+@registered(BATCH_SQL)
+def export_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job with stats from a zone map, holding the batch by a claim."""
+    folder = TableStore(name_value=scratch_folder(spark) + "/{table}")
+    _, records = run_batch(spark, sf_dir, 1, zones=ZoneMap(folder), claims=Claims(folder))
+    return spark.read.parquet(records).select("key", "value")
+
+
 @registered(BATCH_SQL)
 def export_single_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, records = run_batch(spark, sf_dir, 1, single_write=True)

@@ -4,13 +4,31 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 CATALOG = "table"
 
 
+@dataclass(frozen=True)
+class Split:
+    """Reader options that have a table read by several tasks, split by a column.
+
+    The names are those of the JDBC reader, which without them reads any table
+    in one task. ``parts`` is the number of tasks, and of connections at a time.
+    """
+
+    parts: int
+    column: str = "partitionColumn"
+    lower: str = "lowerBound"
+    upper: str = "upperBound"
+    count: str = "numPartitions"
+
+    def options(self, column: str, lower: str, upper: str) -> dict[str, str]:
+        return {self.column: column, self.lower: lower, self.upper: upper, self.count: str(self.parts)}
+
+
 @dataclass(frozen=True)
 class TableStore:
     """A family of tables that share a format and options and differ by name.
@@ -20,7 +38,7 @@ class TableStore:
 
     - files: ``TableStore("parquet", name_value="/lake/{table}")``
     - Kudu: ``TableStore("kudu", {"kudu.master": m}, name_option="kudu.table")``
-    - JDBC: ``TableStore("jdbc", {"url": u}, name_option="dbtable")``
+    - JDBC: ``TableStore("jdbc", {"url": u}, name_option="dbtable", split=Split(32))``
     - metastore: ``TableStore("table")``
     """
 
@@ -28,6 +46,7 @@ class TableStore:
     options: Mapping[str, str] = field(default_factory=dict)
     name_option: str = "path"
     name_value: str = "{table}"
+    split: Split | None = None
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         name = self.name_value.format(table=table)
@@ -38,6 +57,18 @@ class TableStore:
         reader = spark.read.format(self.format).options(**self.options)
         return reader.option(self.name_option, name).load()
 
+    def read_split(self, spark: SparkSession, table: str, column: str, lower: str, upper: str) -> DataFrame:
+        """The whole table, read by ``split.parts`` tasks that share the values from ``lower`` to ``upper``.
+
+        Without ``split`` the table is read as ever. Rows outside the bounds are
+        read too, by the first and the last task: the bounds deal rows out, they
+        drop none.
+        """
+        if self.split is None:
+            return self.read(spark, table)
+        bounds = self.split.options(column, lower, upper)
+        return replace(self, options={**self.options, **bounds}).read(spark, table)
+
     def append(self, rows: DataFrame, table: str) -> None:
         self._save(rows.write.mode("append"), table)
 

@@ -1,0 +1,99 @@
+"""Claims: of two runs that overlap, one goes on."""
+
+import threading
+
+import pytest
+
+from ebbmark import BatchClaimed, Claims, TableStore
+from ebbmark.sources.claims import CHOOSING, NUMBERED
+
+
+@pytest.fixture
+def claims(tmp_path):
+    return Claims(TableStore(name_value=f"{tmp_path}/{{table}}"), poll_seconds=0.05)
+
+
+def test_a_second_run_stops_and_a_later_one_goes_on(spark, claims):
+    with claims.hold(spark, 7, "a"):
+        for run in ("0", "b"):
+            with pytest.raises(BatchClaimed, match="held by a"), claims.hold(spark, 7, run):
+                pytest.fail("two runs hold the batch")
+        with claims.hold(spark, 8, "other"):
+            pass
+    with claims.hold(spark, 7, "c") as claim:
+        claim.confirm()
+    assert claims.standing(spark, 7).count() == 0
+
+
+def test_a_failed_run_releases_its_batch(spark, claims):
+    with pytest.raises(ZeroDivisionError), claims.hold(spark, 7, "a"):
+        raise ZeroDivisionError
+    with claims.hold(spark, 7, "b"):
+        pass
+
+
+def test_one_that_still_chooses_is_waited_for(spark, claims):
+    claims.say(spark, 7, "slow", CHOOSING, 0, claims.clock())
+    late = threading.Timer(1.0, lambda: claims.say(spark, 7, "slow", NUMBERED, 1, claims.clock()))
+    late.start()
+    with pytest.raises(BatchClaimed, match="held by slow"), claims.hold(spark, 7, "z"):
+        pytest.fail("the lower claim was not seen")
+    late.join()
+
+
+@pytest.mark.parametrize("folders", [True, False])
+def test_runs_at_one_time(spark, claims, folders):
+    inside, most, held, lock = 0, 0, [], threading.Lock()
+    ready = threading.Barrier(3)
+    mine = claims if folders else Claims(claims.store, "together", folders=False, poll_seconds=0.05)
+    if not folders:
+        # Appends to one folder take turns here, as a store without folders would have them.
+        say, writing = Claims.say, threading.Lock()
+
+        class Serial(Claims):
+            def say(self, *row):
+                with writing:
+                    say(self, *row)
+
+            def standing(self, *row):
+                with writing:
+                    return self.store_rows(super().standing(*row))
+
+            def store_rows(self, frame):
+                return frame.sparkSession.createDataFrame(frame.toPandas(), frame.schema)
+
+        mine = Serial(claims.store, "together", folders=False, poll_seconds=0.05)
+
+    def run(name):
+        nonlocal inside, most
+        ready.wait()
+        try:
+            with mine.hold(spark, 7, name):
+                with lock:
+                    inside += 1
+                    most = max(most, inside)
+                    held.append(name)
+                threading.Event().wait(2)
+                with lock:
+                    inside -= 1
+        except BatchClaimed:
+            pass
+
+    threads = [threading.Thread(target=run, args=(name,)) for name in "abc"]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert most == 1 and held
+
+
+def test_a_lease_ends(spark, tmp_path):
+    now = [1_000_000]
+    claims = Claims(TableStore(name_value=f"{tmp_path}/{{table}}"), lease_seconds=10, clock=lambda: now[0])
+    with claims.hold(spark, 7, "dead") as dead:
+        dead.confirm()
+        now[0] += 10_000
+        with pytest.raises(BatchClaimed, match="lease"):
+            dead.confirm()
+        with claims.hold(spark, 7, "next") as following:
+            following.confirm()

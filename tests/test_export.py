@@ -5,7 +5,18 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
-from ebbmark import BatchFailed, ControlTable, RecordSink, TableStore, export_batch, file_sink
+from ebbmark import (
+    BatchClaimed,
+    BatchFailed,
+    Claims,
+    ControlTable,
+    RecordSink,
+    Split,
+    TableStore,
+    ZoneMap,
+    export_batch,
+    file_sink,
+)
 from ebbmark.plans import export
 from ebbmark.sources.control_log import LOG_SCHEMA, conform
 
@@ -410,3 +421,72 @@ def test_random_history_matches_brute_force(spark, setting):
             offset[name] = max(values)
             assert setting.state(name).longoffset == offset[name]
             assert setting.state(name).currentbatchcount == len(expected)
+
+
+class Overlapping:
+    """A sink in the middle of whose first write another run of the same batch starts."""
+
+    concurrent = 1
+
+    def __init__(self, inner, other):
+        self.inner, self.other = inner, other
+
+    def write(self, records, table):
+        if self.other:
+            self.other, other = None, self.other
+            with pytest.raises(BatchClaimed):
+                other()
+        self.inner.write(records, table)
+
+
+def test_of_overlapping_runs_one_advances(setting):
+    setting.register(control_row("longs", "id", 2, 4), control_row("ints", "size", 1, 3))
+    claims = Claims(setting.control.store)
+    first, second = file_sink(f"{setting.folder}/first"), file_sink(f"{setting.folder}/second")
+    setting.run(sink=Overlapping(first, lambda: setting.run(sink=second, claims=claims)), claims=claims)
+    assert setting.state("longs").seq == setting.state("ints").seq == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        setting.spark.read.parquet(f"{setting.folder}/second")
+    setting.run(sink=second, claims=claims)
+    assert setting.state("longs").seq == 2
+
+
+def test_a_run_past_its_lease_advances_nothing(setting):
+    setting.register(control_row("longs", "id", 2, 4))
+    with pytest.raises(BatchFailed, match="lease"):
+        setting.run(claims=Claims(setting.control.store, lease_seconds=0))
+    assert setting.state("longs").seq == 0
+
+
+def test_zones_export_the_same(setting):
+    setting.register(control_row("longs", "id", 2, 4), control_row("ints", "size", 1, 3))
+    zones = ZoneMap(setting.control.store)
+    setting.run(zones=zones)
+    assert sorted(r["id"] for r in setting.sent()["longs"]) == [4, 5, 6, 7, 8, 9]
+    assert setting.state("longs").longoffset == 9 and setting.state("ints").currentbatchcount == 4
+    setting.put("longs", setting.spark.range(8, 14).selectExpr("id", "id AS twice"))
+    setting.run(zones=zones)
+    assert sorted(r["id"] for r in setting.sent()["longs"]) == [9, 9, 10, 11, 12, 13]
+    assert setting.state("longs").currentbatchcount == 6
+
+
+class Growing(TableStore):
+    """A store in which rows at the watermark arrive between the count and the write."""
+
+    def read_split(self, spark, table, column, lower, upper):
+        frame = self.read(spark, table)
+        return frame.unionByName(frame.filter(f"{column} = {int(upper) - 1}"))
+
+
+def test_the_count_is_what_was_sent(setting):
+    setting.register(control_row("longs", "id", 2, 4))
+    setting.tables = Growing(name_value=setting.tables.name_value, split=Split(2))
+    results = setting.run()
+    assert len(setting.sent()["longs"]) == results[0].row_count == setting.state("longs").currentbatchcount == 7
+
+
+@pytest.mark.parametrize("single", [False, True])
+def test_counts_of_several_tables(setting, single):
+    setting.register(control_row("longs", "id", 2, 4), control_row("ints", "size", 1, 3))
+    results = setting.run(single_write=single, **({"sink": file_sink(f"{setting.folder}/s")} if single else {}))
+    assert {r.table: r.row_count for r in results} == {"longs": 6, "ints": 4}
