@@ -8,7 +8,9 @@ band are a candidate. Every template is looked for in windows of at most four
 times its shingles, and where these are short also in wider ones, with room for
 words put in. A whole notice so fills a quarter of a window and is retrieved
 with probability 1 - 0.75 ** 64, about 1 - 1e-8. Exact containment of the template's
-shingles in the window decides.
+shingles in the window decides. A band's value is that of one shingle, so a window
+that agrees holds a shingle of the template: minima are only worked out for windows
+that hold a shingle of some template.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbmark.llm.arrays import Words, mix, shingles, slices, texts_of
+from ebbmark.llm.columns import others
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -111,6 +114,8 @@ class Templates:
     # Sorted (band value, template) pairs.
     bands: np.ndarray
     owners: np.ndarray
+    # Shingles of all templates, in order.
+    every: np.ndarray
 
     @classmethod
     def of(cls, texts: Mapping[str, str]) -> Templates:
@@ -121,7 +126,7 @@ class Templates:
         bands = np.array([[mix(mix(sets[i], band + 1).min()[None], band)[0] for band in range(BANDS)] for i in used], np.uint64)
         owners = np.repeat(used, BANDS)
         order = np.argsort(bands.ravel(), kind="stable")
-        return cls(names, sets, words.counts.tolist(), bands.ravel()[order], owners[order])
+        return cls(names, sets, words.counts.tolist(), bands.ravel()[order], owners[order], np.unique(hashes))
 
     def window_sizes(self) -> list[int]:
         """Window sizes of all templates."""
@@ -139,37 +144,51 @@ class Templates:
 
 
 class _Windows:
-    """Windows of one size over the shingles of some texts: every two halves that follow one another."""
+    """Windows of one size over the shingles of some texts: every two halves that follow one another.
 
-    def __init__(self, rows: np.ndarray, places: np.ndarray, size: int):
+    Only those are kept that hold a marked shingle; the halves of these alone are
+    looked at again.
+    """
+
+    def __init__(self, rows: np.ndarray, places: np.ndarray, marked: np.ndarray, size: int):
         half = places // (size // 2)
         fresh = np.append(True, (rows[1:] != rows[:-1]) | (half[1:] != half[:-1]))
         self.size = size
-        self.begins = np.flatnonzero(fresh)
-        ends = np.append(self.begins[1:], len(rows))
-        own_rows, own_halves = rows[self.begins], half[self.begins]
-        self.joined = np.zeros(len(self.begins), bool)
-        self.joined[:-1] = (own_rows[1:] == own_rows[:-1]) & (own_halves[1:] == own_halves[:-1] + 1)
-        self.ends = np.where(self.joined, np.append(ends[1:], 0), ends)
-
-    def minima(self, values: np.ndarray) -> np.ndarray:
-        lows = np.minimum.reduceat(values, self.begins)
-        after = np.append(lows[1:], lows[-1])
-        return np.where(self.joined, np.minimum(lows, after), lows)
+        begins = np.flatnonzero(fresh)
+        ends = np.append(begins[1:], len(rows))
+        own_rows, own_halves = rows[begins], half[begins]
+        joined = np.zeros(len(begins), bool)
+        joined[:-1] = (own_rows[1:] == own_rows[:-1]) & (own_halves[1:] == own_halves[:-1] + 1)
+        held = np.logical_or.reduceat(marked, begins)
+        after = np.append(held[1:], False) & joined
+        kept = np.flatnonzero(held | after)
+        self.begins, self.joined = begins[kept], joined[kept]
+        self.ends = np.where(self.joined, ends[np.minimum(kept + 1, len(ends) - 1)], ends[kept])
+        # The halves of the windows that are kept, end to end, and each window's first among them.
+        needed = np.unique(np.concatenate([kept, kept[self.joined] + 1]))
+        lengths = ends[needed] - begins[needed]
+        self.starts = np.cumsum(lengths) - lengths
+        self.shingles = np.repeat(begins[needed] - self.starts, lengths) + np.arange(lengths.sum())
+        self.first = np.searchsorted(needed, kept)
+
+    def minima(self, hashes: np.ndarray, salt: int) -> np.ndarray:
+        lows = np.minimum.reduceat(mix(hashes[self.shingles], salt), self.starts)
+        after = lows[np.minimum(self.first + 1, len(lows) - 1)]
+        return np.where(self.joined, np.minimum(lows[self.first], after), lows[self.first])
 
 
 def find(texts: list[str], templates: Templates) -> list[list[tuple[str, int, int, float]]]:
     """Per text the notices found: name, first word, windows that hold it, largest containment."""
     _, hashes, rows, places = _hashed(texts)
     best: list[dict[str, tuple[int, int, float]]] = [{} for _ in texts]
-    if not len(hashes) or not len(templates.bands):
+    marked = np.isin(hashes, templates.every)
+    if not marked.any():
         return [[] for _ in texts]
-    windows = [_Windows(rows, places, size) for size in templates.window_sizes()]
+    windows = [_Windows(rows, places, marked, size) for size in templates.window_sizes()]
     candidates: set[tuple[int, int, int]] = set()
     for band in range(BANDS):
-        salted = mix(hashes, band + 1)
         for k, cut in enumerate(windows):
-            values = mix(cut.minima(salted), band)
+            values = mix(cut.minima(hashes, band + 1), band)
             at = np.searchsorted(templates.bands, values)
             hits = np.flatnonzero(templates.bands[np.minimum(at, len(templates.bands) - 1)] == values)
             for window, place in zip(hits.tolist(), at[hits].tolist()):
@@ -199,17 +218,18 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES) -> DataFrame
     fewer than five words is one shingle and found in texts of just those words.
 
     Null and empty texts hold nothing; repeated rows are scanned one by one;
-    columns named like a result are replaced; an empty table gives no rows.
+    columns named like a result, in any case, are replaced; an empty table gives no rows.
     Templates are few and go to every task.
     """
-    names = [c for c in docs.columns if c not in [*_FOUND.names, "text"]]
-    rows = docs.select(*(F.col(f"`{c}`") for c in names), F.col("text").cast("string"))
+    kept = others(docs, [*_FOUND.names, "text"])
+    rows = docs.select(*kept, F.col("text").cast("string").alias("text"))
+    place = len(kept)
     out = T.StructType([*(f for f in rows.schema.fields if f.name != "text"), *_FOUND.fields])
     prepared = Templates.of(templates)
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch.column(len(names)))
+            texts = texts_of(batch.column(place))
             for first, last in slices(texts):
                 found = find(texts.slice(first, last - first).to_pylist(), prepared)
                 source = [first + i for i, hits in enumerate(found) for _ in hits]

@@ -4,13 +4,12 @@ Two zstandard dictionaries are built from labelled texts, one per label. A text
 is cut into pieces, every piece is compressed with either dictionary and with
 none, and the difference of the two sizes, divided by their sum, says which
 dictionary knows the text better. A logistic curve fitted on labelled texts the
-dictionaries have not seen turns it into a probability. How far a text
-compresses alone is the curve's second input, since a text that only repeats
-itself needs no dictionary at all.
+dictionaries have not seen turns it into a probability.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,10 +21,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbmark.llm.arrays import texts_of
+from ebbmark.llm.columns import others
 
-# Bounds of what is learned from: rows of each label, and their longest text in bytes.
-TRAINING_ROWS = 2000
-TRAINING_BYTES = 16_384
+# Bounds of what is learned from: distinct texts of each label, and code points of
+# one. Of a longer text a passage is taken.
+TRAINING_TEXTS = 2000
+TRAINING_CHARS = 16_384
 DICTIONARY_BYTES = 112_640
 # Whole texts are compressed in pieces of this many bytes, so that a long
 # text's own history does not outweigh the dictionary.
@@ -37,42 +38,38 @@ _SCORED = T.StructType([T.StructField("score", T.DoubleType())])
 
 @dataclass(frozen=True)
 class CompressionModel:
-    """Dictionaries of good and bad text and the curve over :func:`features`."""
+    """Dictionaries of good and bad text and the curve over :func:`differences`."""
 
     good: bytes
     bad: bytes
-    weights: tuple[float, ...]
-    means: tuple[float, ...]
-    scales: tuple[float, ...]
+    intercept: float
+    slope: float
 
     def probabilities(self, found: np.ndarray) -> np.ndarray:
-        scaled = (found - self.means) / self.scales
-        return 1 / (1 + np.exp(-np.clip(scaled @ self.weights[1:] + self.weights[0], -40, 40)))
+        return 1 / (1 + np.exp(-np.clip(found * self.slope + self.intercept, -40, 40)))
 
 
 class _Compressors:
     def __init__(self, good: bytes, bad: bytes):
-        self.plain = zstandard.ZstdCompressor(level=LEVEL)
         self.trained = []
         for content in (good, bad):
             known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_AUTO)
             known.precompute_compress(level=LEVEL)
             self.trained.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=known))
 
-    def features(self, text: bytes) -> tuple[float, float]:
-        """Normalised difference of compressed sizes, and the share a text keeps alone."""
-        sizes = [0, 0, 0]
+    def difference(self, text: bytes) -> float:
+        """Normalised difference of a text's compressed sizes: positive where the good dictionary knows it better."""
+        good = bad = 0
         for first in range(0, max(len(text), 1), PIECE_BYTES):
             piece = text[first : first + PIECE_BYTES]
-            for k, compressor in enumerate((*self.trained, self.plain)):
-                sizes[k] += len(compressor.compress(piece))
-        good, bad, alone = sizes
-        return (bad - good) / (bad + good), alone / (len(text) + 16)
+            good += len(self.trained[0].compress(piece))
+            bad += len(self.trained[1].compress(piece))
+        return (bad - good) / (bad + good)
 
 
-def features(texts: list[str], good: bytes, bad: bytes) -> np.ndarray:
+def differences(texts: list[str], good: bytes, bad: bytes) -> np.ndarray:
     compressors = _Compressors(good, bad)
-    return np.array([compressors.features(t.encode()) for t in texts]).reshape(-1, 2)
+    return np.array([compressors.difference(t.encode()) for t in texts])
 
 
 def _dictionary(texts: list[bytes]) -> bytes:
@@ -85,72 +82,57 @@ def _dictionary(texts: list[bytes]) -> bytes:
         return b"\n".join(pieces)[-DICTIONARY_BYTES:] or b"\n" * 8
 
 
-def _curve(found: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Logistic regression by Newton steps; both labels weigh the same."""
-    means, scales = found.mean(0), found.std(0) + 1e-9
-    x = np.column_stack([np.ones(len(found)), (found - means) / scales])
+def _curve(found: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Intercept and slope of a logistic regression by Newton steps; both labels weigh the same."""
+    mean, scale = found.mean(), found.std() + 1e-9
+    x = np.column_stack([np.ones(len(found)), (found - mean) / scale])
     share = np.where(labels == 1, 0.5 / max(labels.sum(), 1), 0.5 / max((labels == 0).sum(), 1)) * len(labels)
-    w = np.zeros(x.shape[1])
+    w = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         slope = x.T @ (share * (labels - p)) - 0.1 * w
-        bend = (x * (share * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(len(w))
+        bend = (x * (share * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2)
         step = np.linalg.solve(bend, slope)
         w += step
         if np.abs(step).max() < 1e-8:
             break
-    return w, means, scales
+    return float(w[0] - w[1] * mean / scale), float(w[1] / scale)
 
 
-def train(labelled: DataFrame) -> CompressionModel | None:
-    """A model from ``(text, quality)`` rows; ``None`` where a label has no text.
-
-    Of each label at most ``TRAINING_ROWS`` texts of at most ``TRAINING_BYTES``
-    bytes, those with the smallest text hashes, reach the driver: three quarters
-    build the dictionaries, the others fit the curve. This bounds what is
-    learned from, not what is scored.
-    """
-    fitting = labelled.filter(
-        f"quality IN (0, 1) AND text IS NOT NULL AND length(text) > 0 AND octet_length(text) <= {TRAINING_BYTES}"
-    ).select(F.col("text").cast("string"), F.col("quality").cast("int"), F.xxhash64("text").alias("place"))
-    samples = {}
-    for label in (0, 1):
-        rows = fitting.filter(F.col("quality") == label).orderBy("place", "text").limit(TRAINING_ROWS)
-        samples[label] = [row.text for row in rows.select("text").toLocalIterator()]
+def _fit(samples: dict[int, list[tuple[int, str]]]) -> CompressionModel | None:
+    """A model from hashes and texts of either label; every fourth hash fits the curve."""
     if not all(samples.values()):
+        warnings.warn("a label has no text to learn from: every score will be 0.5", stacklevel=3)
         return None
     known, tried = {}, {}
     for label, texts in samples.items():
-        known[label] = [t for i, t in enumerate(texts) if i % 4] or texts
-        tried[label] = texts[::4]
+        known[label] = [text for place, text in texts if place % 4] or [text for _, text in texts]
+        tried[label] = [text for place, text in texts if place % 4 == 0] or known[label]
     good, bad = (_dictionary([t.encode() for t in known[label]]) for label in (1, 0))
-    found = features(tried[0] + tried[1], good, bad)
+    found = differences(tried[0] + tried[1], good, bad)
     labels = np.array([0] * len(tried[0]) + [1] * len(tried[1]))
-    w, means, scales = _curve(found, labels)
-    return CompressionModel(good, bad, tuple(w), tuple(means), tuple(scales))
+    return CompressionModel(good, bad, *_curve(found, labels))
 
 
 def score(docs: DataFrame, model: CompressionModel | None) -> DataFrame:
     """``docs`` with ``score``, the probability that a text is good.
 
     Nothing but ``text`` is an input. Null counts as empty; an empty text has
-    a score like any other, equal texts have equal scores. Without a model
-    (no labelled text of one of the labels) every score is 0.5. A column
-    named ``score`` is replaced; an empty table gives no rows.
+    a score like any other, equal texts have equal scores, and so no tie needs to
+    be decided. Without a model (no labelled text of one of the labels, which
+    ``train`` warns of) every score is 0.5. A column named ``score``, in any case,
+    is replaced; an empty table gives no rows.
     """
-    names = [c for c in docs.columns if c != "score"]
-    rows = docs.select(*(F.col(f"`{c}`") for c in names))
+    rows = docs.select(*others(docs, ["score"]))
     if model is None:
         return rows.withColumn("score", F.lit(0.5))
-    place = names.index("text")
+    place = rows.columns.index("text")
     out = T.StructType([*rows.schema.fields, *_SCORED.fields])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressors = _Compressors(model.good, model.bad)
         for batch in batches:
-            found = np.array(
-                [compressors.features(t.as_py().encode()) for t in texts_of(batch.column(place))]
-            ).reshape(-1, 2)
+            found = np.array([compressors.difference(t.as_py().encode()) for t in texts_of(batch.column(place))])
             scores = pa.array(model.probabilities(found))
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=out.names)
 
@@ -163,10 +145,28 @@ def held_out(key: str = "doc_id") -> str:
 
 
 def model_from(docs: DataFrame, labels: DataFrame) -> CompressionModel | None:
-    """A model from ``labels(doc_id, quality)`` and the texts they belong to.
+    """A model from ``labels(doc_id, quality)`` and the texts they belong to; ``None`` where a label has no text.
+
+    Of each label the ``TRAINING_TEXTS`` distinct texts with the smallest hashes
+    are learned from, of longer ones a passage of ``TRAINING_CHARS`` code points at
+    a place the hash gives. This bounds what is learned from, not what is scored.
+    Copies count once, however many there are; a text labelled both ways counts
+    for both. Rows of the held-out third, null ids, null labels and empty texts
+    are left out.
 
-    Rows of the held-out third, null ids and null labels are left out; a label
-    given twice counts twice.
+    The join with the labels carries hashes, never texts; the texts drawn are
+    fetched by at most two times ``TRAINING_TEXTS`` broadcast ids.
     """
-    learned = labels.filter(f"NOT {held_out()} AND quality IS NOT NULL").select("doc_id", "quality")
-    return train(docs.select("doc_id", "text").join(learned, "doc_id"))
+    learned = labels.filter(f"NOT {held_out()} AND quality IN (0, 1)").select("doc_id", F.col("quality").cast("int").alias("quality"))
+    texts = docs.filter("length(text) > 0").select("doc_id", F.col("text").cast("string").alias("text"))
+    hashed = texts.select("doc_id", F.xxhash64("text").alias("place"))
+    distinct = hashed.join(learned, "doc_id").groupBy("quality", "place").agg(F.min("doc_id").alias("doc_id"))
+    drawn = [distinct.filter(F.col("quality") == label).orderBy("place").limit(TRAINING_TEXTS) for label in (0, 1)]
+    chosen = drawn[0].unionAll(drawn[1])
+    begin = F.expr(f"CASE WHEN length(text) > {TRAINING_CHARS} THEN 1 + pmod(place, length(text) - {TRAINING_CHARS} + 1) ELSE 1 END")
+    passage = F.col("text").substr(begin.cast("int"), F.lit(TRAINING_CHARS)).alias("passage")
+    fetched = texts.join(F.broadcast(chosen), "doc_id").filter("place = xxhash64(text)").select("quality", "place", passage)
+    samples: dict[int, dict[int, str]] = {0: {}, 1: {}}
+    for row in fetched.toLocalIterator():
+        samples[row.quality][row.place] = row.passage
+    return _fit({label: sorted(found.items()) for label, found in samples.items()})
