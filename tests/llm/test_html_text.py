@@ -88,3 +88,56 @@ def test_odd_rows(spark):
         (3, "é", 1, 3),
     ]
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+def paragraphs(n):
+    return [f"Paragraph {k} of a text, long enough to be told from a menu by what it holds." for k in range(n)]
+
+
+def test_names_that_say_something_else_stay():
+    body = "".join(f"<p>{p}</p>" for p in paragraphs(6))
+    parts = {"social-history": "id", "related-work": "class", "market-share": "class", "comment-on-style": "id"}
+    inner = "".join(f"<section {kind}={name}><h2>{name}</h2>{body}</section>" for name, kind in parts.items())
+    for page in (f"<body><article><h1>Head</h1>{inner}</article></body>", f"<body><div><h1>Head</h1>{inner}</div></body>"):
+        found = html_text.main_text(page).split("\n\n")
+        assert found == ["Head", *(x for name in parts for x in [name, *paragraphs(6)])]
+
+
+def test_doubtful_names_go_where_links_or_ratios_agree():
+    body = "".join(f"<p>{p}</p>" for p in paragraphs(6))
+    linked = "".join(f"<li><a href={k}>Another text with number {k}</a> today</li>" for k in range(2))
+    short = "".join(f"<li><b>{k}</b> <i>x</i> <u>y</u></li>" for k in range(6))
+    for inner in (linked, short):
+        page = f"<body><article><h1>Head</h1>{body}<div class='related-reading'><ul>{inner}</ul></div></article></body>"
+        assert html_text.main_text(page).split("\n\n") == ["Head", *paragraphs(6)]
+
+
+def test_formulas_stay():
+    page = f"<body><article><p>{LONG}</p><p>So <math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup><annotation>E=mc^2</annotation></math> holds.</p></article></body>"
+    assert html_text.main_text(page).endswith("\n\nSo E=mc2 holds.")
+
+
+def without_article():
+    """A page of plain divs: menu, article, list of other pages, footer."""
+    links = "".join(f"<div><a href={k}>Page {k}</a></div>" for k in range(15))
+    body = "".join(f"<p>{p}</p>" for p in paragraphs(8))
+    return f"<body><div>{links}</div><div><h1>Head</h1>{body}</div><div>{links}</div><p><b>2024</b> <i>Site</i></p></body>"
+
+
+def test_pages_without_article_are_read_by_their_ratios():
+    assert html_text.main_text(without_article()).split("\n\n") == ["Head", *paragraphs(8)]
+
+
+def test_other_ratios_give_another_text(monkeypatch):
+    plain = html_text.main_text(without_article())
+    # The ratios turned round: what was dense is thin.
+    smoothed = html_text._smoothed
+    monkeypatch.setattr(html_text, "_smoothed", lambda own: smoothed(1 / (own + 0.1)))
+    assert html_text.main_text(without_article()) != plain
+
+
+def test_a_page_of_some_megabytes():
+    many = paragraphs(30_000)
+    page = "<body><nav>" + "<a href=x>Menu</a>" * 2000 + "</nav><div>" + "".join(f"<p>{p}</p>" for p in many) + "</div></body>"
+    assert len(page) > 2_500_000
+    assert html_text.main_text(page).split("\n\n") == many
