@@ -5,8 +5,10 @@ per language. Tasks count the n-grams of whole texts, Spark sums the counts and
 works out discounts, continuation counts and backed-off probabilities with
 groupings and joins. The finished model is kept as sorted arrays of 64-bit
 n-gram keys with their log probabilities and backoff weights, split into shards
-by the first bits of the key and looked up shard by shard. Perplexities of all documents give each language a band; documents
-outside it are rejected.
+by the first bits of the key and looked up shard by shard. Models of more than
+``BROADCAST_ROWS`` entries are not broadcast: there the n-grams of every document
+are joined with their probabilities. Perplexities of all documents give each
+language a band per length of text; documents outside it are rejected.
 """
 
 from __future__ import annotations
@@ -23,22 +25,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbmark.llm.arrays import SLICE_BYTES, Words, code_points, mix, slices, stored, sums_by_row, texts_of
+from ebbmark.llm.arrays import Words, code_points, mix, slices, stored, sums_by_row, texts_of
+from ebbmark.llm.columns import others, unused
 from ebbmark.sources.scratch import scratch_folder
 
 ORDER = 4
-# A code point takes 12 bits of an n-gram; those from 2048 on share 2048 values.
-SYMBOL_BITS = 12
+# A code point takes 16 bits of an n-gram. Those past 65535 (emoji, rare ideographs)
+# share the 2048 values that no code point has, 0xD800 to 0xDFFF.
+SYMBOL_BITS = 16
 # Entries a shard of the finished model holds, about: 12 bytes each. There are as
 # many shards as the model needs; a task holds one at a time.
 SHARD_ROWS = 1 << 22
-# Text is looked up in units of a slice, with several shards of up to so many
-# slices, as every unit may read every shard.
-UNIT_SLICES = 4
-# A band reaches this many interquartile ranges beyond the quartiles, and
-# further for short texts, whose perplexity varies more.
-BAND_REACH = 5.0
+# Entries of the largest model that is broadcast: 800 MB in shards.
+BROADCAST_ROWS = 1 << 26
+# Text is worked on in pieces of so many bytes, with several shards of up to so
+# many times that, as every piece may read every shard.
+PIECE_BYTES = 1 << 18
+PIECES = 16
+# A band reaches this many interquartile ranges beyond the quartiles of the texts
+# of its language and length (powers of two between these), where there are
+# CLASS_LEAST of them; else beyond those of the language, further for short texts.
+BAND_REACH = 3.0
 BAND_SHORT = 12.0
+LEAST_RANGE = 0.01
+SHORTEST, LONGEST = 7, 12
+CLASS_LEAST = 30
 
 # Limits of the base rules.
 LEAST_WORDS = 10
@@ -132,9 +143,12 @@ def base_counts(texts: pa.StringArray) -> list[np.ndarray]:
 
 
 def _symbols(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
-    """Code points as 12-bit symbols, white space as one symbol, and where each text begins."""
+    """Code points as 16-bit symbols, white space as one symbol, and where each text begins."""
     points, offsets = code_points(texts)
-    symbols = np.where(points < 2048, points, 2048 + mix(points.astype(np.uint64)) % np.uint64(2048)).astype(np.int64)
+    symbols = points.astype(np.uint64)
+    far = symbols > 0xFFFF
+    if far.any():
+        symbols[far] = np.uint64(0xD800) + mix(symbols[far]) % np.uint64(2048)
     symbols[(points >= 9) & (points <= 13)] = 32
     return symbols, offsets
 
@@ -142,14 +156,26 @@ def _symbols(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
 def _grams(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``ORDER``-grams ending at every symbol (a text begins after spaces), their rows, text offsets."""
     symbols, offsets = _symbols(texts)
-    rows = np.repeat(np.arange(len(texts)), np.diff(offsets))
-    place = np.arange(len(symbols)) - offsets[rows]
-    grams = symbols.copy()
+    return *_grams_between(symbols, offsets, 0, len(symbols)), offsets
+
+
+def _grams_between(symbols: np.ndarray, offsets: np.ndarray, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+    at = np.arange(first, last)
+    rows = np.searchsorted(offsets, at, "right") - 1
+    place = at - offsets[rows]
+    grams = symbols[first:last].copy()
     for back in range(1, ORDER):
-        before = np.full(len(symbols), 32, np.int64)
-        before[back:] = np.where(place[back:] >= back, symbols[:-back], 32)
-        grams |= before << (SYMBOL_BITS * back)
-    return grams, rows, offsets
+        before = np.where(place >= back, symbols[np.maximum(at - back, 0)], np.uint64(32))
+        grams |= before << np.uint64(SYMBOL_BITS * back)
+    return grams, rows
+
+
+def _pieces(texts: pa.StringArray, most: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``(first, last, grams, rows)`` of the texts from first to last; a long text comes in several pieces."""
+    for first, last in slices(texts, most):
+        symbols, offsets = _symbols(texts.slice(first, last - first))
+        for begin in range(0, max(len(symbols), 1), most):
+            yield first, last, *_grams_between(symbols, offsets, begin, min(begin + most, len(symbols)))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,12 +192,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out(lang: str) -> pa.RecordBatch:
         keys, counts = totals.pop(lang)
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(keys)), pa.array(keys), pa.array(counts)], names=_COUNTED.names)
+        columns = [pa.array([lang] * len(keys)), pa.array(keys.view(np.int64)), pa.array(counts)]
+        return pa.RecordBatch.from_arrays(columns, names=_COUNTED.names)
 
     for batch in batches:
         texts, langs = texts_of(batch.column(0)), np.array(batch.column(1).to_pylist(), object)
-        for first, last in slices(texts):
-            grams, rows, _ = _grams(texts.slice(first, last - first))
+        for first, last, grams, rows in _pieces(texts, PIECE_BYTES):
             own = langs[first:last]
             for lang in dict.fromkeys(own):
                 keys, counts = np.unique(grams[(own == lang)[rows]], return_counts=True)
@@ -219,17 +245,18 @@ class LanguageModel:
 
     def log_probabilities(self, grams: np.ndarray, salts: np.ndarray) -> np.ndarray:
         """Natural logs of the probability of each n-gram's last symbol after the others."""
+        grams = grams.astype(np.uint64)
         logs = np.zeros(len(grams))
         todo = np.arange(len(grams))
         for order in range(ORDER, 0, -1):
             if not len(todo):
                 break
-            tail = grams[todo] & ((1 << (SYMBOL_BITS * order)) - 1)
+            tail = grams[todo] & np.uint64((1 << (SYMBOL_BITS * order)) - 1)
             value, known = self.grams.look_up(_key(tail, salts[todo], order))
             logs[todo[known]] += value[known]
             todo, tail = todo[~known], tail[~known]
             if len(todo):
-                weight, seen = self.contexts.look_up(_key(tail >> SYMBOL_BITS, salts[todo], order))
+                weight, seen = self.contexts.look_up(_key(tail >> np.uint64(SYMBOL_BITS), salts[todo], order))
                 logs[todo[seen]] += weight[seen]
         logs[todo] += -SYMBOL_BITS * np.log(2)  # never seen: any symbol
         return logs
@@ -261,7 +288,8 @@ def _discounted(adjusted: DataFrame) -> DataFrame:
         F.expr(f"CASE WHEN n{k} > 0 AND n{k + 1} > 0 THEN greatest(0.05D, {k} - {k + 1} * {y} * n{k + 1} / n{k}) ELSE 0.5D END AS d{k}")
         for k in (1, 2, 3)
     ]
-    by_lang = adjusted.groupBy("lang").agg(*ones).select("lang", *discounts)
+    # One row per language, 18,279 at most.
+    by_lang = F.broadcast(adjusted.groupBy("lang").agg(*ones).select("lang", *discounts))
     taken = F.expr("CASE n WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END")
     return adjusted.join(by_lang, "lang").select("lang", "gram", "n", taken.alias("d"))
 
@@ -279,7 +307,7 @@ def _levels(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
         adjusted[order] = adjusted[order + 1].groupBy("lang", tail.alias("gram")).agg(F.count("*").alias("n"))
     grams, contexts, lower = [], [], None
     for order in range(1, ORDER + 1):
-        level = _discounted(adjusted[order]).withColumn("context", F.shiftright("gram", SYMBOL_BITS))
+        level = _discounted(adjusted[order]).withColumn("context", F.shiftrightunsigned("gram", SYMBOL_BITS))
         weights = level.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.sum("d").alias("held"))
         level = level.join(weights, ["lang", "context"])
         tail = F.col("gram").bitwiseAND((1 << (SYMBOL_BITS * (order - 1))) - 1)
@@ -329,86 +357,170 @@ def _sharded(rows: DataFrame, value: str, n: int) -> Shards:
     return Shards(parts)
 
 
-def train(docs: DataFrame, lang: str = "lang") -> LanguageModel:
-    """Counts every n-gram of every text of ``docs``; nothing is sampled, pruned or merged."""
+def train(docs: DataFrame, lang: str = "lang") -> LanguageModel | DataFrame:
+    """Counts every n-gram of every text of ``docs``; nothing is sampled or pruned.
+
+    A model of more than ``BROADCAST_ROWS`` entries comes as the table of its
+    probabilities of whole n-grams, ``(lang, gram, p)``, which has all that the
+    texts it was counted from need.
+    """
     texts = docs.select(F.col("text").cast("string"), F.expr(language_code(lang)))
     grams, contexts = _levels(texts.mapInArrow(_count, _COUNTED))
+    entries = grams.count()
+    if entries > BROADCAST_ROWS:
+        return grams.filter(F.col("level") == ORDER).select("lang", "gram", "p")
     # Contexts are fewer than n-grams.
-    n = 1 << max(0, -(-grams.count() // SHARD_ROWS) - 1).bit_length()
+    n = 1 << max(0, -(-entries // SHARD_ROWS) - 1).bit_length()
     return LanguageModel(_sharded(grams, "p", n), _sharded(contexts, "g", n))
 
 
 # --- verdicts ---
 
 
-def measure(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """``docs`` with the columns of ``MEASURES``; columns of those names are replaced."""
-    names = [c for c in docs.columns if c not in [*MEASURES.names, "_judged_by"]]
-    rows = docs.select(*(F.col(f"`{c}`") for c in names), F.expr(language_code()).alias("_judged_by"))
+def _base_columns(texts: pa.StringArray) -> list[pa.Array]:
+    """The five counts of each text, worked out a slice at a time."""
+    parts = [base_counts(texts.slice(first, last - first)) for first, last in slices(texts, PIECE_BYTES)]
+    return [pa.array(np.concatenate([part[k] for part in parts]).astype(np.int64)) for k in range(5)]
+
+
+def _measured(rows: DataFrame, judged_by: str, model: LanguageModel) -> DataFrame:
     out = T.StructType([*rows.schema.fields, *MEASURES.fields])
-    place = names.index("text")
-    unit = SLICE_BYTES * min(len(model.grams.parts), UNIT_SLICES)
+    place, lang = rows.columns.index("text"), rows.columns.index(judged_by)
+    unit = PIECE_BYTES * min(len(model.grams.parts), PIECES)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salts: dict[str, np.uint64] = {}
         for batch in batches:
-            texts, langs = texts_of(batch.column(place)), batch.column(len(names)).to_pylist()
-            for first, last in slices(texts, unit):
-                part = texts.slice(first, last - first)
-                own = langs[first:last]
-                for lang in set(own) - salts.keys():
-                    salts[lang] = _salt(lang)
-                grams, rows_of, offsets = _grams(part)
-                salt = np.array([salts[lang] for lang in own], np.uint64)[rows_of]
-                logs = sums_by_row(model.log_probabilities(grams, salt), offsets)
-                n = np.diff(offsets)
-                values = [*(pa.array(c.astype(np.int64)) for c in base_counts(part)), pa.array(-logs / np.maximum(n, 1)), pa.array(n)]
-                kept = batch.slice(first, last - first)
-                yield pa.RecordBatch.from_arrays([*kept.columns, *values], names=out.names)
+            if not batch.num_rows:
+                continue
+            texts, langs = texts_of(batch.column(place)), batch.column(lang).to_pylist()
+            for code in set(langs) - salts.keys():
+                salts[code] = _salt(code)
+            own = np.array([salts[code] for code in langs], np.uint64)
+            logs, n = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+            for first, last, grams, rows_of in _pieces(texts, unit):
+                if not len(grams):
+                    continue
+                found = model.log_probabilities(grams, own[first:last][rows_of])
+                begins = np.flatnonzero(np.append(True, rows_of[1:] != rows_of[:-1]))
+                logs[first + rows_of[begins]] += np.add.reduceat(found, begins)
+                n[first + rows_of[begins]] += np.diff(np.append(begins, len(grams)))
+            values = [*_base_columns(texts), pa.array(-logs / np.maximum(n, 1)), pa.array(n)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *values], names=out.names)
 
     return rows.mapInArrow(measured, out)
 
 
+def _measured_by_join(rows: DataFrame, judged_by: str, model: DataFrame) -> DataFrame:
+    """The same for models that are not broadcast, out of the documents they were counted from."""
+    spark = rows.sparkSession
+    key = unused(rows, "row")
+    rows = stored(rows, spark, "texts").withColumn(key, F.monotonically_increasing_id())
+    kind = T.StructType([T.StructField(key, T.LongType()), T.StructField("lang", T.StringType()), *_COUNTED.fields[1:]])
+    counted = T.StructType([T.StructField(key, T.LongType()), *MEASURES.fields[:5]])
+
+    def per_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts, langs = batch.column(0).to_numpy(), texts_of(batch.column(1)), np.array(batch.column(2).to_pylist(), object)
+            for first, last, grams, rows_of in _pieces(texts, PIECE_BYTES):
+                order = np.lexsort((grams, rows_of))
+                grams, rows_of = grams[order], rows_of[order]
+                begins = np.flatnonzero(np.append(True, (grams[1:] != grams[:-1]) | (rows_of[1:] != rows_of[:-1]))) if len(grams) else []
+                at = first + rows_of[begins]
+                n = np.diff(np.append(begins, len(grams))).astype(np.int64)
+                columns = [pa.array(ids[at]), pa.array(langs[at], pa.string()), pa.array(grams[begins].view(np.int64)), pa.array(n)]
+                yield pa.RecordBatch.from_arrays(columns, names=kind.names)
+
+    def base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([batch.column(0), *_base_columns(texts_of(batch.column(1)))], names=counted.names)
+
+    texts = rows.select(key, "text", judged_by)
+    scored = texts.mapInArrow(per_text, kind).join(model, ["lang", "gram"]).groupBy(key)
+    logs = scored.agg((-F.sum(F.col("n") * F.log("p")) / F.sum("n")).alias("log_perplexity"), F.sum("n").alias("n_scored"))
+    counts = texts.mapInArrow(base, counted)
+    zero = {"log_perplexity": 0.0, "n_scored": 0}
+    return rows.join(counts, key).join(logs, key, "left").fillna(zero, [*zero]).select(
+        *(F.col(f"`{c}`") for c in rows.columns if c != key), *MEASURES.names
+    )
+
+
+def measure(docs: DataFrame, model: LanguageModel | DataFrame, judged_by: str = "_judged_by") -> DataFrame:
+    """``docs`` with the columns of ``MEASURES`` and the language code ``judged_by``; columns of those names are replaced."""
+    rows = docs.select(*others(docs, [*MEASURES.names, judged_by]), F.expr(language_code()).alias(judged_by))
+    by = _measured if isinstance(model, LanguageModel) else _measured_by_join
+    measured = by(rows, judged_by, model)
+    # So that sums in another order are the same.
+    return measured.withColumn("log_perplexity", F.round("log_perplexity", 9))
+
+
 def base_failed() -> str:
     return f"(n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words)"
 
 
-def bands(measured: DataFrame) -> list[tuple[str, float, float]]:
-    """Quartiles of log perplexity per language over all documents that pass the base rules.
+def length_class() -> str:
+    return f"least(greatest(CAST(floor(log2(greatest(n_scored, 1))) AS INT), {SHORTEST}), {LONGEST})"
+
 
-    At most one row per language reaches the driver.
+def bands(measured: DataFrame, judged_by: str) -> tuple[DataFrame, DataFrame]:
+    """Quartiles of log perplexity over all documents that pass the base rules.
+
+    By language and length, ``(judged_by, class, n, low, high)``, and by language alone.
     """
-    by_lang = measured.filter(f"NOT {base_failed()}").groupBy("_judged_by")
-    found = by_lang.agg(F.percentile_approx("log_perplexity", [0.25, 0.75], 10_000).alias("q"))
-    return [(row[0], row.q[0], row.q[1]) for row in found.collect()]
+    passed = measured.filter(f"NOT {base_failed()}").withColumn("class", F.expr(length_class()))
+    quartiles = F.percentile_approx("log_perplexity", [0.25, 0.75], 10_000).alias("q")
+
+    def by(*keys: str) -> DataFrame:
+        found = passed.groupBy(*keys).agg(F.count("*").alias("n"), quartiles)
+        return found.select(*keys, "n", F.col("q")[0].alias("low"), F.col("q")[1].alias("high"))
+
+    return by(judged_by, "class"), by(judged_by)
 
 
-def judge(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
-    """``docs`` with its counts, ``base_failed`` and ``kept``.
+def judge(docs: DataFrame, model: LanguageModel | DataFrame | None = None, keep_text: bool = True) -> DataFrame:
+    """``docs`` with its counts, ``base_failed``, ``band_side`` and ``kept``.
 
-    ``kept`` needs the base rules to hold and the text's log perplexity to lie
-    in its language's band: ``BAND_REACH`` interquartile ranges beyond the
-    quartiles, times 1 + ``BAND_SHORT`` / sqrt(n) for n code points. Null and empty
-    texts have no words and fail; a null or odd ``lang`` is judged as ``und``;
-    equal rows get equal verdicts; columns named like a result are replaced; an
-    empty table gives no rows.
+    ``kept`` needs the base rules to hold and the text's log perplexity to lie in
+    its band: ``BAND_REACH`` interquartile ranges beyond the quartiles of its
+    language and length. Where a language has fewer than ``CLASS_LEAST`` texts of a
+    length the quartiles are those of the language, and the reach grows by 1 +
+    ``BAND_SHORT`` / sqrt(n) for n code points. ``band_side`` is 1 above the band, -1
+    below, 0 inside.
+
+    Null and empty texts have no words and fail; a null or odd ``lang`` is judged
+    as ``und``; equal rows get equal verdicts; columns named like a result, in any
+    case, are replaced; an empty table gives no rows. What is measured is written
+    once, without the texts unless ``keep_text``.
     """
+    spark = docs.sparkSession
+    judged_by = unused(docs, "judged_by")
+    docs = docs.select(*others(docs, [*MEASURES.names, "base_failed", "band_side", "kept"]))
     model = train(docs) if model is None else model
-    measured = measure(docs, model)
-    limits = {}
-    for lang, low, high in bands(measured):
-        reach = BAND_REACH * max(high - low, 0.01)
-        limits[lang] = (low, high, reach)
-    pairs = [v for lang, (low, high, reach) in limits.items() for v in (lang, low, high, reach)]
-    lookup = "map(" + ", ".join(
-        f"'{lang}', struct({low!r}D AS low, {high!r}D AS high, {reach!r}D AS reach)"
-        for lang, low, high, reach in zip(*[iter(pairs)] * 4)
-    ) + ")"
-    inside = "true"
-    if limits:
-        wide = f"_band.reach * (1 + {BAND_SHORT} / sqrt(greatest(n_scored, 1)))"
-        inside = f"coalesce(log_perplexity BETWEEN _band.low - {wide} AND _band.high + {wide}, true)"
-        measured = measured.withColumn("_band", F.expr(f"{lookup}[_judged_by]"))
-    judged = measured.withColumn("base_failed", F.expr(base_failed()))
-    judged = judged.withColumn("kept", F.expr(f"NOT base_failed AND {inside}"))
-    return judged.drop("_band", "_judged_by", "n_scored")
+    measured = measure(docs, model, judged_by)
+    measured = stored(measured if keep_text else measured.drop("text"), spark, "measured")
+    by_class, by_lang = bands(measured, judged_by)
+
+    def limits(found: DataFrame, name: str) -> DataFrame:
+        values = F.struct("low", "high", F.greatest(F.col("high") - F.col("low"), F.lit(LEAST_RANGE)).alias("range"))
+        return found.withColumn(name, values).drop("n", "low", "high")
+
+    fine, coarse, kind = (unused(measured, name) for name in ("fine", "coarse", "class_of"))
+    # At most six rows for each of 18,279 languages, and one.
+    by_class = limits(by_class.filter(F.col("n") >= CLASS_LEAST).withColumnRenamed("class", kind), fine)
+    judged = (
+        measured.withColumn(kind, F.expr(length_class()))
+        .join(F.broadcast(by_class), [judged_by, kind], "left")
+        .join(F.broadcast(limits(by_lang, coarse)), judged_by, "left")
+    )
+    reach = F.expr(
+        f"{BAND_REACH}D * CASE WHEN {fine} IS NOT NULL THEN {fine}.range "
+        f"ELSE {coarse}.range * (1 + {BAND_SHORT}D / sqrt(greatest(n_scored, 1))) END"
+    )
+    low, high = (F.expr(f"coalesce({fine}.{edge}, {coarse}.{edge})") for edge in ("low", "high"))
+    value = F.col("log_perplexity")
+    side = F.when(value > high + reach, 1).when(value < low - reach, -1).otherwise(0)
+    judged = judged.withColumn("base_failed", F.expr(base_failed())).withColumn("band_side", side)
+    judged = judged.withColumn("kept", F.expr("NOT base_failed AND band_side = 0"))
+    added = [*MEASURES.names[:6], "base_failed", "band_side", "kept"]
+    return judged.select(*(F.col(f"`{c}`") for c in measured.columns if c not in [*added, judged_by, "n_scored"]), *added)

@@ -64,9 +64,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdicts of all documents."""
-    judged = quality_rules.judge(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = quality_rules.judge(docs, keep_text=False)
     return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity"
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity", "band_side"
     )
 
 

@@ -99,10 +99,44 @@ def test_text_unlike_the_rest_is_rejected(spark, documents):
     assert not any(kept[10**6 + k] for k in range(3))
 
 
+def test_bands_reject_what_the_base_rules_keep(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    judged = rules.judge(docs.select("doc_id", "text", "lang"), keep_text=False)
+    assert "text" not in judged.columns
+    rows = judged.join(labels, "doc_id", "left").filter("NOT base_failed").collect()
+    gone = [r for r in rows if not r.kept]
+    assert all((r.band_side == 0) == r.kept for r in rows)
+    assert 5 < len(gone) < 0.1 * len(rows)
+    bad, good = ([r for r in rows if r.quality == q] for q in (0, 1))
+    assert sum(not r.kept for r in bad) > 0.1 * len(bad)
+    assert sum(not r.kept for r in good) < 0.03 * len(good)
+
+
+def test_models_that_are_not_broadcast_give_the_same(spark, odd, documents, monkeypatch):
+    long = spark.createDataFrame([(10**6, "many words of one text. " * 30_000, "en")], "doc_id long, text string, lang string")
+    docs = documents.select("doc_id", "text", "lang").unionAll(odd.select("doc_id", "text", "lang")).unionAll(long)
+    columns = ["doc_id", *rules.MEASURES.names[:5], "base_failed", "kept"]
+
+    def found():
+        rows = rules.judge(docs).select(*columns, rules.F.round("log_perplexity", 5).alias("p")).collect()
+        return Counter(tuple(r) for r in rows)
+
+    broadcast = found()
+    monkeypatch.setattr(rules, "BROADCAST_ROWS", 0)
+    assert found() == broadcast and broadcast.total() == docs.count()
+
+
+def test_symbols_of_all_scripts_stay_apart():
+    points = [chr(c) for c in (*range(0x900, 0x980), *range(0x4E00, 0x5E00), 0xAC00, 0xFFFD, 0x1F600)]
+    symbols, _ = rules._symbols(pa.array(["".join(points)]))
+    assert len(set(symbols.tolist())) == len(points) and max(symbols.tolist()) < 1 << rules.SYMBOL_BITS
+
+
 def test_odd_rows(odd, nothing):
-    extra = odd.selectExpr("*", "1 AS n_words", "2 AS kept", "3 AS _judged_by", "4 AS gram")
+    extra = odd.selectExpr("*", "1 AS N_words", "2 AS kept", "3 AS judged_by", "4 AS gram", "5 AS fine", "6 AS row")
     rows = rules.judge(extra).collect()
-    assert len(rows) == 9 and all(r.gram == 4 for r in rows)
+    assert len(rows) == 9 and all((r.judged_by, r.gram, r.fine, r.row) == (3, 4, 5, 6) for r in rows)
     by_id = {r.doc_id: r for r in rows}
     for doc_id in (5, 3, 7, 1, 2):
         assert by_id[doc_id].base_failed and not by_id[doc_id].kept
