@@ -15,16 +15,20 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbmark.llm.arrays import code_points, mix, slices, texts_of
-
-# Bounds of what is learned from: rows of each language, and their longest text in bytes.
-TRAINING_ROWS = 400
-TRAINING_BYTES = 16_384
+from ebbmark.llm.columns import others
+
+# Bounds of what is learned from: languages, distinct texts of each, code points of
+# one. Of a longer text a passage is taken.
+TRAINING_LANGUAGES = 100
+TRAINING_TEXTS = 400
+TRAINING_CHARS = 4096
+# Parts in which the texts of a language are drawn.
+DRAWS = 64
 GRAM_SIZES = (1, 2, 3)
 FEATURE_BITS = 14
 EPOCHS = 20
@@ -186,17 +190,31 @@ def _machine(features: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray)
 def train(labelled: DataFrame) -> LanguageModel | None:
     """A model from ``(text, lang)`` rows; ``None`` if none has both.
 
-    Of each language at most ``TRAINING_ROWS`` texts of at most
-    ``TRAINING_BYTES`` bytes, those with the smallest text hashes, reach the
-    driver. This bounds what is learned from, not what is predicted.
+    Of each language the ``TRAINING_TEXTS`` distinct texts with the smallest
+    hashes reach the driver, of longer ones a passage of ``TRAINING_CHARS`` code
+    points at a place the hash gives; of more than ``TRAINING_LANGUAGES`` languages
+    those with most distinct texts, ties by name. This bounds what is learned
+    from, not what is predicted. Copies count once, however many there are. Texts
+    are drawn by their hashes, language by language in ``DRAWS`` parts.
     """
-    fitting = labelled.filter(f"text IS NOT NULL AND lang IS NOT NULL AND octet_length(text) <= {TRAINING_BYTES}")
-    fitting = fitting.select(F.col("text").cast("string"), F.col("lang").cast("string"), F.xxhash64("text").alias("place"))
-    # Every task keeps its own first rows of a language before the shuffle.
-    order = Window.partitionBy("lang").orderBy("place", "text")
-    sample = fitting.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= TRAINING_ROWS)
-    found = sample.orderBy("lang", "rank").select("lang", "text").toArrow()
-    texts = {lang: texts_of(found.filter(pc.equal(found["lang"], lang))["text"]) for lang in pc.unique(found["lang"]).to_pylist()}
+    fitting = labelled.filter("length(text) > 0 AND lang IS NOT NULL").select(
+        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("place")
+    )
+    hashes = fitting.select("lang", "place").distinct()
+    most = hashes.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(TRAINING_LANGUAGES).select("lang")
+    part = Window.partitionBy("lang", F.pmod("place", F.lit(DRAWS))).orderBy("place")
+    whole = Window.partitionBy("lang").orderBy("place")
+    drawn = hashes.join(F.broadcast(most), "lang")
+    for order in (part, whole):
+        drawn = drawn.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= TRAINING_TEXTS).drop("rank")
+    begin = F.expr(f"CASE WHEN length(text) > {TRAINING_CHARS} THEN 1 + pmod(place, length(text) - {TRAINING_CHARS} + 1) ELSE 1 END")
+    passage = F.col("text").substr(begin.cast("int"), F.lit(TRAINING_CHARS)).alias("passage")
+    # A hundred languages of 400 hashes at most.
+    fetched = fitting.join(F.broadcast(drawn), ["lang", "place"]).select("lang", "place", passage).dropDuplicates(["lang", "place"])
+    found: dict[str, list[tuple[int, str]]] = {}
+    for row in fetched.toLocalIterator():
+        found.setdefault(row.lang, []).append((row.place, row.passage))
+    texts = {lang: pa.array([text for _, text in sorted(own)], pa.string()) for lang, own in sorted(found.items())}
     features: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
     for lang, own in texts.items():
         hashes, (places, *_), letters = grams(own)
@@ -230,14 +248,15 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
 
     Nothing but ``text`` is an input. Null texts and texts without a letter are
     ``und`` with score 0, and so is every text without a model; equal texts get
-    equal answers; columns named like a result are replaced; an empty table
-    gives no rows.
+    equal answers. Of languages that win equally many pairs the one with the
+    larger margins wins, then the first by name; of families with equal margins
+    the first by name. Columns named like a result, in any case, are replaced; an
+    empty table gives no rows.
     """
-    names = [c for c in docs.columns if c not in _PREDICTED.names]
-    rows = docs.select(*(F.col(f"`{c}`") for c in names))
+    rows = docs.select(*others(docs, _PREDICTED.names))
     if model is None:
         return rows.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
-    place = names.index("text")
+    place = rows.columns.index("text")
     out = T.StructType([*rows.schema.fields, *_PREDICTED.fields])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

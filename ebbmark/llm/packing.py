@@ -44,25 +44,27 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 def _tokenizer(path: str) -> tiktoken.Encoding:
     """The byte-level vocabulary of a tokenizer file, behind the quicker of two equal encoders.
 
-    The ids are those of the ``tokenizers`` library with special tokens in a
-    text taken as ordinary text.
+    The ids are those of the ``tokenizers`` library. An added token's string in a
+    text is that token, and what stands before and after it is cut by itself.
     """
-    vocabulary = json.loads(Path(path).read_text(encoding="utf-8"))["model"]["vocab"]
+    file = json.loads(Path(path).read_text(encoding="utf-8"))
+    vocabulary, added = file["model"]["vocab"], {t["content"]: t["id"] for t in file["added_tokens"]}
+    if any(t.get(flag) for t in file["added_tokens"] for flag in ("lstrip", "rstrip", "single_word", "normalized")):
+        raise ValueError(f"{path} has added tokens that take in the text around them")
     # In such files printable Latin bytes stand for themselves, the others for 256, 257, ...
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in plain]
     value = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
     ranks = {bytes(value[c] for c in piece): i for piece, i in vocabulary.items() if all(c in value for c in piece)}
-    # A special token's own string is no product of merges: its id is no rank.
-    added = {t["content"] for t in json.loads(Path(path).read_text(encoding="utf-8"))["added_tokens"]}
+    # An added token's own string is no product of merges: its id is no rank.
     for content in added:
         ranks.pop(content.encode(), None)
-    return tiktoken.Encoding("of-file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("of-file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
 
 def token_ids(text: str, path: str) -> bytes:
     """Ids of a whole text as little-endian unsigned 32-bit numbers."""
-    return array("I", _tokenizer(path).encode_ordinary(text)).tobytes()
+    return array("I", _tokenizer(path).encode(text, allowed_special="all")).tobytes()
 
 
 def piece_lengths(n: int, most: int = SEQUENCE) -> list[int]:

@@ -166,6 +166,7 @@ def model_from(docs: DataFrame, labels: DataFrame) -> CompressionModel | None:
     begin = F.expr(f"CASE WHEN length(text) > {TRAINING_CHARS} THEN 1 + pmod(place, length(text) - {TRAINING_CHARS} + 1) ELSE 1 END")
     passage = F.col("text").substr(begin.cast("int"), F.lit(TRAINING_CHARS)).alias("passage")
     fetched = texts.join(F.broadcast(chosen), "doc_id").filter("place = xxhash64(text)").select("quality", "place", passage)
+    fetched = fetched.dropDuplicates(["quality", "place"])
     samples: dict[int, dict[int, str]] = {0: {}, 1: {}}
     for row in fetched.toLocalIterator():
         samples[row.quality][row.place] = row.passage

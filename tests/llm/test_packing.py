@@ -15,7 +15,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 def expected_ids(texts):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return [e.ids + [1] for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
@@ -40,11 +39,16 @@ def test_pieces_hold_every_id_once(spark, documents):
 
 
 def test_odd_texts_are_encoded_alike():
-    texts = ["a  b\n c\t d", "x  ", "\n\n a", "a　b 　 c", "it's  'll", "<|endoftext|> a", "12 3  4\r\n 5", "", "\0\x1c é"]
+    texts = ["a  b\n c\t d", "x  ", "\n\n a", "a　b 　 c", "it's  'll", "<|endoftext|> a", "hello <|endoftext|> world<|endoftext|><|endoftext|>\n  <|endoftext", "12 3  4\r\n 5", "", "\0\x1c é"]
     found = [np.frombuffer(packing.token_ids(t, PATH), "<u4").tolist() + [1] for t in texts]
     assert found == expected_ids(texts)
 
 
+def test_added_tokens_are_one_id():
+    ids = np.frombuffer(packing.token_ids("hello <|endoftext|> world", PATH), "<u4").tolist()
+    assert len(ids) == 4 and 50256 in ids
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 2047, 2048, 2049, 4096, 10_000])
 def test_lengths_are_binary_digits(n):
     lengths = packing.piece_lengths(n)
