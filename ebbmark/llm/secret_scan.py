@@ -1,8 +1,9 @@
 """Secrets in texts, told from copied examples by who else holds them.
 
 Candidates are found by patterns. Each one's hash is counted over the corpus by
-distinct repositories and distinct owners: a value that many owners hold is an
-example out of some manual, one that a single owner holds looks live. The base
+distinct repositories and distinct owners: a value that many owners hold, or that
+stands in many repositories of each owner, is an example out of some manual; one
+that an owner holds in a few places looks live. The base
 kinds are reported either way, with their class; the other kinds, whose patterns
 also match harmless text, are reported only where they look live.
 
@@ -17,9 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbmark.llm.arrays import stored
+from ebbmark.llm.columns import others, unused
+from ebbmark.llm.spans import listed, matches
 
-# Owners from which on a value counts as widely copied.
+# Owners, and repositories for each owner, from which on a value counts as widely copied.
 COPIED_OWNERS = 3
+COPIED_REPOSITORIES = 10
+# A hash that one in so many holders has is joined by broadcast: there are no more of them.
+HOT = 1000
 REDACTED = "[secret]"
 
 
@@ -63,34 +69,10 @@ OWNED_KINDS = (
 
 
 def _spans_of(text: Column, kind: Kind, place: int) -> Column:
-    """Spans of one kind: ``(start, place, end, value)`` in code points, by start.
-
-    What lies between matches gives the positions, in one pass over the text.
-    """
-    found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    values = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(kind.secret))
-    between = F.split(text, kind.pattern, -1)
-    lengths = F.zip_with(found, between, lambda m, b: F.struct(F.char_length(b).alias("gap"), F.char_length(m).alias("run")))
-    ends = F.aggregate(
-        lengths,
-        F.array().cast("array<struct<gap:int,run:int,end:int>>"),
-        lambda done, x: F.concat(
-            done,
-            F.array(
-                F.struct(
-                    x["gap"].alias("gap"),
-                    x["run"].alias("run"),
-                    (F.coalesce(F.try_element_at(done, F.lit(-1))["end"], F.lit(0)) + x["gap"] + x["run"]).alias("end"),
-                )
-            ),
-        ),
-    )
-    spans = F.zip_with(
-        F.filter(ends, lambda x: x["run"].isNotNull()),
-        values,
-        lambda x, v: F.struct(
-            (x["end"] - x["run"]).alias("start"), F.lit(place).alias("place"), x["end"].alias("end"), v.alias("value")
-        ),
+    """Spans of one kind: ``(start, place, end, value)`` in code points, by start."""
+    spans = F.transform(
+        matches(text, kind.pattern, kind.secret),
+        lambda s: F.struct(s["start"].alias("start"), F.lit(place).alias("place"), s["end"].alias("end"), s["value"].alias("value")),
     )
 
     def passes(span: Column) -> Column:
@@ -101,32 +83,30 @@ def _spans_of(text: Column, kind: Kind, place: int) -> Column:
             good = good & (F.size(F.array_distinct(F.split(span["value"], ""))) >= kind.distinct)
         return good
 
-    none = F.array().cast("array<struct<start:int,place:int,end:int,value:string>>")
-    return F.when(text.rlike(kind.pattern), F.filter(spans, passes)).otherwise(none)
+    return F.filter(spans, passes)
 
 
-def candidates(docs: DataFrame, kinds: tuple[Kind, ...]) -> DataFrame:
-    """``docs`` with ``_candidates``, the spans of all kinds ordered by start and kind.
+def candidates(docs: DataFrame, kinds: tuple[Kind, ...], text: str, column: str) -> DataFrame:
+    """``docs`` with the spans of all kinds in ``column``, ordered by start and kind.
 
     A span holds the hash of its value, never the value itself.
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    every = F.concat(*(_spans_of(text, kind, place) for place, kind in enumerate(kinds)))
+    every = F.concat(*(_spans_of(F.col(text), kind, place) for place, kind in enumerate(kinds)))
     hashed = F.transform(
         F.array_sort(every),
         lambda s: F.struct(s["start"].alias("start"), s["place"].alias("place"), s["end"].alias("end"), F.sha2(s["value"], 256).alias("hash")),
     )
-    return docs.withColumn("_candidates", hashed)
+    return docs.withColumn(column, hashed)
 
 
-def ownership(found: DataFrame, owner: str, repository: str) -> DataFrame:
+def ownership(found: DataFrame, candidates: str, owner: str, repository: str) -> DataFrame:
     """Distinct owners and repositories of every candidate hash.
 
     Combined before each shuffle, so that a value half the corpus holds is a
     few rows per task. A null owner or repository counts as one of its own.
     """
     holders = found.select(
-        F.explode(F.array_distinct(F.transform("_candidates", lambda s: s["hash"]))).alias("hash"),
+        F.explode(F.array_distinct(F.transform(candidates, lambda s: s["hash"]))).alias("hash"),
         F.col(owner).alias("owner"),
         F.col(repository).alias("repository"),
     ).distinct()
@@ -134,16 +114,22 @@ def ownership(found: DataFrame, owner: str, repository: str) -> DataFrame:
     return by_owner.groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories"))
 
 
-def _listed(spans: Column, kinds: tuple[Kind, ...]) -> Column:
-    names = F.array(*(F.lit(kind.name) for kind in kinds))
-    return F.array_join(
-        F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["place"]), s["start"].cast("string"), s["end"].cast("string"))),
-        ",",
-    )
+def live() -> str:
+    """SQL for whether a value looks live, from how many owners and repositories hold it."""
+    return f"(n_owners < {COPIED_OWNERS} AND n_repositories < {COPIED_REPOSITORIES} * n_owners)"
+
+
+def _count_of(judged: str, place: int) -> Column:
+    return F.size(F.filter(judged, lambda s: s["place"] == place)).cast("bigint")
 
 
-def _count_of(place: int) -> Column:
-    return F.size(F.filter("_judged", lambda s: s["place"] == place)).cast("bigint")
+def _judged(single: DataFrame, counts: DataFrame) -> DataFrame:
+    """Candidates with ``live``; a hash that many documents hold is no key of a shuffle."""
+    every = counts.agg(F.sum("n_repositories")).first()[0] or 0
+    # At most HOT hashes.
+    hot = F.broadcast(counts.filter(F.col("n_repositories") * HOT >= every).select("hash", "live"))
+    rare = single.join(hot.select("hash"), "hash", "left_anti").join(counts.select("hash", "live"), "hash")
+    return single.join(hot, "hash").unionByName(rare)
 
 
 def scan(
@@ -157,50 +143,53 @@ def scan(
 
     Adds ``n_<kind>`` and ``base_sha256`` of the base kinds, ``spans`` (all
     spans as kind:start:end, comma-joined, by start and kind), ``live_spans``
-    (those whose value fewer than ``COPIED_OWNERS`` owners hold) and
-    ``secret_spans``, the spans as an array.
+    (those whose value fewer than ``COPIED_OWNERS`` owners hold, in fewer than
+    ``COPIED_REPOSITORIES`` repositories each) and ``secret_spans``, the spans as
+    an array.
 
     Null and empty texts have no spans; repeated rows are scanned one by one
     and count as one repository; a null id or owner is counted as a value of
-    its own; columns named like a result are replaced; an empty table gives no
-    rows. Without ``keep_text`` the text does not travel further.
+    its own; columns named like a result, in any case, are replaced, all others
+    stay; an empty table gives no rows. Without ``keep_text`` the text does not
+    travel further.
     """
     spark = docs.sparkSession
     base = [(place, kind) for place, kind in enumerate(kinds) if kind.base]
     added = [f"n_{kind.name}" for _, kind in base] + ["base_sha256", "spans", "live_spans", "secret_spans"]
-    inner = ["_candidates", "_row", "_judged", "_owner", "_repository"]
-    wanted = docs.select(
-        *(F.col(f"`{c}`") for c in docs.columns if c not in added + inner),
-        F.col(owner).cast("string").alias("_owner"),
-        F.col(repository).cast("string").alias("_repository"),
+    kept = others(docs, added if keep_text else [*added, "text"])
+    row, found_in, holder, place_of, judged_in, text = (
+        unused(docs, name) for name in ("row", "candidates", "owner_of", "repository_of", "judged", "whole_text")
     )
-    found = candidates(wanted, kinds)
-    if not keep_text:
-        found = found.drop("text")
-    found = stored(found.withColumn("_row", F.monotonically_increasing_id()), spark, "candidates")
-
-    counts = ownership(found, "_owner", "_repository")
-    some = found.filter(F.size("_candidates") > 0)
-    single = some.select("_row", F.explode("_candidates").alias("span")).withColumn("hash", F.col("span.hash"))
-    judged = single.join(counts, "hash").select(
-        "_row",
-        F.struct("span.start", "span.place", "span.end", (F.col("n_owners") < COPIED_OWNERS).alias("live")).alias("span"),
+    wanted = docs.select(
+        *kept,
+        F.col(owner).cast("string").alias(holder),
+        F.col(repository).cast("string").alias(place_of),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias(text),
     )
+    found = candidates(wanted, kinds, text, found_in).drop(text)
+    found = stored(found.withColumn(row, F.monotonically_increasing_id()), spark, "candidates")
+
+    counts = ownership(found, found_in, holder, place_of).withColumn("live", F.expr(live()))
+    counts = stored(counts, spark, "ownership")
+    some = found.filter(F.size(found_in) > 0)
+    single = some.select(row, F.explode(found_in).alias("span")).withColumn("hash", F.col("span.hash"))
+    judged = _judged(single, counts).select(row, F.struct("span.start", "span.place", "span.end", "live").alias("span"))
     # One document's spans; as many as its text holds.
-    judged = judged.groupBy("_row").agg(F.array_sort(F.collect_list("span")).alias("_judged"))
-    kept = [place for place, kind in enumerate(kinds) if kind.base]
+    judged = judged.groupBy(row).agg(F.array_sort(F.collect_list("span")).alias(judged_in))
+    based_on = [place for place, kind in enumerate(kinds) if kind.base]
     nothing = F.array().cast("array<struct<start:int,place:int,end:int,live:boolean>>")
-    rows = some.join(judged, "_row").unionByName(found.filter(F.size("_candidates") == 0).withColumn("_judged", nothing))
+    rows = some.join(judged, row).unionByName(found.filter(F.size(found_in) == 0).withColumn(judged_in, nothing))
 
-    spans = F.filter("_judged", lambda s: s["place"].isin(kept) | s["live"])
-    based = F.filter("_judged", lambda s: s["place"].isin(kept))
+    names = [kind.name for kind in kinds]
+    spans = F.filter(judged_in, lambda s: s["place"].isin(based_on) | s["live"])
+    based = F.filter(judged_in, lambda s: s["place"].isin(based_on))
     result = rows.withColumn("secret_spans", spans)
     for place, kind in base:
-        result = result.withColumn(f"n_{kind.name}", _count_of(place))
-    result = result.withColumn("base_sha256", F.sha2(_listed(based, kinds), 256))
-    result = result.withColumn("spans", _listed(F.col("secret_spans"), kinds))
-    result = result.withColumn("live_spans", _listed(F.filter("secret_spans", lambda s: s["live"]), kinds))
-    return result.drop(*inner)
+        result = result.withColumn(f"n_{kind.name}", _count_of(judged_in, place))
+    result = result.withColumn("base_sha256", F.sha2(listed(based, names), 256))
+    result = result.withColumn("spans", listed(F.col("secret_spans"), names))
+    result = result.withColumn("live_spans", listed(F.filter("secret_spans", lambda s: s["live"]), names))
+    return result.drop(row, found_in, holder, place_of, judged_in)
 
 
 def redact(scanned: DataFrame) -> DataFrame:

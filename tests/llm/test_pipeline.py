@@ -1,6 +1,7 @@
 """The pipeline stage by stage against the operators' own verdicts."""
 
 import re
+from pathlib import Path
 
 import corpus_pipeline
 from ebbmark.llm import near_dedup, packing, quality_classifier, quality_rules, secret_scan
@@ -55,6 +56,24 @@ def test_redaction_leaves_no_base_secret(spark):
     assert again.filter("n_assign + n_access + n_hex > 0").count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    text = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    other = text.replace("o", "u")
+    rows = [(9, text), (4, text), (4, text), (None, text), (None, other), (None, other), (3, None), (3, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], schema)
+    found = [(r.doc_id, r.text) for r in corpus_pipeline.keep_one_of_each_group(spark, docs.selectExpr("*", "1 AS row"), SF).collect()]
+    assert sorted(found, key=str) == sorted([(4, text), (None, other), (3, None), (3, None), (None, "")], key=str)
+
+
+def test_a_run_leaves_no_scratch_but_its_input(spark):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("ebbmark-*"))
+    run = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    left = set(shared.glob("ebbmark-*")) - before
+    assert len(left) == 1 and run.filter("ids IS NOT NULL").count() == run.count() > 0
+
+
 def test_rows_without_a_text_pass_the_stages(spark):
     schema = spark.read.parquet(f"{SF}/documents.parquet").schema
     docs = spark.createDataFrame([(1, None, None, None, None), (2, "", "en", "a", 0)], schema)

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 from ebbmark.llm import secret_scan
 
@@ -72,6 +73,40 @@ def test_owners_tell_examples_from_live_secrets(spark):
     assert found[20].live_spans == "" and found[20].spans == "assign:0:40,hex:8:40"
 
 
+def test_repositories_tell_examples_of_one_owner(spark):
+    often, seldom = "Zq3vX9bT1mK7pL5wR2sD8fG4hJ6", "Bw8nC2xV6zQ4tY1uI5oP9aS3dF7"
+    most = secret_scan.COPIED_REPOSITORIES
+    rows = [(i, f"see {often}", "s") for i in range(most)] + [(100 + i, f"my {seldom}", "s") for i in range(most - 1)]
+    # The same row again is no further repository.
+    rows += [(100, f"my {seldom}", "s")] * 5
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = secret_scan.scan(docs).collect()
+    assert {r.spans for r in found if r.doc_id < 100} == {""}
+    assert {r.spans for r in found if r.doc_id >= 100} == {"random:3:30"}
+
+
+def test_a_value_that_most_documents_hold(spark, monkeypatch):
+    rows = [(i, f"token = {HEX} and {i:032x}", f"s{i % 2}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    usual = {(r.doc_id, r.spans, r.live_spans) for r in secret_scan.scan(docs).collect()}
+    monkeypatch.setattr(secret_scan, "HOT", 2)
+    assert {(r.doc_id, r.spans, r.live_spans) for r in secret_scan.scan(docs).collect()} == usual
+    assert all(spans.startswith("assign:0:40,hex:8:40,hex:45:77") and live == "hex:45:77" for _, spans, live in usual)
+
+
+def test_many_matches_in_one_text(spark):
+    def seconds(n):
+        docs = spark.createDataFrame([(1, " ".join(f"{k:024x}" for k in range(n)), "s")], "doc_id bigint, text string, source string")
+        begun = time.time()
+        r = secret_scan.scan(docs, keep_text=False).first()
+        assert r.n_hex == n and r.spans.endswith(f"hex:{25 * n - 25}:{25 * n - 1}")
+        return time.time() - begun
+
+    seconds(100)
+    once, twice = seconds(8000), seconds(16_000)
+    assert twice < 2.5 * once + 1
+
+
 def test_redacted_texts(spark):
     rows = [(1, f"é token = {HEX} and {HEX} end", "s"), (2, "clean", "s"), (3, None, "s"), (4, HEX, "t")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
@@ -85,7 +120,7 @@ def test_no_python_in_the_plan(spark, documents):
 
 
 def test_odd_rows(odd, nothing):
-    extra = odd.selectExpr("*", "1 AS spans", "2 AS hash", "3 AS n_hex", "4 AS owner", "5 AS span", "6 AS n_owners")
+    extra = odd.selectExpr("*", "1 AS spans", "2 AS hash", "3 AS N_hex", "4 AS owner", "5 AS span", "6 AS n_owners", "7 AS row", "8 AS candidates", "9 AS owner_of")
     found = secret_scan.scan(extra).collect()
-    assert len(found) == 9 and all(r.spans == "" and r.n_hex == 0 and r.hash == 2 for r in found)
+    assert len(found) == 9 and all(r.spans == "" and r.n_hex == 0 and (r.hash, r.row, r.candidates, r.owner_of) == (2, 7, 8, 9) for r in found)
     assert secret_scan.scan(nothing).count() == 0
