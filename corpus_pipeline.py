@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ebbmark.llm import near_dedup, packing, quality_classifier, quality_rules, secret_scan
 from ebbmark.llm.arrays import stored
+from ebbmark.sources.scratch import remove, scratch_folder, scratch_scope
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -32,10 +33,19 @@ def keep_regular(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every near-duplicate group (five words, 0.8)."""
-    groups = near_dedup.near_duplicates(docs, spark)
-    gone = groups.filter("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of every near-duplicate group (five words, 0.8), that with the smallest id.
+
+    Rows are told apart by a number of their own: of rows that share an id, or
+    have none, one stays if their texts are near. A null id comes last; rows
+    without a text are no duplicates of each other.
+    """
+    rows = stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), spark, "numbered")
+    numbered = rows.select(F.col("row").alias("doc_id"), "text")
+    groups = near_dedup.near_duplicates(numbered, spark).select(F.col("doc_id").alias("row"), "component_id")
+    # Combined before the shuffle: a group is one row per task, however large it is.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")
+    heads = rows.select("row", "doc_id").join(groups, "row").groupBy("component_id").agg(first).select("first.row")
+    return rows.join(heads, "row", "left_semi").select(*COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +56,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Power-of-two pieces of all documents."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
+    """Power-of-two pieces of all documents with their token ids, the corpus to train on."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -63,7 +73,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), spark, name)
+    """All stages over ``documents``; what a stage wrote for itself, and its input, go once its result is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES[:-1]:
+        path = scratch_folder(spark)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
