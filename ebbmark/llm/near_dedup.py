@@ -14,10 +14,12 @@ standard deviations of the threshold.
 
 No group is expanded into its pairs. Equal sets are one class. A band's members
 are held against the one that meets most others, the three most alike per member
-are verified and their components found; then only members of one band that lie
-in different components are paired, after a look at a few bits of their
-registers. So a group of n copies costs about n pairs, and no link between
-components is lost.
+are verified and their components found. Links may be left between members of one
+band that lie in different components. These members are not paired band by band:
+with the shingles of each ordered from the rarest on, two that reach the threshold
+share one among the first of both, at places their sizes bound. Members meet at
+such shingles only, so that texts which have too many shingles of their own meet
+nothing, and a group of n copies costs about n pairs. No link is lost.
 """
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ BUCKETS = BANDS * BAND_WIDTH
 MANTISSA = 9
 # Words of 64 register bits that travel with band members for a first look.
 LANES = 4
+# Sizes of sets within such a factor are of one class.
+SIZE_STEP = 1.05
 # Best-looking partners of a document that are verified before its component is known.
 FIRST_TRIES = 3
 
@@ -61,6 +65,7 @@ _BANDED = T.StructType(
     ]
 )
 _SETS = T.StructType([T.StructField("id", T.LongType()), T.StructField("members", T.BinaryType())])
+_SHINGLES = T.StructType([T.StructField("id", T.LongType()), T.StructField("shingle", T.LongType())])
 _LIKE = T.StructType(
     [
         T.StructField("a", T.LongType()),
@@ -235,12 +240,12 @@ def _screened(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFra
     return joined.select("a", "b", "n_a", "n_b", "registers_a", "registers_b").mapInArrow(_screen(threshold), _LIKE)
 
 
-def _member_sets(docs: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
-    """``(id, members)``, the full shingle sets of all documents in ``pairs``, and of few others.
+def _member_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """``(id, members)``, the full shingle sets of all documents in ``ids``, and of few others.
 
     A membership filter keeps the texts of the others from being cut up and shuffled.
     """
-    bitmap = membership(pairs.select(F.explode(F.array("a", "b")).alias("id")), "id")
+    bitmap = membership(ids, "id")
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,13 +283,76 @@ def _verify(percent: int):
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets reach the threshold."""
-    sets = _member_sets(docs, pairs, size)
+    sets = _member_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")), size)
     a = sets.select(F.col("id").alias("a"), F.col("members").alias("members_a"))
     b = sets.select(F.col("id").alias("b"), F.col("members").alias("members_b"))
     both = pairs.select("a", "b").join(a, "a").join(b, "b")
     return both.select("a", "b", "members_a", "members_b").mapInArrow(_verify(percent), _EDGE)
 
 
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets as rows, a slice of about a million shingles at a time."""
+    for batch in batches:
+        for first, last in slices(batch.column(1), 8 << 20):
+            sets = [np.frombuffer(s.as_buffer(), np.int64) for s in batch.column(1).slice(first, last - first)]
+            ids = np.repeat(batch.column(0).slice(first, last - first).to_numpy(), [len(s) for s in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(sets))], names=_SHINGLES.names)
+
+
+def _size_class(size: str) -> str:
+    return f"CAST(floor(ln({size}) / ln({SIZE_STEP}D)) AS INT)"
+
+
+def meetings(shingled: DataFrame, members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Where members can meet: ``(shingle, class, id, component, n_shingles)``, as the smaller set and as the larger.
+
+    ``shingled`` has ``(id, shingle)`` rows, each once, of ``members(id,
+    component, n_shingles)``. Shingles are ordered by how many members have them.
+    Sets of n <= m shingles reach the threshold with an intersection of at least
+    p (n + m) / (100 + p); none of n - i or less can follow the place i of the
+    first common shingle. So the smaller set needs to be met only within its
+    first n - 2 p n / (100 + p) places, and the larger at place j only by sets of
+    n <= (m - j) (100 + p) / p - m shingles. A shingle that one member has alone
+    meets nothing, but takes a place.
+    """
+    counts = shingled.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1")
+    held = shingled.join(counts, "shingle").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("common"))
+    placed = held.join(members, "id").select(
+        "id", "component", "n_shingles", (F.col("n_shingles") - F.size("common")).alias("alone"), F.posexplode("common").alias("k", "c")
+    )
+    placed = placed.select("id", "component", "n_shingles", F.col("c.shingle").alias("shingle"), (F.col("alone") + F.col("k")).alias("place"))
+    p, n = percent, "n_shingles"
+    smaller = placed.filter(f"place <= {n} - ceil(2 * {p} * {n} / {100 + p}.0)").withColumn("class", F.expr(_size_class(n)))
+    least, most = f"ceil({p} * {n} / 100.0)", f"least({n}, floor(({n} - place) * {100 + p} / {p}.0 - {n} + 1e-6))"
+    larger = placed.withColumn("least", F.expr(least)).withColumn("most", F.expr(most)).filter("most >= least AND least > 0")
+    larger = larger.withColumn("class", F.explode(F.expr(f"sequence({_size_class('least')}, {_size_class('most')})")))
+    columns = ["shingle", "class", "id", "component", "n_shingles"]
+    return smaller.select(*columns), larger.select(*columns, "least", "most")
+
+
+def _across(docs: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of members of different components that may reach the threshold; all that do are among them."""
+    spark = docs.sparkSession
+    sets = _member_sets(docs, members.select("id"), size)
+    shingled = stored(sets.mapInArrow(_shingles, _SHINGLES).join(members.select("id"), "id", "left_semi").distinct(), spark, "shingles")
+    smaller, larger = (stored(side, spark, "meetings") for side in meetings(shingled, members, percent))
+    key = ["shingle", "class"]
+    # Of each place one component has most members; pairs need an end outside it.
+    per_component = smaller.select(*key, "component").unionAll(larger.select(*key, "component")).groupBy(*key, "component").agg(F.count("*").alias("n"))
+    top = per_component.groupBy(*key).agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("n_components"))
+    top = top.filter("n_components > 1").select(*key, F.col("top.component").alias("top"))
+    x, y = (side.join(top, key) for side in (smaller, larger))
+
+    def met(one: DataFrame, other: DataFrame) -> DataFrame:
+        one = one.select(*key, *(F.col(c).alias(f"x_{c}") for c in ("id", "component", "n_shingles")))
+        other = other.select(*key, *(F.col(c).alias(f"y_{c}") for c in ("id", "component", "n_shingles")), "least", "most")
+        fits = "x_n_shingles BETWEEN least AND most AND x_component <> y_component"
+        return one.join(other, key).filter(fits).select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b"))
+
+    outside = "component <> top"
+    return met(x.filter(outside), y).unionAll(met(x.filter("component = top"), y.filter(outside))).distinct()
+
+
 def near_duplicates(docs: DataFrame, spark: SparkSession, shingle: int = 5, percent: int = 80) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row for every row of ``docs``.
 
@@ -334,13 +402,11 @@ def near_duplicates(docs: DataFrame, spark: SparkSession, shingle: int = 5, perc
     found = stored(components(edges, spark), spark, "found")
 
     # Links between different components: both ends share a band.
-    placed = members.select("band", "id").join(sides.drop("met"), "id").join(found, "id", "left")
+    placed = members.select("band", "id").join(sides.select("id", "n_shingles"), "id").join(found, "id", "left")
     placed = placed.withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    open_bands = stored(placed.join(mixed.select("band"), "band", "left_semi"), spark, "open")
-    one, other = (open_bands.select("band", F.struct("id", "component", "n_shingles", "lanes").alias(x)) for x in ("x", "y"))
-    across = one.join(other, "band").filter(f"x.component < y.component AND {_lanes_allow('x', 'y', percent / 100)}")
-    across = across.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    apart = placed.join(mixed.select("band"), "band", "left_semi").select("id", "component", "n_shingles").distinct()
+    across = _across(docs, stored(apart, spark, "apart"), shingle, percent)
     across = stored(_screened(across, nodes, percent / 100), spark, "across")
     more = stored(_confirmed(across, docs, shingle, percent), spark, "more")
     if not more.isEmpty():

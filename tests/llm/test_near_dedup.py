@@ -172,3 +172,26 @@ def test_words_end_at_the_white_space_named():
     texts = pa.array(["a\x0bb c A", "a b c\na"])
     keys, rows = near_dedup.shingle_sets(texts, 2)
     assert set(keys[rows == 0]) == set(keys[rows == 1]) and len(keys) == 4
+
+
+def test_members_that_stay_apart_meet_nowhere(spark):
+    """Copies with too many shingles of their own to be linked, a few that are, sets of unlike sizes."""
+    rng = random.Random(5)
+    body = list(range(400))
+    sets = {k: [*body[:340], *range(10_000 + 100 * k, 10_060 + 100 * k)] for k in range(120)}
+    sets |= {1000 + k: rng.sample(body, 390) for k in range(6)}
+    sets |= {2000 + k: body[: 250 + 20 * k] for k in range(8)}
+    sets |= {3000 + k: [50_000 + j for j in range(k + 1)] for k in range(12)}
+    members = spark.createDataFrame([(k, k % 3 if k >= 1000 else k, len(s)) for k, s in sets.items()], "id long, component long, n_shingles long")
+    shingled = spark.createDataFrame([(k, x) for k, s in sets.items() for x in s], "id long, shingle long")
+    smaller, larger = near_dedup.meetings(shingled, members, 80)
+    held = smaller.select("shingle", "class", "id").withColumnRenamed("id", "a")
+    met = held.join(larger.select("shingle", "class", "id", "least", "most"), ["shingle", "class"])
+    found = {tuple(sorted((r.a, r.id))) for r in met.select("a", "id").distinct().collect() if r.a != r.id}
+    wanted = set()
+    for a, x in sets.items():
+        for b, y in sets.items():
+            both = len({*x} & {*y})
+            if a < b and 100 * both >= 80 * (len(x) + len(y) - both):
+                wanted.add((a, b))
+    assert wanted and wanted <= found and len(found) < 4 * len(wanted)
