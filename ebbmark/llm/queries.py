@@ -31,15 +31,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Piece ids of all documents, encoded chunk by chunk."""
+    """Piece ids of all documents, encoded chunk by chunk, and the texts they decode to."""
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = sentencepiece_scan.encode(docs, path)
-    return encoded.select(
+    decoded = sentencepiece_scan.decode(sentencepiece_scan.encode(docs, path), path)
+    return decoded.select(
         "doc_id",
         "n_chunks",
         F.expr("octet_length(ids) div 4").cast("bigint").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"),
+        F.crc32("text").alias("text_crc32"),
     )
 
 

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbmark.llm.arrays import stored, texts_of
+from ebbmark.llm.columns import others
 
 # Characters of a chunk; a text of no more is one chunk.
 CHUNK = 32_768
@@ -67,7 +68,6 @@ _TRACED = T.StructType(
         T.StructField("ids", T.BinaryType()),
     ]
 )
-_DECODED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
 
 
 class Pieces:
@@ -418,19 +418,22 @@ def _batch(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
-    """``(doc_id, text)`` of ``(doc_id, ids)``: the pieces' texts without the space a text begins with.
+    """``encoded`` with ``text``, the texts of its ``ids`` without the space a text begins with.
 
     Null or empty ``ids`` are an empty text; bytes that are no UTF-8 become
-    U+FFFD. Other columns are ignored.
+    U+FFFD. A column named ``text``, in any case, is replaced, others stay.
     """
+    rows = encoded.select(*others(encoded, ["text"]))
+    place = rows.columns.index("ids")
+    out = T.StructType([*rows.schema.fields, T.StructField("text", T.StringType())])
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         content = _pieces(model_path).content
         for batch in batches:
             texts = []
-            for ids in batch.column(1).to_pylist():
+            for ids in batch.column(place).to_pylist():
                 found = b"".join([content[i] for i in np.frombuffer(ids or b"", "<u4").tolist()])
                 texts.append(found.removeprefix(b" ").decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=_DECODED.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=out.names)
 
-    return encoded.select(F.col("doc_id").cast("bigint"), "ids").mapInArrow(decoded, _DECODED)
+    return rows.mapInArrow(decoded, out)

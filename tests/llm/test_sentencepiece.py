@@ -1,6 +1,7 @@
 """Piece ids against the library's encoder."""
 
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -10,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from ebbmark.llm import sentencepiece_scan as scan
+from ebbmark.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=PATH)
@@ -88,3 +90,9 @@ def test_odd_rows(odd, nothing):
     assert scan.encode(nothing, PATH).count() == 0
     with pytest.raises(ValueError):
         scan.encode(nothing, PATH, chunk=10)
+
+
+def test_the_query_decodes_to_the_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    found = {r.doc_id: r.text_crc32 for r in QUERIES["op1_sentencepiece"](spark, "/root/testdata/sf0.001").collect()}
+    assert found == {r.doc_id: zlib.crc32((r.text or "").encode()) for r in docs.collect()}
