@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,13 +46,20 @@ def _json_field(field: T.StructField) -> str:
 
 
 def to_records(
-    rows: DataFrame, table: str, key_column: str | None = None, spread: int | None = None
+    rows: DataFrame,
+    table: str,
+    key_column: str | None = None,
+    spread: int | None = None,
+    headers: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """``(key, value)`` strings. The key is the table name, the same for all
     rows, unless a key column is named. ``spread`` adds ``partition``, an int
     below it by a hash of the value, which a Kafka sink takes as the topic
     partition: so the key can stay the table's name on many partitions.
 
+    ``headers``, names and SQL texts over the row, add ``headers`` as a Kafka sink
+    takes them, an array of names and binary values.
+
     In the value, null fields are left out, timestamps and dates are epoch
     milliseconds, NaN and infinities are missing (in an array: null) and binary
     is base64, also within structs, arrays and maps. Fields keep the order of
@@ -60,7 +69,32 @@ def to_records(
     # One SQL text for all fields: a batch plans thousands of columns on the driver.
     fields = ", ".join(_json_field(f) for f in rows.schema)
     value = F.expr(f"to_json(struct({fields}), map('ignoreNullFields', 'true'))")
-    records = rows.select(key.alias("key"), value.alias("value"))
+    more = []
+    if headers:
+        pairs = (f"struct('{name}' AS key, CAST(CAST({text} AS STRING) AS BINARY) AS value)" for name, text in headers.items())
+        more = [F.expr(f"array({', '.join(pairs)})").alias("headers")]
+    records = rows.select(key.alias("key"), value.alias("value"), *more)
     if spread is None:
         return records
     return records.withColumn("partition", F.pmod(F.xxhash64("value"), F.lit(spread)).cast("int"))
+
+
+def header(name: str) -> Column:
+    """The value of a header as text."""
+    return F.filter("headers", lambda h: h["key"] == name)[0]["value"].cast("string")
+
+
+def once(records: DataFrame) -> DataFrame:
+    """Records of several runs, each left once, by their headers ``run`` and ``offset``.
+
+    Delivery is at-least-once: a run may send again what one before it sent. A
+    record is the same if key, value and offset are; rows that a table holds
+    twice stay two, as a run sends both.
+    """
+    same = ["key", "value", "_offset"]
+    rest = F.struct(*(c for c in records.columns if c not in ("key", "value")))
+    told = records.withColumns({"_run": header("run"), "_offset": header("offset"), "_rest": rest})
+    by_run = told.groupBy(*same, "_run").agg(F.count("*").alias("_n"), F.first("_rest").alias("_rest"))
+    sent = by_run.groupBy(*same).agg(F.min_by("_rest", "_run").alias("_rest"), F.max("_n").alias("_n"))
+    left = sent.select("key", "value", F.explode(F.expr("array_repeat(_rest, CAST(_n AS INT))")).alias("_rest"))
+    return left.select("key", "value", "_rest.*").select(*records.columns)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
@@ -125,6 +126,16 @@ def advanced(shift_hours: int = CLOCK_SHIFT_HOURS) -> list[Column]:
     ]
 
 
+@dataclass(frozen=True)
+class _Form:
+    """How the records of a batch look."""
+
+    key_columns: Mapping[str, str]
+    spread: int | None
+    run_id: str | None
+    ordered: int | None
+
+
 @dataclass
 class _Export:
     """One table on its way through a batch; ``delta_count`` is what was counted, then what was sent."""
@@ -135,7 +146,7 @@ class _Export:
     delta_count: int
     files: list[str] | None
 
-    def records(self, key_columns: Mapping[str, str], spread: int | None, tables: TableStore) -> DataFrame:
+    def records(self, form: _Form, tables: TableStore) -> DataFrame:
         check = self.check
         bounds = split_bounds(check, self.max_offset) if tables.split else None
         if bounds:
@@ -143,7 +154,11 @@ class _Export:
             check = replace(check, frame=split)
         # The watermark only narrows the rows further: their files hold them all.
         rows = in_files(delta(check, self.max_offset), self.files)
-        return to_records(rows, check.table, key_columns.get(check.table), spread)
+        headers = None if form.run_id is None else {"run": f"'{form.run_id}'", "offset": check.as_offset(check.value)}
+        if form.ordered is not None:
+            rows = rows.repartitionByRange(form.ordered, F.expr(check.value)).sortWithinPartitions(F.expr(check.value))
+        records = to_records(rows, check.table, form.key_columns.get(check.table), form.spread, headers)
+        return records if form.ordered is None else records.withColumn("partition", F.spark_partition_id())
 
     def found(self, ended_millis: int) -> dict[str, Any]:
         return {
@@ -272,6 +287,8 @@ def export_batch(
     write_group: int = STATS_CHUNK,
     zones: ZoneMap | None = None,
     claims: Claims | None = None,
+    run_id: str | None = None,
+    ordered: int | None = None,
     clock: Callable[[], int] = wall_millis,
 ) -> list[TableResult]:
     """Export the new rows of every table of a batch, then advance its control rows.
@@ -293,14 +310,23 @@ def export_batch(
     for them. ``claims`` holds the batch for the time of the run: a second run of
     it stops with ``BatchClaimed``, and none advances a control row after its
     lease. The count of a control row is that of the records handed to the sink.
+    With a ``run_id`` every record has headers, ``run`` and ``offset``, its check
+    value, by which :func:`~ebbmark.operators.records.once` leaves out what was
+    sent before. ``ordered`` deals every table by ranges of its check column over
+    that many topic partitions, each in ascending order; it shuffles the rows.
     """
     if write_group < 1:
         raise ValueError("a write group has one table at least")
+    if run_id is not None and not re.fullmatch(r"[\w.:-]+", run_id):
+        raise ValueError("a run id has letters, digits and _ . : - only")
+    if ordered is not None and spread is not None:
+        raise ValueError("records are dealt by a hash or by ranges, not by both")
+    form = _Form(key_columns or {}, spread, run_id, ordered)
     holding = nullcontext() if claims is None else claims.hold(spark, batch_number(batch_id))
     with holding as claim:
         return _export(
-            spark, batch_id, control, tables, sink, from_start, key_columns or {}, spread,
-            shift_hours, single_write, write_group, zones, claim, clock,
+            spark, batch_id, control, tables, sink, from_start, form, shift_hours,
+            single_write, write_group, zones, claim, clock,
         )
 
 
@@ -311,8 +337,7 @@ def _export(
     tables: TableStore,
     sink: RecordSink,
     from_start: bool,
-    key_columns: Mapping[str, str],
-    spread: int | None,
+    form: _Form,
     shift_hours: int,
     single_write: bool,
     write_group: int,
@@ -333,7 +358,7 @@ def _export(
         if sending:
             count = F.count(F.lit(1)).alias("sent")
             records = union(
-                export.records(key_columns, spread, tables).observe(counts[id(export)], count)
+                export.records(form, tables).observe(counts[id(export)], count)
                 for export in sending
             )
             sink.write(records, TOGETHER if single_write else sending[0].check.table)

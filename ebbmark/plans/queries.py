@@ -33,7 +33,7 @@ from ebbmark.operators.ranges import (
     in_days_by_time,
     pick_range,
 )
-from ebbmark.operators.records import to_records
+from ebbmark.operators.records import header, once, to_records
 from ebbmark.operators.schedule import next_due_table
 from ebbmark.operators.schemas import apply_schema, camel_columns, declared_schema, snake_columns
 from ebbmark.plans.export import advanced, driver_rows, export_batch
@@ -465,6 +465,47 @@ def export_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(records).select("key", "value")
 
 
+@registered(BATCH_SQL)
+def export_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of two runs, the second of which sends the boundary rows again, each left once by the headers."""
+    folder = scratch_folder(spark)
+    control = ControlTable(TableStore(name_value=folder + "/{table}"), "control")
+    control.append(control_rows(spark))
+    for run in ("first", "second"):
+        export_batch(spark, 0, control, tables_in(sf_dir), file_sink(f"{folder}/records"), run_id=run, clock=lambda: BATCH_MILLIS)
+    return once(spark.read.parquet(f"{folder}/records").drop("source")).select("key", "value")
+
+
+@registered(
+    f"""
+SELECT 'lineitem' AS key, {record_sql('lineitem')} AS value, true AS in_order FROM lineitem
+UNION ALL SELECT 'orders', {record_sql('orders')}, true FROM orders"""
+)
+def export_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables dealt by ranges of their check column; whether the ranges of a table lie apart."""
+    rows = [("lineitem", 0, "l_orderkey", 2), ("orders", 0, "o_orderkey", 2)]
+    sent = first_batch(spark, sf_dir, rows, ordered=8, run_id="run")
+    offset = header("offset").cast("bigint")
+    ranges = sent.groupBy("key", "partition").agg(F.min(offset).alias("low"), F.max(offset).alias("high"))
+    before = ranges.select("key", (F.col("partition") + 1).alias("partition"), F.col("high").alias("below"))
+    placed = ranges.join(before, ["key", "partition"], "left")
+    apart = placed.select("key", "partition", F.expr("coalesce(below < low, true)").alias("in_order"))
+    return sent.join(apart, ["key", "partition"]).select("key", "value", "in_order")
+
+
+@registered(ORDER_LOG_SQL + "SELECT * FROM latest")
+def control_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log compacted in place twice, with an append between and one after."""
+    folder = TableStore(name_value=scratch_folder(spark) + "/{table}")
+    control = ControlTable(folder, "control", manifest="pointers")
+    log = order_log(spark, sf_dir)
+    for part in range(3):
+        if part:
+            control.compact(spark)
+        control.append(log.filter(F.col("seq") % 3 == part))
+    return local_times(control.current(spark))
+
+
 @registered(BATCH_SQL)
 def export_single_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, records = run_batch(spark, sf_dir, 1, single_write=True)

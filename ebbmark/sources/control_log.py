@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import operator
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +34,7 @@ CONTROL_SCHEMA = T.StructType(
 )
 LOG_SCHEMA = T.StructType([*CONTROL_SCHEMA.fields, T.StructField("seq", T.LongType())])
 KEY = ["typeid", "tablename"]
+POINTERS = "generation bigint, log string, previous string"
 
 
 def conform(frame: DataFrame, schema: T.StructType) -> DataFrame:
@@ -74,18 +77,27 @@ class ControlTable:
     ``versioned=True`` is an append-only log with a ``seq`` column, for stores
     whose append adds rows. ``versioned=False`` is for stores whose append
     replaces the row with the same key (Kudu): no ``seq``, one row per key.
+
+    ``manifest`` names a table that says which log is the current one, so that
+    ``compact`` needs no change in the caller: reads and appends follow it. A
+    read also takes in the log before the current one, as a run may have looked
+    the name up just before a compaction and append there after it; a run must
+    not stay out over two compactions.
     """
 
     store: TableStore
     name: str
     versioned: bool = True
+    manifest: str | None = None
 
     @property
     def schema(self) -> T.StructType:
         return LOG_SCHEMA if self.versioned else CONTROL_SCHEMA
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return conform(self.store.read(spark, self.name), self.schema)
+        _, current, before = self._logs(spark)
+        logs = [conform(self.store.read(spark, name), self.schema) for name in [*current, *before]]
+        return functools.reduce(DataFrame.unionAll, logs)
 
     def current(self, spark: SparkSession, batch_id: int | str | None = None) -> DataFrame:
         """Current state, of one batch if an id is given."""
@@ -95,7 +107,36 @@ class ControlTable:
         return latest(rows) if self.versioned else rows
 
     def append(self, rows: DataFrame) -> None:
-        self.store.append(conform(rows, self.schema), self.name)
+        _, current, _ = self._logs(rows.sparkSession)
+        self.store.append(conform(rows, self.schema), current[0])
+
+    def _logs(self, spark: SparkSession) -> tuple[int, list[str], list[str]]:
+        """The generation of the log, its name, and the name of the one before.
+
+        More than one of either where compactions ran at the same time.
+        """
+        pointers = None if self.manifest is None else self.store.read_if_there(spark, self.manifest)
+        if pointers is None:
+            return 0, [self.name], []
+        # One row per compaction that ran last: one, as a rule.
+        last = pointers.groupBy("generation").agg(
+            F.array_sort(F.collect_set("log")).alias("logs"), F.collect_set("previous").alias("before")
+        )
+        newest = last.orderBy(F.desc("generation")).first()
+        return newest.generation, newest.logs, sorted(set(newest.before) - set(newest.logs))
+
+    def compact(self, spark: SparkSession) -> None:
+        """Write the current state to a new log and make it the current one.
+
+        The old log stays as it is. Reads before, while and after give one state.
+        """
+        if self.manifest is None or not self.versioned:
+            raise ValueError("only a log with a manifest can be compacted in place")
+        generation, current, _ = self._logs(spark)
+        log = f"{self.name}_{generation + 1}_{uuid.uuid4().hex[:8]}"
+        self.store.create(conform(self.current(spark), self.schema), log)
+        rows = [(generation + 1, log, name) for name in current]
+        self.store.append(spark.createDataFrame(rows, POINTERS).coalesce(1), self.manifest)
 
     def compact_into(self, spark: SparkSession, target: ControlTable) -> None:
         """Write the current state to a new table and leave this one as it is.

@@ -6,6 +6,7 @@ import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 CATALOG = "table"
@@ -57,6 +58,15 @@ class TableStore:
         reader = spark.read.format(self.format).options(**self.options)
         return reader.option(self.name_option, name).load()
 
+    def read_if_there(self, spark: SparkSession, table: str) -> DataFrame | None:
+        """The table, or ``None`` where it has not been written yet."""
+        try:
+            return self.read(spark, table)
+        except AnalysisException as error:
+            if not re.search("PATH_NOT_FOUND|TABLE_OR_VIEW_NOT_FOUND", str(error)):
+                raise
+            return None
+
     def read_split(self, spark: SparkSession, table: str, column: str, lower: str, upper: str) -> DataFrame:
         """The whole table, read by ``split.parts`` tasks that share the values from ``lower`` to ``upper``.
 

@@ -72,12 +72,8 @@ class ZoneMap:
         return Stats(check.table, row.largest, count, row.exact, row.files)
 
     def _known(self, spark: SparkSession, check: Check) -> DataFrame | None:
-        try:
-            log = self.store.read(spark, self.name)
-        except Exception as error:
-            # The first run; anything but a missing table is an error.
-            if not re.search("PATH_NOT_FOUND|TABLE_OR_VIEW_NOT_FOUND", str(error)):
-                raise
+        log = self.store.read_if_there(spark, self.name)
+        if log is None:
             return None
         mine = log.filter((F.col("tablename") == check.table) & (F.col("checkcolumn") == check.column))
         state = [c for c in log.columns if c not in ("tablename", "checkcolumn", "file")]

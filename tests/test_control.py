@@ -100,3 +100,41 @@ def test_reads_by_name_and_casts(spark, tmp_path):
     assert state.first().longoffset == 5
     with pytest.raises(Exception, match="longoffset"):
         conform(state.drop("longoffset"), LOG_SCHEMA)
+
+
+def test_reads_before_while_and_after_a_compaction_give_one_state(spark, tmp_path):
+    control = ControlTable(TableStore(name_value=f"{tmp_path}/{{table}}"), "control", manifest="pointers")
+
+    def version(table, seq, offset):
+        row = spark.createDataFrame([(table, 0, offset, seq)], "tablename string, typeid int, longoffset long, seq long")
+        missing = {f.name: F.lit(None) for f in LOG_SCHEMA if f.name not in row.columns}
+        return conform(row.withColumns(missing), LOG_SCHEMA)
+
+    def state():
+        return {r.tablename: (r.seq, r.longoffset) for r in control.current(spark).collect()}
+
+    control.append(version("a", 0, 1))
+    control.append(version("a", 1, 2))
+    control.append(version("b", 0, 5))
+    before = state()
+    # A run that looked the log up before the compaction and appends after it.
+    _, (old,), _ = control._logs(spark)
+    control.compact(spark)
+    assert state() == before == {"a": (1, 2), "b": (0, 5)}
+    control.store.append(version("b", 1, 6), old)
+    control.append(version("a", 2, 3))
+    assert state() == {"a": (2, 3), "b": (1, 6)}
+    control.compact(spark)
+    assert state() == {"a": (2, 3), "b": (1, 6)}
+    _, (newest,), _ = control._logs(spark)
+    assert control.store.read(spark, newest).count() == 2
+    # Two compactions at one time: both logs count.
+    generation, (name,), _ = control._logs(spark)
+    rows = [(generation + 1, "one", name), (generation + 1, "two", name)]
+    for log in ("one", "two"):
+        control.store.create(control.current(spark), log)
+    control.store.append(spark.createDataFrame(rows, "generation bigint, log string, previous string"), "pointers")
+    control.store.append(version("c", 0, 7), "two")
+    assert state() == {"a": (2, 3), "b": (1, 6), "c": (0, 7)}
+    with pytest.raises(ValueError):
+        ControlTable(control.store, "control").compact(spark)

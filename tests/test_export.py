@@ -1,3 +1,4 @@
+import glob
 import json
 import random
 import threading
@@ -17,6 +18,7 @@ from ebbmark import (
     export_batch,
     file_sink,
 )
+from ebbmark.operators.records import header
 from ebbmark.plans import export
 from ebbmark.sources.control_log import LOG_SCHEMA, conform
 
@@ -490,3 +492,24 @@ def test_counts_of_several_tables(setting, single):
     setting.register(control_row("longs", "id", 2, 4), control_row("ints", "size", 1, 3))
     results = setting.run(single_write=single, **({"sink": file_sink(f"{setting.folder}/s")} if single else {}))
     assert {r.table: r.row_count for r in results} == {"longs": 6, "ints": 4}
+
+
+def test_ordered_records_ascend_in_every_partition(setting):
+    setting.put("many", setting.spark.range(500).select((F.col("id") * 7919 % 500).alias("id")).repartition(4))
+    setting.register(control_row("many", "id", 2, 100))
+    setting.run(ordered=4, run_id="r")
+    rows = setting.spark.read.parquet(setting.out)
+    ranges = sorted((min(v), max(v)) for v in rows.groupBy("partition").agg(F.collect_list(header("offset").cast("int")).alias("v")).rdd.map(lambda r: r.v).collect())
+    assert ranges[0][0] == 100 and ranges[-1][1] == 499 and len(ranges) == 4
+    assert all(high < low for (_, high), (low, _) in zip(ranges, ranges[1:]))
+    for path in glob.glob(f"{setting.out}/*/*.parquet"):
+        ids = [json.loads(r.value)["id"] for r in setting.spark.read.parquet(path).collect()]
+        assert ids == sorted(ids)
+
+
+def test_forms_that_are_refused(setting):
+    setting.register(control_row("longs", "id", 2, 4))
+    with pytest.raises(ValueError, match="run id"):
+        setting.run(run_id="it's")
+    with pytest.raises(ValueError, match="not by both"):
+        setting.run(ordered=2, spread=2)

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from ebbmark.operators.records import to_records
+from ebbmark.operators.records import header, once, to_records
 
 
 def values(frame, **options):
@@ -100,3 +100,14 @@ def test_spread_adds_no_exchange(spark):
     assert "Exchange" not in records._jdf.queryExecution().executedPlan().toString()
     assert records.select("partition").distinct().count() == 8
     assert records.select("key").distinct().collect()[0][0] == "t"
+
+
+def test_headers_leave_each_record_once(spark):
+    rows = spark.sql("SELECT 1 AS id, 7L AS at UNION ALL SELECT 1, 7L UNION ALL SELECT 2, 8L")
+    sent = [to_records(part, "t", headers={"run": f"'{run}'", "offset": "at"}) for run, part in (("r1", rows), ("r2", rows), ("r3", rows.filter("id = 2")))]
+    assert sent[0].schema["headers"].dataType.simpleString() == "array<struct<key:string,value:binary>>"
+    every = sent[0].unionAll(sent[1]).unionAll(sent[2])
+    left = once(every)
+    assert left.columns == every.columns
+    values = [(r.value, r.run, r.at) for r in left.select("value", header("run").alias("run"), header("offset").alias("at")).collect()]
+    assert sorted(values) == [('{"id":1,"at":7}', "r1", "7")] * 2 + [('{"id":2,"at":8}', "r1", "8")]
