@@ -7,10 +7,11 @@ in which two versions differ: a cell with one digest left is known by the check
 bits inside it, is taken out of its other cells, and so on until all cells are
 empty (peeling). Where peeling gets stuck a larger sketch is tried.
 
-The fingerprint of a text holds its sketch of ``CELLS`` cells. Differences larger
-than that are found shard by shard: digests are dealt to shards by their own
-bits, every shard has a sketch of its own, so that the work grows with the
-number of paragraphs.
+The fingerprint of a text holds its sketch of ``CELLS`` cells. Two fingerprints are
+compared by subtracting and peeling these. Only where that gets stuck, as more
+paragraphs differ than the cells can tell, larger sketches are made, shard by
+shard: digests are dealt to shards by their own bits, every shard has a sketch of
+its own, so that the work grows with the number of paragraphs.
 
 DataFrame functions only, nothing leaves the JVM.
 """
@@ -60,11 +61,12 @@ def _place(digest: str, group: int, size: int) -> str:
 
 def sketch(array: str, size: int) -> str:
     """SQL for the cells of an array of digests: the XOR of what falls in each."""
-    by_group = [
-        f"transform(sequence(0, {size - 1}), v -> aggregate({array}, 0L, (_x, _d) -> "
-        f"IF(pmod(xxhash64(_d, {group}), {size}) = v, _x ^ _d, _x)))"
-        for group in range(GROUPS)
-    ]
+    by_group = []
+    for group in range(GROUPS):
+        # The place of a digest in the group is worked out once, not once per cell.
+        placed = f"transform({array}, _d -> named_struct('d', _d, 'v', pmod(xxhash64(_d, {group}), {size})))"
+        cells = f"transform(sequence(0, {size - 1}), v -> aggregate(_placed, 0L, (_x, _e) -> IF(_e.v = v, _x ^ _e.d, _x)))"
+        by_group.append(f"get(transform(array({placed}), _placed -> {cells}), 0)")
     return f"concat({', '.join(by_group)})"
 
 
@@ -73,13 +75,15 @@ def peeled(cells: str, size: int) -> str:
     mask = (1 << CHECK_BITS) - 1
     pure = f"c -> c <> 0 AND (xxhash64(shiftrightunsigned(c, {CHECK_BITS})) & {mask}L) = (c & {mask}L)"
     hit = " OR ".join(f"i = {_place('p', group, size)}" for group in range(GROUPS))
+    # Once no cell is pure nothing more happens, so the steps left are skipped.
     step = (
-        f"coalesce(get(transform(slice(filter(s.cells, {pure}), 1, 1), p -> named_struct("
-        f"'cells', transform(s.cells, (c, i) -> IF({hit}, c ^ p, c)), 'n', s.n + 1)), 0), s)"
+        f"IF(s.go, coalesce(get(transform(slice(filter(s.cells, {pure}), 1, 1), p -> named_struct("
+        f"'cells', transform(s.cells, (c, i) -> IF({hit}, c ^ p, c)), 'n', s.n + 1, 'go', true)), 0), "
+        "named_struct('cells', s.cells, 'n', s.n, 'go', false)), s)"
     )
     # No more digests come out than there are cells.
     return (
-        f"aggregate(sequence(1, {GROUPS * size}), named_struct('cells', {cells}, 'n', 0), (s, k) -> {step}, "
+        f"aggregate(sequence(1, {GROUPS * size}), named_struct('cells', {cells}, 'n', 0, 'go', true), (s, k) -> {step}, "
         "s -> IF(forall(s.cells, c -> c = 0), s.n, CAST(NULL AS INT)))"
     )
 
@@ -94,10 +98,18 @@ def differing(array: str) -> str:
     return f"coalesce({', '.join(tries)}, {plain})"
 
 
-def fingerprint(text_hash: str, array: str) -> str:
-    """SQL for a fingerprint: the whole text's hash, the number of paragraphs, the sketch."""
-    cells = f"transform({sketch(array, GROUP_CELLS)}, c -> hex(c))"
-    return f"concat_ws('-', hex({text_hash}), CAST(size({array}) AS STRING), array_join({cells}, '.'))"
+def fingerprint(text_hash: str, array: str, cells: str) -> str:
+    """SQL for a fingerprint: the whole text's hash, the number of paragraphs, the cells of their sketch."""
+    return f"concat_ws('-', hex({text_hash}), CAST(size({array}) AS STRING), array_join(transform({cells}, c -> hex(c)), '.'))"
+
+
+def told_apart(left: str, right: str, n_left: str, n_right: str) -> str:
+    """SQL for how many digests differ between two sketches of ``CELLS`` cells; null where they are stuck.
+
+    Sets whose sizes differ by more than the cells are not tried.
+    """
+    apart = peeled(f"zip_with({left}, {right}, (x, y) -> x ^ y)", GROUP_CELLS)
+    return f"IF(abs({n_left} - {n_right}) > {CELLS}, CAST(NULL AS INT), {apart})"
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -142,6 +154,7 @@ def with_next(docs: DataFrame) -> DataFrame:
             "place": F.row_number().over(order),
             "next_text": F.when(F.col("doc_id").isNotNull(), F.lead("text").over(order)),
             "next_digests": F.when(F.col("doc_id").isNotNull(), F.lead("digests").over(order)),
+            "next_cells": F.when(F.col("doc_id").isNotNull(), F.lead("cells").over(order)),
         }
     )
     return rows.filter("NOT guest").drop("guest")
@@ -154,6 +167,7 @@ def compare(docs: DataFrame) -> DataFrame:
     replaced by as much of the beginning of the next text. ``near_edited`` and
     ``near_next`` are the Jaccard likeness of the paragraph sets, worked out
     from how many digests differ: 1 for equal sets, two empty ones included.
+    ``by_fingerprint`` says for how many of the two the fingerprints were enough.
 
     Null texts are empty. A null id is followed by an empty text; rows of one
     id are ordered by text, repeated rows have rows of their own; columns
@@ -162,53 +176,68 @@ def compare(docs: DataFrame) -> DataFrame:
     texts = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ).withColumn("digests", F.expr(digests("text")))
+    texts = texts.withColumn("cells", F.expr(sketch("digests", GROUP_CELLS)))
     none = F.array().cast("array<bigint>")
     rows = with_next(texts).withColumns(
         {
             "n_chars": F.char_length("text"),
             "next_text": F.coalesce("next_text", F.lit("")),
             "next_digests": F.coalesce("next_digests", none),
+            "next_cells": F.coalesce("next_cells", F.array_repeat(F.lit(0).cast("bigint"), CELLS)),
         }
     )
     rows = rows.withColumn(
         "edited", F.expr("concat(substring(text, 1, n_chars - n_chars div 4), substring(next_text, 1, CAST(n_chars div 4 AS INT)))")
     ).withColumn("edited_digests", F.expr(digests("edited")))
+    rows = rows.withColumn("edited_cells", F.expr(sketch("edited_digests", GROUP_CELLS)))
+    rows = rows.withColumns(
+        {
+            f"{other}_apart": F.expr(told_apart("cells", f"{other}_cells", "size(digests)", f"size({other}_digests)"))
+            for other in ("edited", "next")
+        }
+    )
     printed = rows.select(
         "range",
         "place",
         "doc_id",
         F.col("n_chars").cast("bigint").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        F.expr(fingerprint("xxhash64(text)", "digests")).alias("fingerprint"),
-        F.expr(fingerprint("xxhash64(edited)", "edited_digests")).alias("edited_fingerprint"),
+        F.expr(fingerprint("xxhash64(text)", "digests", "cells")).alias("fingerprint"),
+        F.expr(fingerprint("xxhash64(edited)", "edited_digests", "edited_cells")).alias("edited_fingerprint"),
+        F.expr("size(digests) + size(edited_digests)").alias("edited_n"),
+        F.expr("size(digests) + size(next_digests)").alias("next_n"),
+        "edited_apart",
+        "next_apart",
     )
-    return printed.join(_likeness(rows), ["range", "place"]).drop("range", "place")
+    both = printed.join(_apart_by_shards(rows), ["range", "place"], "left")
+    nears = []
+    for other in ("edited", "next"):
+        n, apart = f"{other}_n", f"coalesce({other}_apart, {other}_sharded)"
+        nears.append(F.expr(f"IF({n} = 0, 1.0D, ({n} - {apart}) / CAST({n} + {apart} AS DOUBLE))").alias(f"near_{other}"))
+    known = F.expr("CAST(edited_apart IS NOT NULL AS INT) + CAST(next_apart IS NOT NULL AS INT)").alias("by_fingerprint")
+    return both.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", *nears, known)
 
 
-def _likeness(rows: DataFrame) -> DataFrame:
-    """``(range, place, near_edited, near_next)``; all groupings lie within a range, which is one partition."""
-    pairs = rows.select(
-        "range",
-        "place",
-        F.explode(
-            F.expr(
-                "array(named_struct('pair', 0, 'n', size(digests) + size(edited_digests), 'both', concat(digests, edited_digests)), "
-                "named_struct('pair', 1, 'n', size(digests) + size(next_digests), 'both', concat(digests, next_digests)))"
-            )
-        ).alias("p"),
-    )
-    shards = f"greatest(1, CAST(ceil(p.n / {float(SHARD_LOAD)}) AS INT))"
-    dealt = pairs.select("range", "place", "p.pair", "p.n", F.expr(shards).alias("shards"), F.expr("explode_outer(p.both)").alias("d"))
-    dealt = dealt.withColumn("shard", F.expr("coalesce(pmod(xxhash64(d, 99), shards), 0)"))
+def _apart_by_shards(rows: DataFrame) -> DataFrame:
+    """``(range, place, edited_sharded, next_sharded)`` where fingerprints were stuck.
+
+    All groupings lie within a range, which is one partition.
+    """
+    stuck = [
+        f"IF({other}_apart IS NULL, array(named_struct('pair', {pair}, 'both', concat(digests, {other}_digests))), array())"
+        for pair, other in enumerate(("edited", "next"))
+    ]
+    pairs = rows.select("range", "place", F.explode(F.expr(f"concat({', '.join(stuck)})")).alias("p"))
+    shards = f"greatest(1, CAST(ceil(size(p.both) / {float(SHARD_LOAD)}) AS INT))"
+    dealt = pairs.select("range", "place", "p.pair", F.expr(shards).alias("shards"), F.explode("p.both").alias("d"))
+    dealt = dealt.withColumn("shard", F.expr("pmod(xxhash64(d, 99), shards)"))
     # A shard holds about SHARD_LOAD digests, whatever the length of the text.
-    sharded = dealt.groupBy("range", "place", "pair", "n", "shard").agg(F.collect_list("d").alias("held"))
+    sharded = dealt.groupBy("range", "place", "pair", "shard").agg(F.collect_list("d").alias("held"))
     counted = sharded.withColumn("differ", F.expr(differing("held")))
-    by_pair = counted.groupBy("range", "place", "pair", "n").agg(F.sum("differ").alias("differ"))
-    near = F.expr("IF(n = 0, 1.0D, (n - differ) / CAST(n + differ AS DOUBLE))")
-    both = by_pair.groupBy("range", "place").agg(
-        F.max(F.when(F.col("pair") == 0, near)).alias("near_edited"), F.max(F.when(F.col("pair") == 1, near)).alias("near_next")
+    return counted.groupBy("range", "place").agg(
+        F.sum(F.when(F.col("pair") == 0, F.col("differ"))).alias("edited_sharded"),
+        F.sum(F.when(F.col("pair") == 1, F.col("differ"))).alias("next_sharded"),
     )
-    return both
 
 
 def recovered(left: str, right: str) -> str:
