@@ -372,6 +372,20 @@ def watermark_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "tablename string, max_offset bigint, delta_count bigint")
 
 
+@registered(
+    " UNION ALL ".join(
+        f"SELECT '{table}' AS tablename, CAST(max({column}) AS BIGINT) AS max_offset, count({column}) AS delta_count FROM {table}"
+        for table, column in (("events", "event_id"), ("orders", "o_orderkey"), ("part", "p_size"), ("lineitem", "l_linenumber"), ("pages", "page_id"))
+    )
+)
+def watermark_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stats of tables taken from their start, out of the files' footers."""
+    kinds = {"events": ("event_id", 2), "orders": ("o_orderkey", 2), "part": ("p_size", 1), "lineitem": ("l_linenumber", 1), "pages": ("page_id", 2)}
+    checks = [Check(t, read(spark, sf_dir, t), c, kind, None, from_start=True) for t, (c, kind) in kinds.items()]
+    rows = [(s.table, s.max_offset, s.delta_count) for s in collect_stats(checks)]
+    return spark.createDataFrame(rows, "tablename string, max_offset bigint, delta_count bigint")
+
+
 @registered(
     """
 SELECT CAST((l_orderkey - 700) // greatest(1, CAST(ceil((max_key + 1 - 700) / 16.0) AS BIGINT)) AS INTEGER) AS part, count(*) AS row_count

@@ -9,6 +9,7 @@ from ebbmark.operators.delta import (
     collect_stats,
     delta,
     delta_stats,
+    footer_frame,
     in_files,
     stored_offset,
     table_stats,
@@ -223,3 +224,34 @@ def test_row_groups_below_the_offset_are_skipped(spark, tmp_path):
     frame = delta(Check("t", spark.read.parquet(place), "k", 2, 199_000))
     rows, read = scan_metric(frame, "numOutputRows")
     assert rows == 1000 and read < 100_000
+
+
+def test_footers_tell_what_the_whole_table_tells(spark, tmp_path):
+    place = f"{tmp_path}/a b%20é"
+    rows = spark.range(100).selectExpr("id", "IF(id % 3 = 0, NULL, CAST(id AS INT)) AS size", "id % 2 AS p", "TIMESTAMP '2024-01-01' AS ts", "struct(id) AS s")
+    rows.repartition(3).write.partitionBy("p").parquet(place)
+    frame = spark.read.parquet(place)
+    for column, kind, largest, n in (("id", 2, 99, 100), ("size", 1, 98, 66)):
+        check = Check("t", frame, column, kind, None, from_start=True)
+        footers = footer_frame(check)
+        plan = footers._jdf.queryExecution().executedPlan().toString()
+        assert f"MAX({column})" in plan and f"COUNT({column})" in plan
+        assert tuple(footers.first()) == (largest, n)
+        found = collect_stats([check, Check("u", frame, column, kind, 5000)])
+        assert [(s.max_offset, s.delta_count) for s in found] == [(largest, n), (largest, 0)]
+        whole = table_stats(check).first()
+        assert (whole.max_offset, whole.delta_count) == (largest, n)
+    assert footer_frame(Check("t", frame, "ts", 0, None)) is None
+    assert footer_frame(Check("t", frame, "s.id", 2, None)) is None
+    assert footer_frame(Check("t", spark.range(3), "id", 2, None)) is None
+    # A partition column is in no footer.
+    assert footer_frame(Check("t", frame, "p", 1, None)) is None
+    # Files that come after the table was opened do not count.
+    spark.range(500, 600).selectExpr("id", "CAST(id AS INT) AS size", "0 AS p", "TIMESTAMP '2024-01-01' AS ts", "struct(id) AS s").write.mode("append").partitionBy("p").parquet(place)
+    assert collect_stats([Check("t", frame, "id", 2, None, from_start=True)])[0].max_offset == 99
+
+
+def test_a_first_batch_of_an_empty_table(spark, tmp_path):
+    spark.range(0).write.parquet(f"{tmp_path}/t")
+    found = collect_stats([Check("t", spark.read.parquet(f"{tmp_path}/t"), "id", 2, None, from_start=True)])
+    assert (found[0].max_offset, found[0].delta_count) == (None, 0)
