@@ -18,10 +18,19 @@ from ebbmark.llm.arrays import stored
 from ebbmark.sources.scratch import remove, scratch_folder, scratch_scope
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# Rows of whole texts that pass between Spark and a Python worker at a time; Spark's
+# own 10,000 would hold tens of megabytes of text, several times over, in every task.
+BATCH_ROWS = 500
+
+
+def _in_small_batches(spark: SparkSession) -> None:
+    """Sizes the session's Arrow batches for whole texts; the rows are the same."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the quality classifier scores at 0.5 or more."""
+    _in_small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality_classifier.model_from(docs, labels)
     return quality_classifier.score(docs, model).filter("score >= 0.5").select(*COLUMNS)
@@ -29,6 +38,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_regular(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the base rules and the perplexity bands keep."""
+    _in_small_batches(spark)
     return quality_rules.judge(docs).filter("kept").select(*COLUMNS)
 
 
@@ -39,6 +49,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     have none, one stays if their texts are near. A null id comes last; rows
     without a text are no duplicates of each other.
     """
+    _in_small_batches(spark)
     rows = stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), spark, "numbered")
     numbered = rows.select(F.col("row").alias("doc_id"), "text")
     groups = near_dedup.near_duplicates(numbered, spark).select(F.col("doc_id").alias("row"), "component_id")
@@ -50,6 +61,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every secret in their texts replaced by a mark."""
+    _in_small_batches(spark)
     cleaned = secret_scan.redact(secret_scan.scan(docs))
     n_chars = F.when(F.size("secret_spans") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", n_chars).select(*COLUMNS)
@@ -57,6 +69,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Power-of-two pieces of all documents with their token ids, the corpus to train on."""
+    _in_small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
