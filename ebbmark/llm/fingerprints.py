@@ -148,6 +148,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     own, guest = "named_struct('range', _range, 'guest', false)", f"named_struct('range', CAST({before} AS INT), 'guest', true)"
     homes = F.expr(f"IF(doc_id IS NOT NULL AND {begins}, array({own}, {guest}), array({own}))")
     rows = rows.withColumn("_home", F.explode(homes)).select("*", "_home.range", "_home.guest").drop("_block", "_range", "_home")
+    # Never so; said here, as a left join would ask it of one of the two uses of the shuffle alone.
+    rows = rows.filter("range IS NOT NULL")
     order = Window.partitionBy("range").orderBy("guest", "doc_id", "text")
     rows = rows.withColumns(
         {
