@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import time
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from contextlib import nullcontext
 from dataclasses import dataclass, replace
@@ -32,6 +32,7 @@ from ebbmark.operators.delta import (
 from ebbmark.operators.records import to_records
 from ebbmark.sources.claims import Claim, Claims
 from ebbmark.sources.control_log import LOG_SCHEMA, ControlTable, batch_number
+from ebbmark.sources.scratch import remove, scratch_folder
 from ebbmark.sources.sinks import RecordSink
 from ebbmark.sources.tables import TableStore
 from ebbmark.sources.zone_map import ZoneMap
@@ -39,6 +40,8 @@ from ebbmark.sources.zone_map import ZoneMap
 # Tables whose stats share one job; bounds the size of its plan.
 STATS_CHUNK = 50
 OPEN_CONCURRENT = 8
+# Rows a task sorts at once where records are dealt by ranges; a partition of more is written in steps.
+SORT_ROWS = 2_000_000
 # The name a sink gets for records of several tables.
 TOGETHER = "all"
 
@@ -146,20 +149,55 @@ class _Export:
     delta_count: int
     files: list[str] | None
 
-    def records(self, form: _Form, tables: TableStore) -> DataFrame:
+    def rows(self, tables: TableStore) -> DataFrame:
         check = self.check
         bounds = split_bounds(check, self.max_offset) if tables.split else None
         if bounds:
             split = tables.read_split(check.frame.sparkSession, check.table, check.column, *bounds)
             check = replace(check, frame=split)
         # The watermark only narrows the rows further: their files hold them all.
-        rows = in_files(delta(check, self.max_offset), self.files)
-        headers = None if form.run_id is None else {"run": f"'{form.run_id}'", "offset": check.as_offset(check.value)}
+        return in_files(delta(check, self.max_offset), self.files)
+
+    def steps(self, form: _Form) -> int:
+        """In how many steps a table dealt by ranges is written, for tasks that sort no more than ``SORT_ROWS``."""
+        return 1 if form.ordered is None else max(1, -(-self.delta_count // (form.ordered * SORT_ROWS)))
+
+    def records(self, form: _Form, tables: TableStore) -> DataFrame:
+        rows = self.rows(tables)
         if form.ordered is not None:
-            rows = rows.repartitionByRange(form.ordered, F.expr(check.value)).sortWithinPartitions(F.expr(check.value))
-        records = to_records(rows, check.table, form.key_columns.get(check.table), form.spread, headers)
+            value = F.expr(self.check.value)
+            rows = rows.repartitionByRange(form.ordered, value).sortWithinPartitions(value)
+        records = self.encoded(rows, form)
         return records if form.ordered is None else records.withColumn("partition", F.spark_partition_id())
 
+    def encoded(self, rows: DataFrame, form: _Form) -> DataFrame:
+        check = self.check
+        headers = None if form.run_id is None else {"run": f"'{form.run_id}'", "offset": check.as_offset(check.value)}
+        return to_records(rows, check.table, form.key_columns.get(check.table), form.spread, headers)
+
+    def stepwise(self, form: _Form, tables: TableStore, folder: str) -> Iterator[DataFrame]:
+        """The records of a large table dealt by ranges, one frame per step, to be written one after the other.
+
+        The ranges of the topic partitions are cut into as many parts as there are
+        steps. A step has one part of every partition, in ascending order, and the
+        parts of a partition follow one another, so that a partition ascends
+        throughout while a task sorts one part. Rows of one check value share a part.
+        The rows lie below ``folder`` by then, each read again once.
+        """
+        rows, parts = self.rows(tables), self.steps(form) * form.ordered
+        value, offset = F.expr(self.check.value), F.expr(self.check.as_offset(self.check.value))
+        cuts = rows.agg(F.percentile_approx(offset, [k / parts for k in range(1, parts)], 100 * parts).alias("cuts")).first().cuts
+        row = F.struct(*(F.col(_named(c)) for c in rows.columns))
+        told = rows.select(row.alias("row"), offset.alias("offset")).withColumn("part", F.expr(_part("offset", cuts)))
+        dealt = told.withColumn("step", F.expr(f"part % {self.steps(form)}"))
+        dealt.repartitionById(parts, F.col("part")).write.partitionBy("step").parquet(folder)
+        back = rows.sparkSession.read.schema(dealt.schema).parquet(folder)
+        for step in range(self.steps(form)):
+            partition = F.expr(f"CAST(part div {self.steps(form)} AS INT)")
+            one = back.filter(F.col("step") == step).select("row", partition.alias("partition"))
+            one = one.repartitionById(form.ordered, F.col("partition")).select("row.*")
+            yield self.encoded(one.sortWithinPartitions(value), form).withColumn("partition", F.spark_partition_id())
+
     def found(self, ended_millis: int) -> dict[str, Any]:
         return {
             **self.row,
@@ -173,6 +211,19 @@ class _Export:
         return TableResult(self.check.table, self.check.offset, self.max_offset, count, error)
 
 
+def _named(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _part(offset: str, cuts: Sequence[int], first: int = 0) -> str:
+    """SQL for the number of cuts below an offset, by halves."""
+    if not cuts:
+        return str(first)
+    half = len(cuts) // 2
+    low, high = _part(offset, cuts[:half], first), _part(offset, cuts[half + 1 :], first + half + 1)
+    return f"IF({offset} <= {cuts[half]}L, {low}, {high})"
+
+
 def open_checks(
     spark: SparkSession,
     rows: Sequence[dict[str, Any]],
@@ -313,7 +364,9 @@ def export_batch(
     With a ``run_id`` every record has headers, ``run`` and ``offset``, its check
     value, by which :func:`~ebbmark.operators.records.once` leaves out what was
     sent before. ``ordered`` deals every table by ranges of its check column over
-    that many topic partitions, each in ascending order; it shuffles the rows.
+    that many topic partitions, each in ascending order; it shuffles the rows. Where
+    that leaves a task more than ``SORT_ROWS`` rows, they are stored below the
+    scratch folder and sent in steps, range after range of every partition.
     """
     if write_group < 1:
         raise ValueError("a write group has one table at least")
@@ -352,8 +405,24 @@ def _export(
     results: list[TableResult] = []
     running: dict[Future, list[_Export]] = {}
 
+    def write_steps(export: _Export) -> int:
+        folder, sent = scratch_folder(spark), 0
+        try:
+            for records in export.stepwise(form, tables, folder):
+                counted = Observation()
+                records = records.observe(counted, F.count(F.lit(1)).alias("sent"))
+                sink.write(records, TOGETHER if single_write else export.check.table)
+                sent += counted.get["sent"]
+        finally:
+            remove(spark, folder)
+        return sent
+
     def write(unit: list[_Export]) -> list[dict[str, Any]]:
-        counts = {id(export): Observation() for export in unit if export.delta_count}
+        in_steps = {id(export) for export in unit if export.steps(form) > 1}
+        for export in unit:
+            if id(export) in in_steps:
+                export.delta_count = write_steps(export)
+        counts = {id(export): Observation() for export in unit if export.delta_count and id(export) not in in_steps}
         sending = [export for export in unit if id(export) in counts]
         if sending:
             count = F.count(F.lit(1)).alias("sent")

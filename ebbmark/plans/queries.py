@@ -504,7 +504,8 @@ def export_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = ranges.select("key", (F.col("partition") + 1).alias("partition"), F.col("high").alias("below"))
     placed = ranges.join(before, ["key", "partition"], "left")
     apart = placed.select("key", "partition", F.expr("coalesce(below < low, true)").alias("in_order"))
-    return sent.join(apart, ["key", "partition"]).select("key", "value", "in_order")
+    # A row per table and topic partition: the records stay where they are.
+    return sent.join(F.broadcast(apart), ["key", "partition"]).select("key", "value", "in_order")
 
 
 @registered(ORDER_LOG_SQL + "SELECT * FROM latest")

@@ -2,6 +2,7 @@ import glob
 import json
 import random
 import threading
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from ebbmark import (
     export_batch,
     file_sink,
 )
-from ebbmark.operators.records import header
+from ebbmark.operators.records import header, to_records
 from ebbmark.plans import export
 from ebbmark.sources.control_log import LOG_SCHEMA, conform
 
@@ -513,3 +514,42 @@ def test_forms_that_are_refused(setting):
         setting.run(run_id="it's")
     with pytest.raises(ValueError, match="not by both"):
         setting.run(ordered=2, spread=2)
+
+
+@pytest.mark.parametrize("single_write", [False, True])
+def test_large_ordered_tables_go_in_steps(setting, monkeypatch, single_write):
+    monkeypatch.setattr("ebbmark.plans.export.SORT_ROWS", 30)
+    spark = setting.spark
+    ids = spark.range(500).select((F.col("id") * 7919 % 500 - 50).alias("id"))
+    # A value that many rows share stays in one partition; odd column names and nested values arrive as they are.
+    many = ids.unionAll(spark.range(40).select(F.lit(77).cast("bigint").alias("id")))
+    many = many.withColumns({"Row `x.y`": F.col("id").cast("string"), "at": F.struct(F.timestamp_micros("id").alias("ts")), "none": F.lit(None).cast("int")})
+    setting.put("many", many.repartition(4))
+    setting.register(control_row("many", "id", 2, -40), control_row("longs", "id", 2, 6))
+    writes = []
+
+    class Kept:
+        concurrent = 1
+
+        def write(self, records, table):
+            # Rows as each task has them, one after the other.
+            rows = records.withColumn("task", F.spark_partition_id()).collect()
+            writes.append([r for r in rows if r.key == "many"])
+
+    results = setting.run(sink=Kept(), ordered=4, run_id="r", single_write=single_write)
+    assert {r.table: r.row_count for r in results} == {"many": 530, "longs": 4}
+    sent = [[(r.partition, int(r.headers[1]["value"])) for r in rows] for rows in writes if rows]
+    # Five steps; a task of a step has its share of rows, and those of one value together.
+    assert len(sent) == 5
+    assert max(n for rows in writes for n in Counter(r.task for r in rows).values()) <= 30 + 40
+    found = {}
+    for rows in sent:
+        for partition, offset in rows:
+            found.setdefault(partition, []).append(offset)
+    assert all(offsets == sorted(offsets) for offsets in found.values())
+    ranges = [(found[p][0], found[p][-1]) for p in sorted(found)]
+    assert all(high < low for (_, high), (low, _) in zip(ranges, ranges[1:]))
+    assert sorted(sum(found.values(), [])) == sorted([*range(-40, 450), *[77] * 40])
+    values = sorted(r.value for rows in writes for r in rows)
+    assert values == sorted(r.value for r in to_records(many.filter("id >= -40"), "many").collect())
+    assert not glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/*/step=*")
