@@ -74,11 +74,14 @@ def peeled(cells: str, size: int) -> str:
     """SQL for the number of digests peeled out of cells; null where peeling gets stuck."""
     mask = (1 << CHECK_BITS) - 1
     pure = f"c -> c <> 0 AND (xxhash64(shiftrightunsigned(c, {CHECK_BITS})) & {mask}L) = (c & {mask}L)"
-    hit = " OR ".join(f"i = {_place('p', group, size)}" for group in range(GROUPS))
+    # The places of the digest taken out are worked out once, not once per cell.
+    places = ", ".join(f"'v{group}', {_place('p', group, size)}" for group in range(GROUPS))
+    hit = " OR ".join(f"i = q.v{group}" for group in range(GROUPS))
+    found = f"transform(slice(filter(s.cells, {pure}), 1, 1), p -> named_struct('d', p, {places}))"
     # Once no cell is pure nothing more happens, so the steps left are skipped.
     step = (
-        f"IF(s.go, coalesce(get(transform(slice(filter(s.cells, {pure}), 1, 1), p -> named_struct("
-        f"'cells', transform(s.cells, (c, i) -> IF({hit}, c ^ p, c)), 'n', s.n + 1, 'go', true)), 0), "
+        f"IF(s.go, coalesce(get(transform({found}, q -> named_struct("
+        f"'cells', transform(s.cells, (c, i) -> IF({hit}, c ^ q.d, c)), 'n', s.n + 1, 'go', true)), 0), "
         "named_struct('cells', s.cells, 'n', s.n, 'go', false)), s)"
     )
     # No more digests come out than there are cells.

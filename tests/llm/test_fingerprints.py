@@ -97,3 +97,9 @@ def test_odd_rows(spark, odd, nothing):
     assert fingerprints.compare(nothing).count() == 0
     nulls = spark.createDataFrame([(None, "a"), (None, None)], "doc_id bigint, text string")
     assert fingerprints.compare(nulls).count() == 2
+
+
+def test_peeling_places_a_digest_once():
+    # Places are hashed per group for the digest taken out, not for every cell it is held against.
+    per_step = fingerprints.peeled("cells", fingerprints.GROUP_CELLS).split("c ^")[0].split("(c, i) ->")[1]
+    assert "xxhash64" not in per_step
