@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbmark.llm.arrays import FILTER_BITS, Words, distinct_pairs, membership, mix, shingles, slices, stored, texts_of
+from ebbmark.llm.arrays import FILTER_BITS, Words, distinct_pairs, giving_back, membership, mix, shingles, slices, stored, texts_of
 from ebbmark.llm.components import components
 
 BANDS = 64
@@ -151,7 +151,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                     names=_SIGNED.names,
                 )
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(sign, _SIGNED)
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(giving_back(sign), _SIGNED)
 
 
 @cache
@@ -237,7 +237,7 @@ def _screened(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFra
     a = side.select(F.col("id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("registers").alias("registers_a"))
     b = side.select(F.col("id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("registers").alias("registers_b"))
     joined = pairs.join(a, "a").join(b, "b")
-    return joined.select("a", "b", "n_a", "n_b", "registers_a", "registers_b").mapInArrow(_screen(threshold), _LIKE)
+    return joined.select("a", "b", "n_a", "n_b", "registers_a", "registers_b").mapInArrow(giving_back(_screen(threshold)), _LIKE)
 
 
 def _member_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -264,7 +264,7 @@ def _member_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
                 )
 
     wanted = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
-    return wanted.filter("id IS NOT NULL").withColumn("hash", F.xxhash64("id")).mapInArrow(members, _SETS)
+    return wanted.filter("id IS NOT NULL").withColumn("hash", F.xxhash64("id")).mapInArrow(giving_back(members), _SETS)
 
 
 def _verify(percent: int):
@@ -287,7 +287,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
     a = sets.select(F.col("id").alias("a"), F.col("members").alias("members_a"))
     b = sets.select(F.col("id").alias("b"), F.col("members").alias("members_b"))
     both = pairs.select("a", "b").join(a, "a").join(b, "b")
-    return both.select("a", "b", "members_a", "members_b").mapInArrow(_verify(percent), _EDGE)
+    return both.select("a", "b", "members_a", "members_b").mapInArrow(giving_back(_verify(percent)), _EDGE)
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,7 +334,7 @@ def _across(docs: DataFrame, members: DataFrame, size: int, percent: int) -> Dat
     """Pairs ``(a, b)`` of members of different components that may reach the threshold; all that do are among them."""
     spark = docs.sparkSession
     sets = _member_sets(docs, members.select("id"), size)
-    shingled = stored(sets.mapInArrow(_shingles, _SHINGLES).join(members.select("id"), "id", "left_semi").distinct(), spark, "shingles")
+    shingled = stored(sets.mapInArrow(giving_back(_shingles), _SHINGLES).join(members.select("id"), "id", "left_semi").distinct(), spark, "shingles")
     smaller, larger = (stored(side, spark, "meetings") for side in meetings(shingled, members, percent))
     key = ["shingle", "class"]
     # Of each place one component has most members; pairs need an end outside it.
@@ -378,7 +378,7 @@ def near_duplicates(docs: DataFrame, spark: SparkSession, shingle: int = 5, perc
         "classes",
     )
     nodes = classes.filter("n_shingles > 0 AND rep IS NOT NULL")
-    banded = nodes.select(F.col("rep").alias("id"), "n_shingles", "registers").mapInArrow(_banded, _BANDED)
+    banded = nodes.select(F.col("rep").alias("id"), "n_shingles", "registers").mapInArrow(giving_back(_banded), _BANDED)
     banded = stored(banded, spark, "banded")
     rows = banded.select("id", F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")

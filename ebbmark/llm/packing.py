@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbmark.llm.arrays import slices, texts_of
+from ebbmark.llm.arrays import giving_back, slices, texts_of
 
 SEQUENCE = 2048
 END_ID = 1
@@ -103,7 +103,7 @@ def pack(docs: DataFrame, tokenizer_path: str, most: int = SEQUENCE, end_id: int
                 arrays = [pa.array(v, t) for v, t in zip(rows, [pa.int64()] * 5 + [pa.binary()])]
                 yield pa.RecordBatch.from_arrays(arrays, names=_PIECE.names)
 
-    pieces = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(packed, _PIECE)
+    pieces = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(giving_back(packed), _PIECE)
     return pieces.select(
         "doc_id",
         "start",

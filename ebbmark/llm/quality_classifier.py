@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbmark.llm.arrays import texts_of
+from ebbmark.llm.arrays import giving_back, texts_of
 from ebbmark.llm.columns import others
 
 # Bounds of what is learned from: distinct texts of each label, and code points of
@@ -136,7 +136,7 @@ def score(docs: DataFrame, model: CompressionModel | None) -> DataFrame:
             scores = pa.array(model.probabilities(found))
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=out.names)
 
-    return rows.mapInArrow(scored, out)
+    return rows.mapInArrow(giving_back(scored), out)
 
 
 def held_out(key: str = "doc_id") -> str:

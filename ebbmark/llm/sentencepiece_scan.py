@@ -26,18 +26,21 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbmark.llm.arrays import stored, texts_of
+from ebbmark.llm.arrays import giving_back, slices, stored, texts_of
 from ebbmark.llm.columns import others
 
 # Characters of a chunk; a text of no more is one chunk.
 CHUNK = 32_768
-# Words, and pairs of pieces, that a worker remembers: about 200 bytes each.
-REMEMBERED = 800_000
+# Words, and pairs of pieces, that a worker remembers: about 250 bytes each.
+REMEMBERED = 200_000
+# Longer words, as texts without spaces have, hardly come again.
+LONGEST_REMEMBERED = 32
 SPACE = "▁"
 
 _ENCODED = T.StructType(
@@ -209,7 +212,7 @@ class Pieces:
         known = self.words.get(word)
         if known is None:
             known = self.ids_of(self.trace(word, 0, len(word), self.reach(word, 0, len(word), None)))
-            if len(self.words) < REMEMBERED:
+            if len(word) <= LONGEST_REMEMBERED and len(self.words) < REMEMBERED:
                 self.words[word] = known
         return known
 
@@ -350,9 +353,12 @@ def encode(docs: DataFrame, model_path: str, chunk: int = CHUNK) -> DataFrame:
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(model_path)
         for batch in batches:
-            ids = [pieces.text(SPACE + _as_pieces(t)) if t else b"" for t in texts_of(batch.column(1)).to_pylist()]
-            ones = pa.array([1] * len(ids), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), ones, pa.array(ids, pa.binary())], names=_ENCODED.names)
+            texts = texts_of(batch.column(1))
+            for first, last in slices(texts):
+                ids = [pieces.text(SPACE + _as_pieces(t)) if t else b"" for t in texts[first:last].to_pylist()]
+                ones = pa.array([1] * len(ids), pa.int64())
+                columns = [batch.column(0)[first:last], ones, pa.array(ids, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=_ENCODED.names)
 
     def chunks_of(batch: pa.RecordBatch) -> Iterator[tuple[dict, Chunk]]:
         pieces = _pieces(model_path)
@@ -385,7 +391,7 @@ def encode(docs: DataFrame, model_path: str, chunk: int = CHUNK) -> DataFrame:
                 rows.append((row["row"], row["doc_id"], row["chunk"], part.backtrace(row["entry"], row["exit"])))
             yield _batch(rows, _TRACED)
 
-    small = texts.filter(F.char_length("text") <= chunk).mapInArrow(whole, _ENCODED)
+    small = texts.filter(F.char_length("text") <= chunk).mapInArrow(giving_back(whole), _ENCODED)
     giant = texts.filter(F.char_length("text") > chunk).withColumn("row", F.monotonically_increasing_id())
     giant = giant.withColumn("n_chunks", F.expr(f"(char_length(text) + {chunk} - 1) div {chunk}"))
     cut = giant.select("*", F.explode(F.expr("sequence(0L, n_chunks - 1)")).alias("chunk"))
@@ -400,8 +406,8 @@ def encode(docs: DataFrame, model_path: str, chunk: int = CHUNK) -> DataFrame:
     )
     cut = stored(cut, spark, "chunks")
     # A text's matrices come together: a few hundred bytes for every chunk of it.
-    states = cut.mapInArrow(transfers, _MATRIX).groupBy("row").applyInPandas(scanned, _STATES)
-    found = cut.join(states, ["row", "chunk"]).mapInArrow(traced, _TRACED)
+    states = cut.mapInArrow(giving_back(transfers), _MATRIX).groupBy("row").applyInPandas(scanned, _STATES)
+    found = cut.join(states, ["row", "chunk"]).mapInArrow(giving_back(traced), _TRACED)
     together = found.groupBy("row", "doc_id").agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("parts"))
     big = together.select(
         "doc_id",
@@ -430,10 +436,13 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         content = _pieces(model_path).content
         for batch in batches:
-            texts = []
-            for ids in batch.column(place).to_pylist():
-                found = b"".join([content[i] for i in np.frombuffer(ids or b"", "<u4").tolist()])
-                texts.append(found.removeprefix(b" ").decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=out.names)
-
-    return rows.mapInArrow(decoded, out)
+            held = pc.fill_null(batch.column(place), b"")
+            for first, last in slices(held):
+                texts = []
+                for ids in held[first:last].to_pylist():
+                    found = b"".join([content[i] for i in np.frombuffer(ids, "<u4").tolist()])
+                    texts.append(found.removeprefix(b" ").decode("utf-8", "replace"))
+                part = batch.slice(first, last - first)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=out.names)
+
+    return rows.mapInArrow(giving_back(decoded), out)

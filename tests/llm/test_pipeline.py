@@ -4,7 +4,7 @@ import re
 from pathlib import Path
 
 import corpus_pipeline
-from ebbmark.llm import near_dedup, packing, quality_classifier, quality_rules, secret_scan
+from ebbmark.llm import arrays, near_dedup, packing, quality_classifier, quality_rules, secret_scan
 
 SF = "/root/testdata/sf0.01"
 
@@ -81,3 +81,32 @@ def test_rows_without_a_text_pass_the_stages(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0
     assert corpus_pipeline.keep_one_of_each_group(spark, docs, SF).count() == 2
     assert {r.text for r in corpus_pipeline.redact_secrets(spark, docs, SF).collect()} == {None, ""}
+
+
+def test_workers_give_memory_back(monkeypatch):
+    given = []
+    monkeypatch.setattr(arrays.pa, "default_memory_pool", lambda: type("Pool", (), {"release_unused": lambda self: given.append(1)})())
+    work = arrays.giving_back(lambda batches: (b + 1 for b in batches))
+    arrays._power_tables(8)
+    assert list(work(iter([1, 2]))) == [2, 3] and given == [1] and not arrays._powers
+    # Also where a task ends early, and tables are made anew afterwards.
+    early = work(iter([1, 2]))
+    next(early)
+    early.close()
+    assert given == [1, 1] and arrays._power_tables(4)[0].tolist()[0] == 1
+
+
+def test_a_worker_clears_its_own_tables(spark):
+    def kept(batches):
+        for batch in batches:
+            yield batch
+            arrays._power_tables(8)
+
+    def left(batches):
+        # The same worker, asked by a later task.
+        for batch in batches:
+            yield arrays.pa.RecordBatch.from_pydict({"id": [len(arrays._powers)] * batch.num_rows})
+
+    one = spark.range(0, 8, 1, 1)
+    assert one.mapInArrow(arrays.giving_back(kept), "id long").count() == 8
+    assert {r.id for r in one.mapInArrow(left, "id long").collect()} == {0}

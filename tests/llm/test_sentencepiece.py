@@ -9,6 +9,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ebbmark.llm import sentencepiece_scan as scan
 from ebbmark.llm.queries import QUERIES
@@ -96,3 +97,18 @@ def test_the_query_decodes_to_the_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     found = {r.doc_id: r.text_crc32 for r in QUERIES["op1_sentencepiece"](spark, "/root/testdata/sf0.001").collect()}
     assert found == {r.doc_id: zlib.crc32((r.text or "").encode()) for r in docs.collect()}
+
+
+def test_workers_remember_short_words_only():
+    pieces = scan.Pieces(PATH)
+    words = [f"{scan.SPACE}{'ab' * n}" for n in (1, 15, 16, 5000)]
+    assert [pieces.word(w) for w in words] == [pieces.word(w) for w in words]
+    assert set(pieces.words) == set(words[:2])
+
+
+def test_batches_leave_a_worker_in_slices(spark):
+    # About five megabytes of text in one Arrow batch.
+    docs = spark.range(0, 500, 1, 1).selectExpr("id AS doc_id", "repeat(concat('word ', id, ' '), 1000) AS text")
+    rows = scan.encode(docs, PATH).withColumn("n", F.expr("octet_length(ids) div 4"))
+    whole = scan.decode(rows.select("doc_id", "ids"), PATH).join(docs.withColumnRenamed("text", "given"), "doc_id")
+    assert whole.filter("text = given").count() == 500
