@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbmark.llm import near_dedup, packing, quality_classifier, quality_rules, secret_scan
-from ebbmark.llm.arrays import stored
+from ebbmark.llm.arrays import may_hold, membership, stored
 from ebbmark.sources.scratch import remove, scratch_folder, scratch_scope
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -56,7 +57,20 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     # Combined before the shuffle: a group is one row per task, however large it is.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")
     heads = rows.select("row", "doc_id").join(groups, "row").groupBy("component_id").agg(first).select("first.row")
-    return rows.join(heads, "row", "left_semi").select(*COLUMNS)
+    gone = rows.select("row").join(heads, "row", "left_anti")
+    return _without(rows, stored(gone, spark, "gone"), "row").select(*COLUMNS)
+
+
+def _without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """``rows`` but those whose key is in ``gone``; others' whole texts are not shuffled, but for few."""
+    shared = rows.sparkSession.sparkContext.broadcast(membership(gone, key))
+
+    @F.pandas_udf("boolean")
+    def may_be_gone(hashes: pd.Series) -> pd.Series:
+        return pd.Series(may_hold(shared.value, hashes.to_numpy()))
+
+    rows = rows.withColumn("maybe", may_be_gone(F.xxhash64(key)))
+    return rows.filter("NOT maybe").unionAll(rows.filter("maybe").join(gone, key, "left_anti").select(rows.columns))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbmark.llm.arrays import FILTER_BITS, Words, distinct_pairs, giving_back, membership, mix, shingles, slices, stored, texts_of
+from ebbmark.llm.arrays import Words, distinct_pairs, giving_back, may_hold, membership, mix, shingles, slices, stored, stored_alone, texts_of
 from ebbmark.llm.components import components
 
 BANDS = 64
@@ -251,9 +251,7 @@ def _member_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value
         for batch in batches:
-            hashes = batch.column(2).to_numpy()
-            held = words[(hashes % FILTER_BITS) >> 6] >> (hashes & 63)
-            batch = batch.filter(pa.array((held & 1).astype(bool)))
+            batch = batch.filter(pa.array(may_hold(words, batch.column(2).to_numpy())))
             texts = texts_of(batch.column(1))
             for first, last in slices(texts):
                 keys, rows = shingle_sets(texts.slice(first, last - first), size)
@@ -303,24 +301,35 @@ def _size_class(size: str) -> str:
     return f"CAST(floor(ln({size}) / ln({SIZE_STEP}D)) AS INT)"
 
 
-def meetings(shingled: DataFrame, members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Where members can meet: ``(shingle, class, id, component, n_shingles)``, as the smaller set and as the larger.
+def places(shingled: DataFrame, members: DataFrame) -> DataFrame:
+    """``(id, component, n_shingles, shingle, place)`` of every shingle that members share.
 
     ``shingled`` has ``(id, shingle)`` rows, each once, of ``members(id,
-    component, n_shingles)``. Shingles are ordered by how many members have them.
-    Sets of n <= m shingles reach the threshold with an intersection of at least
-    p (n + m) / (100 + p); none of n - i or less can follow the place i of the
-    first common shingle. So the smaller set needs to be met only within its
-    first n - 2 p n / (100 + p) places, and the larger at place j only by sets of
-    n <= (m - j) (100 + p) / p - m shingles. A shingle that one member has alone
-    meets nothing, but takes a place.
+    component, n_shingles)``. Shingles are ordered by how many members have them;
+    a shingle that one member has alone meets nothing, but takes a place.
     """
     counts = shingled.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1")
     held = shingled.join(counts, "shingle").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("common"))
     placed = held.join(members, "id").select(
         "id", "component", "n_shingles", (F.col("n_shingles") - F.size("common")).alias("alone"), F.posexplode("common").alias("k", "c")
     )
-    placed = placed.select("id", "component", "n_shingles", F.col("c.shingle").alias("shingle"), (F.col("alone") + F.col("k")).alias("place"))
+    return placed.select("id", "component", "n_shingles", F.col("c.shingle").alias("shingle"), (F.col("alone") + F.col("k")).alias("place"))
+
+
+def meetings(shingled: DataFrame, members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Where members can meet, see ``places`` and ``sides``."""
+    return sides(places(shingled, members), percent)
+
+
+def sides(placed: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Where members can meet: ``(shingle, class, id, component, n_shingles)``, as the smaller set and as the larger.
+
+    Sets of n <= m shingles reach the threshold with an intersection of at least
+    p (n + m) / (100 + p); none of n - i or less can follow the place i of the
+    first common shingle. So the smaller set needs to be met only within its
+    first n - 2 p n / (100 + p) places, and the larger at place j only by sets of
+    n <= (m - j) (100 + p) / p - m shingles.
+    """
     p, n = percent, "n_shingles"
     smaller = placed.filter(f"place <= {n} - ceil(2 * {p} * {n} / {100 + p}.0)").withColumn("class", F.expr(_size_class(n)))
     least, most = f"ceil({p} * {n} / 100.0)", f"least({n}, floor(({n} - place) * {100 + p} / {p}.0 - {n} + 1e-6))"
@@ -333,9 +342,14 @@ def meetings(shingled: DataFrame, members: DataFrame, percent: int) -> tuple[Dat
 def _across(docs: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs ``(a, b)`` of members of different components that may reach the threshold; all that do are among them."""
     spark = docs.sparkSession
-    sets = _member_sets(docs, members.select("id"), size)
-    shingled = stored(sets.mapInArrow(giving_back(_shingles), _SHINGLES).join(members.select("id"), "id", "left_semi").distinct(), spark, "shingles")
-    smaller, larger = (stored(side, spark, "meetings") for side in meetings(shingled, members, percent))
+
+    def shared() -> list[DataFrame]:
+        sets = _member_sets(docs, members.select("id"), size)
+        shingled = sets.mapInArrow(giving_back(_shingles), _SHINGLES).join(members.select("id"), "id", "left_semi").distinct()
+        return [places(stored(shingled, spark, "shingles"), members)]
+
+    [placed] = stored_alone(shared, spark, "places")
+    smaller, larger = (stored(side, spark, "meetings") for side in sides(placed, percent))
     key = ["shingle", "class"]
     # Of each place one component has most members; pairs need an end outside it.
     per_component = smaller.select(*key, "component").unionAll(larger.select(*key, "component")).groupBy(*key, "component").agg(F.count("*").alias("n"))
@@ -367,17 +381,40 @@ def near_duplicates(docs: DataFrame, spark: SparkSession, shingle: int = 5, perc
     its copies, and is kept only where none has an id. Columns besides
     ``doc_id`` and ``text`` are ignored; an empty table gives no rows.
     """
-    signed = stored(signatures(docs, shingle), spark, "signed")
+    # Whoever calls keeps no more than these rows; each step's tables go as soon as its result is written.
+    [groups] = stored_alone(lambda: [_groups(docs, spark, shingle, percent)], spark, "groups")
+    return groups
+
+
+def _groups(docs: DataFrame, spark: SparkSession, shingle: int, percent: int) -> DataFrame:
+    signed, classes = stored_alone(lambda: _classes(docs, spark, shingle), spark, "sets", "classes")
+    nodes = classes.filter("n_shingles > 0 AND rep IS NOT NULL")
+    edges, found, apart = stored_alone(lambda: _first_links(docs, nodes, spark, shingle, percent), spark, "edges", "found", "apart")
+    [across] = stored_alone(lambda: [_screened(_across(docs, apart, shingle, percent), nodes, percent / 100)], spark, "across")
+    [more] = stored_alone(lambda: [_confirmed(across, docs, shingle, percent)], spark, "more")
+    if not more.isEmpty():
+        [found] = stored_alone(lambda: [components(edges.unionAll(more), spark)], spark, "all")
+
+    labelled = classes.select("set_a", "set_b", "n_shingles", "rep").join(
+        found.select(F.col("id").alias("rep"), "component"), "rep", "left"
+    )
+    labelled = labelled.select("set_a", "set_b", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
+    return signed.join(labelled, ["set_a", "set_b", "n_shingles"], "left").select(
+        "doc_id", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept")
+    )
+
+
+def _classes(docs: DataFrame, spark: SparkSession, size: int) -> list[DataFrame]:
+    """The set of each document, and the classes of equal sets with their registers."""
+    signed = stored(signatures(docs, size), spark, "signed")
     # A document without shingles is a class of its own, so that such rows do not meet in one task.
     signed = signed.withColumn("set_b", F.expr("if(n_shingles = 0, doc_id, set_b)"))
-    classes = stored(
-        signed.groupBy("set_a", "set_b", "n_shingles").agg(
-            F.min("doc_id").alias("rep"), F.first("registers").alias("registers")
-        ),
-        spark,
-        "classes",
-    )
-    nodes = classes.filter("n_shingles > 0 AND rep IS NOT NULL")
+    classes = signed.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("registers").alias("registers"))
+    return [signed.select("doc_id", "set_a", "set_b", "n_shingles"), classes]
+
+
+def _first_links(docs: DataFrame, nodes: DataFrame, spark: SparkSession, shingle: int, percent: int) -> list[DataFrame]:
+    """Links of members with those that lead their bands, their components, and members of bands that lie in several."""
     banded = nodes.select(F.col("rep").alias("id"), "n_shingles", "registers").mapInArrow(giving_back(_banded), _BANDED)
     banded = stored(banded, spark, "banded")
     rows = banded.select("id", F.explode("bands").alias("band"))
@@ -386,12 +423,12 @@ def near_duplicates(docs: DataFrame, spark: SparkSession, shingle: int = 5, perc
 
     # The member that meets most others leads its band: a text and its edited copies gather at the text.
     weights = members.groupBy("id").agg(F.sum("n").alias("met"))
-    sides = banded.select("id", "n_shingles", "lanes").join(weights, "id")
+    looks = banded.select("id", "n_shingles", "lanes").join(weights, "id")
     weighed = members.select("band", "id").join(weights, "id")
     leaders = weighed.groupBy("band").agg(F.max(F.struct("met", (-F.col("id")).alias("id"))).alias("top"))
     led = members.select("band", "id").join(leaders.select("band", (-F.col("top.id")).alias("leader")), "band")
     led = led.filter("id <> leader").select("leader", "id").distinct()
-    a, b = (sides.select(F.struct("id", "n_shingles", "lanes").alias(x), F.col("id").alias(k)) for x, k in (("x", "leader"), ("y", "id")))
+    a, b = (looks.select(F.struct("id", "n_shingles", "lanes").alias(x), F.col("id").alias(k)) for x, k in (("x", "leader"), ("y", "id")))
     looked = led.join(a, "leader").join(b, "id").filter(_lanes_allow("x", "y", percent / 100))
     unlike = F.expr(" + ".join(f"bit_count(x.lanes[{k}] ^ y.lanes[{k}])" for k in range(LANES)))
     # At most one leader per band and document.
@@ -402,22 +439,8 @@ def near_duplicates(docs: DataFrame, spark: SparkSession, shingle: int = 5, perc
     found = stored(components(edges, spark), spark, "found")
 
     # Links between different components: both ends share a band.
-    placed = members.select("band", "id").join(sides.select("id", "n_shingles"), "id").join(found, "id", "left")
+    placed = members.select("band", "id").join(looks.select("id", "n_shingles"), "id").join(found, "id", "left")
     placed = placed.withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
     apart = placed.join(mixed.select("band"), "band", "left_semi").select("id", "component", "n_shingles").distinct()
-    across = _across(docs, stored(apart, spark, "apart"), shingle, percent)
-    across = stored(_screened(across, nodes, percent / 100), spark, "across")
-    more = stored(_confirmed(across, docs, shingle, percent), spark, "more")
-    if not more.isEmpty():
-        found = stored(components(edges.unionAll(more), spark), spark, "all")
-
-    labelled = classes.select("set_a", "set_b", "n_shingles", "rep").join(
-        found.select(F.col("id").alias("rep"), "component"), "rep", "left"
-    )
-    labelled = labelled.select("set_a", "set_b", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    return (
-        signed.select("doc_id", "set_a", "set_b", "n_shingles")
-        .join(labelled, ["set_a", "set_b", "n_shingles"], "left")
-        .select("doc_id", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept"))
-    )
+    return [edges, found, apart]

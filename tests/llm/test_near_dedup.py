@@ -3,6 +3,7 @@
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -195,3 +196,15 @@ def test_members_that_stay_apart_meet_nowhere(spark):
             if a < b and 100 * both >= 80 * (len(x) + len(y) - both):
                 wanted.add((a, b))
     assert wanted and wanted <= found and len(found) < 4 * len(wanted)
+
+
+def test_groups_leave_no_more_than_their_rows(spark):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("ebbmark-*"))
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, text), (2, text), (3, f"{text} more"), (4, "something else"), (None, text), (5, None)]
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), spark)
+    left = set(shared.glob("ebbmark-*")) - before
+    assert len(left) == 1 and "-groups-" in left.pop().name
+    groups = {r.doc_id: r.component_id for r in found.collect()}
+    assert groups == {1: 1, 2: 1, 3: 1, 4: 4, None: 1, 5: 5}

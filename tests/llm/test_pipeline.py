@@ -3,6 +3,8 @@
 import re
 from pathlib import Path
 
+import numpy as np
+
 import corpus_pipeline
 from ebbmark.llm import arrays, near_dedup, packing, quality_classifier, quality_rules, secret_scan
 
@@ -110,3 +112,17 @@ def test_a_worker_clears_its_own_tables(spark):
     one = spark.range(0, 8, 1, 1)
     assert one.mapInArrow(arrays.giving_back(kept), "id long").count() == 8
     assert {r.id for r in one.mapInArrow(left, "id long").collect()} == {0}
+
+
+def test_rows_that_stay_are_not_shuffled(spark, monkeypatch):
+    rows = spark.createDataFrame([(k, f"t{k % 7}") for k in range(200)], "row long, text string")
+    gone = rows.filter("row % 50 = 3").select("row")
+    wanted = [(k, f"t{k % 7}") for k in range(200) if k % 50 != 3]
+    found = corpus_pipeline._without(rows, gone, "row")
+    assert found.columns == ["row", "text", "maybe"] and sorted((r.row, r.text) for r in found.collect()) == wanted
+    assert found.filter("maybe").count() < 10
+    # Also where the filter lets every row through to the join, or nothing goes.
+    monkeypatch.setattr(corpus_pipeline, "membership", lambda ids, column: np.full(arrays.FILTER_BITS // 64, -1))
+    assert sorted((r.row, r.text) for r in corpus_pipeline._without(rows, gone, "row").collect()) == wanted
+    monkeypatch.undo()
+    assert corpus_pipeline._without(rows, gone.limit(0), "row").count() == 200
