@@ -13,7 +13,8 @@ every cut that lies on the whole text's path. Then every chunk traces its own
 pieces back between its two states, independently of the others.
 
 Between a visible character and a space no piece reaches across, so within a
-chunk whole words have pieces of their own, which are looked up once met.
+chunk whole words have pieces of their own, which are looked up once met. The
+paths of words not met before are found together, by the thousand, as arrays.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -41,6 +43,9 @@ CHUNK = 32_768
 REMEMBERED = 200_000
 # Longer words, as texts without spaces have, hardly come again.
 LONGEST_REMEMBERED = 32
+# A code below this is a single character, one from it on a piece of several.
+CODES = 0x110000
+CODE_BITS = 21
 SPACE = "▁"
 
 _ENCODED = T.StructType(
@@ -207,20 +212,168 @@ class Pieces:
                 found.append(self.unknown)
         return found.tobytes()
 
+    @cached_property
+    def codes(self) -> Codes:
+        return Codes(self)
+
     def word(self, word: str) -> bytes:
         """Ids of a word: a run of spaces and the visible characters after it."""
-        known = self.words.get(word)
-        if known is None:
-            known = self.ids_of(self.trace(word, 0, len(word), self.reach(word, 0, len(word), None)))
-            if len(word) <= LONGEST_REMEMBERED and len(self.words) < REMEMBERED:
-                self.words[word] = known
-        return known
+        return self.texts([word])[0]
 
     def text(self, text: str) -> bytes:
         """Ids of a text between two places no piece reaches across."""
-        found = _WORD.findall(text)
-        got = [*map(self.words.get, found)]
-        return b"".join([self.word(w) if ids is None else ids for w, ids in zip(found, got)])
+        return self.texts([text])[0]
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts, each between two places no piece reaches across."""
+        found = [_WORD.findall(text) for text in texts]
+        known = self.words
+        fresh = set().union(*found).difference(known)
+        short = [word for word in fresh if len(word) <= LONGEST_REMEMBERED]
+        new = dict(zip(short, self.codes.encoded(short)))
+        known.update(islice(new.items(), max(0, REMEMBERED - len(known))))
+        for word in fresh:
+            if len(word) > LONGEST_REMEMBERED:
+                new[word] = self.ids_of(self.trace(word, 0, len(word), self.reach(word, 0, len(word), None)))
+        got = ((words, map(known.get, words)) for words in found)
+        return [b"".join([new[w] if ids is None else ids for w, ids in zip(words, all_ids)]) for words, all_ids in got]
+
+
+def _lookup(found: dict[int, float], kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order, one beyond all others at the end, and their values."""
+    keys = np.array([*found, np.iinfo(np.int64).max], np.int64)
+    values = np.array([*found.values(), 0], kind)
+    order = np.argsort(keys)
+    return keys[order], values[order]
+
+
+class Codes:
+    """The pieces of a model as numbers: the best paths of many short words, a place of all of them at a time."""
+
+    def __init__(self, pieces: Pieces):
+        longer = {piece: CODES + k for k, piece in enumerate(pieces.halves)}
+        halves = [[longer.get(part) or ord(part) for part in pieces.halves[piece]] for piece in longer]
+        # By code less CODES - 1, so that all single characters come first: when due, and what merged.
+        self.due = np.array([-1, *(pieces.due[piece] for piece in longer)], np.float64)
+        self.left = np.array([0, *(left for left, _ in halves)], np.int64)
+        self.right = np.array([0, *(right for _, right in halves)], np.int64)
+        merges = {}
+        for piece, due in pieces.due.items():
+            for k in range(1, len(piece)):
+                parts = [ord(part) if len(part) == 1 else longer.get(part) for part in (piece[:k], piece[k:])]
+                if None not in parts:
+                    merges[parts[0] << CODE_BITS | parts[1]] = due
+        self.merge_keys, self.merge_due = _lookup(merges, np.float64)
+        # The pieces letter by letter: nodes of a trie, and the code of the piece that ends at each.
+        steps, ends = {}, [-1]
+        for piece, code in longer.items():
+            node = 0
+            for letter in piece:
+                node = steps.setdefault(node << CODE_BITS | ord(letter), len(ends))
+                if node == len(ends):
+                    ends.append(-1)
+            ends[node] = code
+        self.step_keys, self.step_to = _lookup(steps, np.int64)
+        self.first = np.zeros(CODES, np.int32)
+        for key, node in steps.items():
+            if key < CODES:
+                self.first[key] = node
+        self.ends = np.array(ends, np.int64)
+        self.ids = np.full(CODES + len(longer), -1, np.int32)
+        for piece, number in pieces.ids.items():
+            if len(piece) == 1 or piece in longer:
+                self.ids[longer.get(piece) or ord(piece)] = number
+        self.spelled = pieces.bytes if pieces.has_bytes else None
+        self.unknown = pieces.unknown
+
+    def apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``Pieces._keeps_seam`` of many pairs of codes."""
+        good = np.zeros(len(left), bool)
+        which, limit = np.arange(len(left)), np.full(len(left), np.inf)
+        while len(which):
+            key = left << CODE_BITS | right
+            at = np.searchsorted(self.merge_keys, key)
+            gone = (self.merge_keys[at] == key) & (self.merge_due[at] < limit)
+            x, y = np.maximum(left - (CODES - 1), 0), np.maximum(right - (CODES - 1), 0)
+            left_due, right_due = self.due[x], self.due[y]
+            done = (left_due < 0) & (right_due < 0)
+            good[which[done & ~gone]] = True
+            # Of equal merges the left one comes first: here the seam's.
+            undo_left = left_due > right_due
+            limit = np.where(undo_left, left_due, right_due + 0.5)
+            left, right = np.where(undo_left, self.right[x], left), np.where(undo_left, right, self.left[y])
+            more = ~(gone | done)
+            which, left, right, limit = which[more], left[more], right[more], limit[more]
+        return good
+
+    def _matches(self, chars: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where pieces begin, their lengths and codes; ``room`` characters are left from each place on."""
+        begins, lengths, codes = [np.arange(len(chars))], [np.ones(len(chars), np.int64)], [chars]
+        node, length = self.first[chars].astype(np.int64), 1
+        at = np.flatnonzero((node > 0) & (room > 1))
+        node = node[at]
+        while len(at):
+            key = node << CODE_BITS | chars[at + length]
+            step = np.searchsorted(self.step_keys, key)
+            there = self.step_keys[step] == key
+            at, node, length = at[there], self.step_to[step[there]], length + 1
+            whole = self.ends[node] >= 0
+            begins.append(at[whole])
+            lengths.append(np.full(len(begins[-1]), length))
+            codes.append(self.ends[node[whole]])
+            more = room[at] > length
+            at, node = at[more], node[more]
+        return np.concatenate(begins), np.concatenate(lengths), np.concatenate(codes)
+
+    def encoded(self, words: list[str]) -> list[bytes]:
+        """Ids of words, none of them empty."""
+        if not words:
+            return []
+        sizes = np.array([*map(len, words)], np.int64)
+        chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
+        row = np.repeat(np.arange(len(words)), sizes)
+        heads = np.cumsum(sizes) - sizes
+        place = np.arange(len(chars)) - heads[row]
+        begins, lengths, codes = self._matches(chars, sizes[row] - place)
+        order = np.argsort(place[begins], kind="stable")
+        begins, lengths, codes = begins[order], lengths[order], codes[order]
+        cuts = np.searchsorted(place[begins], np.arange(int(sizes.max()) + 1))
+
+        # A word of n characters has n + 1 places; of each, the piece that a path ends with there.
+        starts = begins + row[begins]
+        last, back = np.full(len(chars) + len(words), -1, np.int64), np.ones(len(chars) + len(words), np.int64)
+        for k in range(len(cuts) - 1):
+            start, length, code = (x[cuts[k] : cuts[k + 1]] for x in (starts, lengths, codes))
+            if k:
+                open_ = np.flatnonzero((last[start] >= 0) & (last[start + length] < 0))
+                open_ = open_[self.apart(last[start[open_]], code[open_])]
+                start, length, code = start[open_], length[open_], code[open_]
+            last[start + length], back[start + length] = code, length
+
+        first = heads + np.arange(len(words))
+        ends = first + sizes
+        on_path = np.zeros(len(last), bool)
+        now = ends
+        while len(now):
+            on_path[now] = True
+            now = now - back[now]
+            now, first = now[now > first], first[now > first]
+        path = np.flatnonzero(on_path)
+        ids, counts = self._ids_of(last[path])
+        per_word = np.bincount(np.searchsorted(ends, path), counts, len(words)).astype(np.int64)
+        cuts = [0, *(4 * np.cumsum(per_word)).tolist()]
+        whole = ids.astype("<u4").tobytes()
+        return [whole[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _ids_of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, and how many each has: characters without one are spelled in bytes or unknown."""
+        ids, counts = self.ids[codes], np.ones(len(codes), np.int64)
+        odd = np.flatnonzero(ids < 0)
+        spelled = [[self.unknown] if self.spelled is None else [self.spelled[b] for b in chr(c).encode()] for c in codes[odd].tolist()]
+        counts[odd] = [*map(len, spelled)]
+        ids = np.repeat(ids, counts)
+        ids[ids < 0] = [i for found in spelled for i in found]
+        return ids, counts
 
 
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+$")
@@ -290,17 +443,21 @@ class Chunk:
 
     def backtrace(self, entry: int, exit: int) -> bytes:
         """Ids of the pieces after the entry state up to and with the exit state."""
+        head, middle, tail = self.ends(entry, exit)
+        return head + self.pieces.text(middle) + tail
+
+    def ends(self, entry: int, exit: int) -> tuple[bytes, str, bytes]:
+        """``backtrace`` with the whole words in between left as text."""
         start, (begin, end) = self.entries[entry][1], self.exits[exit]
         crossing = [self.text[begin:end]] if end > begin else []
         if self.first_cut is None:
             back = self._forward(self.entries[entry], begin)
-            return self.pieces.ids_of(self.pieces.trace(self.text, start, begin, back) + crossing)
+            return self.pieces.ids_of(self.pieces.trace(self.text, start, begin, back) + crossing), "", b""
         head = self.pieces.trace(self.text, start, self.first_cut, self._forward(self.entries[entry], self.first_cut))
         tail = self.pieces.trace(
             self.text, self.last_cut, begin, self.pieces.reach(self.text, self.last_cut, begin, None)
         )
-        middle = self.pieces.text(self.text[self.first_cut : self.last_cut])
-        return self.pieces.ids_of(head) + middle + self.pieces.ids_of(tail + crossing)
+        return self.pieces.ids_of(head), self.text[self.first_cut : self.last_cut], self.pieces.ids_of(tail + crossing)
 
 
 def max_plus(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -355,7 +512,7 @@ def encode(docs: DataFrame, model_path: str, chunk: int = CHUNK) -> DataFrame:
         for batch in batches:
             texts = texts_of(batch.column(1))
             for first, last in slices(texts):
-                ids = [pieces.text(SPACE + _as_pieces(t)) if t else b"" for t in texts[first:last].to_pylist()]
+                ids = pieces.texts([SPACE + _as_pieces(t) if t else "" for t in texts[first:last].to_pylist()])
                 ones = pa.array([1] * len(ids), pa.int64())
                 columns = [batch.column(0)[first:last], ones, pa.array(ids, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=_ENCODED.names)
@@ -385,11 +542,13 @@ def encode(docs: DataFrame, model_path: str, chunk: int = CHUNK) -> DataFrame:
         return pd.DataFrame({"row": found.row, "chunk": found.chunk, "entry": states[:-1], "exit": states[1:]})
 
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = _pieces(model_path)
         for batch in batches:
-            rows = []
-            for row, part in chunks_of(batch):
-                rows.append((row["row"], row["doc_id"], row["chunk"], part.backtrace(row["entry"], row["exit"])))
-            yield _batch(rows, _TRACED)
+            for first, last in slices(texts_of(batch.column("body"))):
+                parts = [(row, *part.ends(row["entry"], row["exit"])) for row, part in chunks_of(batch.slice(first, last - first))]
+                middles = pieces.texts([middle for _, _, middle, _ in parts])
+                rows = [(row["row"], row["doc_id"], row["chunk"], a + b + c) for (row, a, _, c), b in zip(parts, middles)]
+                yield _batch(rows, _TRACED)
 
     small = texts.filter(F.char_length("text") <= chunk).mapInArrow(giving_back(whole), _ENCODED)
     giant = texts.filter(F.char_length("text") > chunk).withColumn("row", F.monotonically_increasing_id())

@@ -112,3 +112,21 @@ def test_batches_leave_a_worker_in_slices(spark):
     rows = scan.encode(docs, PATH).withColumn("n", F.expr("octet_length(ids) div 4"))
     whole = scan.decode(rows.select("doc_id", "ids"), PATH).join(docs.withColumnRenamed("text", "given"), "doc_id")
     assert whole.filter("text = given").count() == 500
+
+
+def test_short_words_are_encoded_together(monkeypatch):
+    rng = random.Random(3)
+    letters = "aetionrs" * 4 + "ßéж中\U0001f600xq1.,-=\x00\t\n"
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 31))) for _ in range(4000)]
+    words += [" ".join(rng.choices(words, k=40)) + "   " for _ in range(30)]
+    pieces = scan.Pieces(PATH)
+    one_by_one = pieces.reach
+
+    def reach(text, start, end, first):
+        assert end - start > scan.LONGEST_REMEMBERED
+        return one_by_one(text, start, end, first)
+
+    monkeypatch.setattr(pieces, "reach", reach)
+    assert [numbers(pieces.text(scan.SPACE + scan._as_pieces(w))) for w in words[-30:]] == [LIBRARY.encode(w) for w in words[-30:]]
+    found = pieces.texts(["", *(scan.SPACE + scan._as_pieces(w) for w in words)])
+    assert [numbers(ids) for ids in found] == [[], *map(LIBRARY.encode, words)]
