@@ -439,7 +439,7 @@ def _first_links(docs: DataFrame, nodes: DataFrame, spark: SparkSession, shingle
     found = stored(components(edges, spark), spark, "found")
 
     # Links between different components: both ends share a band.
-    placed = members.select("band", "id").join(looks.select("id", "n_shingles"), "id").join(found, "id", "left")
+    placed = members.select("band", "id").join(banded.select("id", "n_shingles"), "id").join(found, "id", "left")
     placed = placed.withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
     apart = placed.join(mixed.select("band"), "band", "left_semi").select("id", "component", "n_shingles").distinct()

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbmark.llm.arrays import Words, code_points, giving_back, mix, slices, stored, sums_by_row, texts_of
+from ebbmark.llm.arrays import Words, code_points, give_back, giving_back, mix, slices, stored, sums_by_row, texts_of
 from ebbmark.llm.columns import others, unused
 from ebbmark.sources.scratch import scratch_folder
 
@@ -289,26 +289,29 @@ def _discounted(adjusted: DataFrame) -> DataFrame:
         for k in (1, 2, 3)
     ]
     # One row per language, 18,279 at most.
-    by_lang = F.broadcast(adjusted.groupBy("lang").agg(*ones).select("lang", *discounts))
+    by_lang = stored(adjusted.groupBy("lang").agg(*ones).select("lang", *discounts), adjusted.sparkSession, "discounts")
     taken = F.expr("CASE n WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END")
-    return adjusted.join(by_lang, "lang").select("lang", "gram", "n", taken.alias("d"))
+    return adjusted.join(F.broadcast(by_lang), "lang").select("lang", "gram", "n", taken.alias("d"))
 
 
 def _levels(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Interpolated probabilities ``(lang, gram, level, p)`` and backoff weights ``(lang, gram, level, g)``.
 
-    Every level is written before the next is built on it, so that no count is
-    worked out twice.
+    Counts, weights and levels are each written before the next is built on them:
+    no count is worked out twice, and plans stay small, which with all their tasks'
+    figures are the driver's to hold.
     """
     spark = counted.sparkSession
     adjusted = {ORDER: stored(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")), spark, "grams")}
     for order in range(ORDER - 1, 0, -1):
         tail = F.col("gram").bitwiseAND((1 << (SYMBOL_BITS * order)) - 1)
-        adjusted[order] = adjusted[order + 1].groupBy("lang", tail.alias("gram")).agg(F.count("*").alias("n"))
+        tails = adjusted[order + 1].groupBy("lang", tail.alias("gram")).agg(F.count("*").alias("n"))
+        adjusted[order] = stored(tails, spark, f"tails{order}")
     grams, contexts, lower = [], [], None
     for order in range(1, ORDER + 1):
         level = _discounted(adjusted[order]).withColumn("context", F.shiftrightunsigned("gram", SYMBOL_BITS))
         weights = level.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.sum("d").alias("held"))
+        weights = stored(weights, spark, f"weights{order}")
         level = level.join(weights, ["lang", "context"])
         tail = F.col("gram").bitwiseAND((1 << (SYMBOL_BITS * (order - 1))) - 1)
         if lower is None:
@@ -354,6 +357,8 @@ def _sharded(rows: DataFrame, value: str, n: int) -> Shards:
         keys, logs = table.column("key").to_numpy().view(np.uint64), table.column("log").to_numpy()
         order = np.argsort(keys)
         parts.append(spark.sparkContext.broadcast((keys[order], logs[order])))
+        del table, keys, logs, order
+        give_back()
     return Shards(parts)
 
 
